@@ -1,7 +1,7 @@
 """Column functions on HTML: elements of a kind, their text, their attributes.
 
-All are built-in expressions. An element's end is found by counting the tags of its own name, so
-elements of that name may nest inside it.
+All are built-in expressions over plain splits. An element's end is found by counting the tags of
+its own name, so elements of that name may nest inside it.
 """
 
 from __future__ import annotations
@@ -11,52 +11,61 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import entity_decode
+from shelfmark.functions.text import ALL_REST, entity_decode, pieces_after
+
+# The element names the feeds use.
+TAGS = ("a", "br", "dd", "div", "h3", "li", "span", "sup", "table", "td", "ul")
+
+
+def normal_tags(html: Column, *more: str) -> Column:
+    """Tag names in lower case and closing tags without space, which `elements` relies on."""
+    cleaned = html
+    for tag in (*TAGS, *more):
+        cleaned = F.regexp_replace(cleaned, rf"(?i)<{re.escape(tag)}(?=[\s>/])", f"<{tag}")
+        cleaned = F.regexp_replace(cleaned, rf"(?i)</{re.escape(tag)}\s*>", f"</{tag}>")
+    odd = html.rlike(r"<(?:[a-z0-9-]*[A-Z]|/[a-z0-9-]*[A-Z\s])")
+    return F.when(odd, cleaned).otherwise(html)
 
 
 def opening_tag(
     tag: str, cls: str | None = None, exact: bool = False, attribute: str | None = None
 ) -> str:
     """Regex for an opening tag, with a class token, the exact class text, or an attribute."""
-    tests = ""
+    tests = r"(?=[\s>/])"
     if cls is not None:
         value = re.escape(cls) if exact else rf"(?:[^\"]*\s)?{re.escape(cls)}(?:\s[^\"]*)?"
         tests += rf"(?=[^>]*\sclass=\"{value}\")"
     if attribute is not None:
         tests += rf"(?=[^>]*\s{re.escape(attribute)}=)"
-    return rf"(?i)<{tag}(?=[\s>/]){tests}[^>]*>"
+    return rf"<{re.escape(tag)}{tests}[^>]*>"
 
 
 def _up_to_close(piece: Column, tag: str) -> Column:
     """The part of `piece` before the closing tag that matches an opening tag just left of it."""
-    before = F.get(F.split(piece, rf"(?i)</{tag}(?=[\s>])", 2), F.lit(0))
-    tokens = F.split(piece, rf"(?i)(?=</?{tag}[\s>/])")
-
-    def step(state: Column, token: Column) -> Column:
-        head = F.lower(F.substring(token, 1, len(tag) + 2))
-        depth = (
-            F.when(head.startswith(f"</{tag}"), state["depth"] - 1)
-            .when(head.startswith(f"<{tag}"), state["depth"] + 1)
-            .otherwise(state["depth"])
-        )
-        closed = state["closed"] | (depth < 0)
-        return F.struct(
-            depth.alias("depth"),
-            F.when(closed, state["size"]).otherwise(state["size"] + F.length(token)).alias("size"),
-            closed.alias("closed"),
-        )
-
-    start = F.struct(
-        F.lit(0).alias("depth"), F.lit(0).alias("size"), F.lit(False).alias("closed")
+    close = f"</{tag}>"
+    before = F.substring_index(piece, close, 1)
+    spans = F.split(piece, rf"\Q{close}\E")
+
+    def step(state: Column, span: Column) -> Column:
+        # The closing tag after span i is the one sought if i others were opened before it.
+        opened = state["opened"] + F.regexp_count(span, F.lit(rf"<{re.escape(tag)}[\s>/]"))
+        seen = state["seen"] + 1
+        found = F.when(
+            (state["found"] == 0) & (opened < seen), seen
+        ).otherwise(state["found"])
+        return F.struct(opened.alias("opened"), seen.alias("seen"), found.alias("found"))
+
+    start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("seen"), F.lit(0).alias("found"))
+    # An element that is never closed reaches to the end.
+    found = F.aggregate(
+        spans, start, step, lambda s: F.when(s["found"] > 0, s["found"]).otherwise(ALL_REST)
     )
-    size = F.aggregate(tokens, start, step)["size"]
-    nested = before.rlike(rf"(?i)<{tag}[\s>/]")
-    return F.when(~nested, before).otherwise(F.substring(piece, F.lit(1), size))
+    balanced = F.array_join(F.slice(spans, F.lit(1), found), close)
+    return F.when(~F.contains(before, F.lit(f"<{tag}")), before).otherwise(balanced)
 
 
 def _after_openings(html: Column, opening: str) -> Column:
-    pieces = F.split(html, opening)
-    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return pieces_after(F.split(html, opening))
 
 
 def elements(html: Column, tag: str, **which) -> Column:
@@ -66,6 +75,11 @@ def elements(html: Column, tag: str, **which) -> Column:
     )
 
 
+def first_element(html: Column, tag: str, **which) -> Column:
+    """Inner HTML of the first matching element, or null."""
+    return _up_to_close(F.get(F.split(html, opening_tag(tag, **which)), F.lit(1)), tag)
+
+
 def elements_with_tag(html: Column, tag: str, **which) -> Column:
     """As `elements`, as structs of the opening tag and the inner HTML."""
     opening = opening_tag(tag, **which)
@@ -79,14 +93,30 @@ def elements_with_tag(html: Column, tag: str, **which) -> Column:
 
 
 def attribute(tag_text: Column, name: str) -> Column:
-    """Value of an attribute in the text of an opening tag, entities not yet decoded; or null."""
+    """Value of an attribute in the text of an opening tag, entities still encoded; or null."""
     pattern = rf"(?i)\s{re.escape(name)}\s*=\s*[\"']([^\"']*)[\"']"
     return F.get(F.regexp_extract_all(tag_text, F.lit(pattern), F.lit(1)), F.lit(0))
 
 
 def without_tags(html: Column) -> Column:
     """Text of a fragment with its entities still encoded."""
-    return F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
+    return F.when(
+        F.contains(html, F.lit("<")), F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
+    ).otherwise(html)
+
+
+def text_after(html: Column, mark: str) -> Column:
+    """Text from the first `mark` on, without stripping what stands before it; empty without one."""
+    at = F.locate(mark, html)
+    head = F.substring(html, F.lit(1), at - 1)
+    inside_tag = F.contains(head, F.lit("<")) & ~F.contains(
+        F.substring_index(head, "<", -1), F.lit(">")
+    )
+    return (
+        F.when(at == 0, F.lit(""))
+        .when(inside_tag, without_tags(html))
+        .otherwise(without_tags(F.substring(html, at, F.length(html))))
+    )
 
 
 def text_of(html: Column) -> Column:

@@ -12,6 +12,20 @@ from pyspark.sql import types as T
 # What str.strip() removes. All such characters lie below U+3001.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 NBSP = "\u00a0"
+# Longer than any array of pieces a string can be split into, short enough to add to.
+ALL_REST = 2**30
+
+
+def without(text: Column, *marks: str) -> Column:
+    """Drop fixed texts. `translate` would look up every character; this is a byte search."""
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
+def pieces_after(pieces: Column, skipped: int = 1) -> Column:
+    """The array without its first items; mentions `pieces` once, so it is computed once."""
+    return F.slice(pieces, F.lit(skipped + 1), F.lit(ALL_REST))
 
 
 def whitespace_strip(text: Column) -> Column:
@@ -21,7 +35,7 @@ def whitespace_strip(text: Column) -> Column:
 
 def newline_strip(text: Column) -> Column:
     """Join lines: CR and LF go, nothing takes their place."""
-    return F.translate(text, "\r\n", "")
+    return without(text, "\r", "\n")
 
 
 def nbsp_normalise(text: Column, to: str = " ") -> Column:
@@ -89,3 +103,11 @@ def entity_decode_nested(cells: Column) -> Column:
     """As `entity_decode`, for lists of lists."""
     has_entity = F.exists(cells, lambda cell: F.exists(cell, lambda s: F.contains(s, F.lit("&"))))
     return F.coalesce(_unescape_nested(F.when(has_entity, cells)), cells)
+
+
+def pinned(column: Column) -> Column:
+    """The same value, but a filter on it stays above the projection that computes it.
+
+    Spark would otherwise copy the whole expression below, and evaluate it twice.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)

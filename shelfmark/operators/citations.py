@@ -11,7 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import newline_strip, whitespace_strip, year_cast
+from shelfmark.functions.text import (
+    newline_strip,
+    pieces_after,
+    whitespace_strip,
+    without,
+    year_cast,
+)
 from shelfmark.schemas import CITATION_FIELDS
 
 # Fixed value: the sentence a failed export holds.
@@ -54,15 +60,11 @@ def record_pieces(exports: DataFrame, dialect: str = "a", compat: bool = False)
     if compat:
         rules = DIALECTS[dialect]
         pieces = F.split(text, rf"\Q{rules.record_mark}\E")
-        records = F.slice(
-            pieces,
-            F.lit(rules.skipped_pieces + 1),
-            F.greatest(F.size(pieces) - rules.skipped_pieces, F.lit(0)),
-        )
+        records = pieces_after(pieces, rules.skipped_pieces)
     else:
         pieces = F.split(text, RECORD_START)
         records = F.filter(
-            F.slice(pieces, F.lit(2), F.size(pieces)),
+            pieces_after(pieces),
             lambda piece: F.lower(F.substring_index(piece, "{", 1)) != "comment",
         )
     kept = [c for c in exports.columns if c != "value"]
@@ -88,19 +90,19 @@ def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = Fals
             F.substring(record, F.lit(1), F.length(record) - 1)
         )
         mark = rf"\Q{DIALECTS[dialect].field_mark}\E"
-        parts = F.split(F.translate(body, "{", ""), mark)
+        parts = F.split(without(body, "{"), mark)
     else:
         kind = F.lower(whitespace_strip(F.substring_index(record, "{", 1)))
         parts = F.split(F.when(comma > 0, body), FIELD_START)
 
     def entry(part: Column, position: Column) -> Column:
         if compat:
-            halves = F.split(F.translate(part, "{}", ""), "=")
+            halves = F.split(without(part, "{", "}"), "=")
             key = whitespace_strip(F.get(halves, F.lit(0)))
         else:
             halves = F.split(part, "=", 2)
-            key = F.lower(whitespace_strip(F.translate(F.get(halves, F.lit(0)), "{}", "")))
-        value = whitespace_strip(F.translate(F.get(halves, F.lit(1)), "{}", ""))
+            key = F.lower(whitespace_strip(without(F.get(halves, F.lit(0)), "{", "}")))
+        value = whitespace_strip(without(F.get(halves, F.lit(1)), "{", "}"))
         return F.struct(key.alias("key"), position.alias("position"), value.alias("value"))
 
     with_field = F.filter(F.transform(parts, entry), lambda e: e["value"].isNotNull())

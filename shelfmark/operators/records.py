@@ -9,13 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.markup import elements, text_of, without_tags
+from shelfmark.functions.markup import (
+    elements,
+    first_element,
+    normal_tags,
+    text_after,
+    text_of,
+    without_tags,
+)
 from shelfmark.functions.text import (
     doc_type,
     entity_decode,
     entity_decode_nested,
     markup_strip,
     nbsp_normalise,
+    pieces_after,
+    pinned,
     whitespace_strip,
 )
 from shelfmark.schemas import RECORD_COLUMNS
@@ -40,7 +49,9 @@ def record_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
     kept = [c for c in pages.columns if c != html]
     return pages.select(
         *kept,
-        F.posexplode(elements(F.col(html), "div", cls=CONTAINER)).alias("record_ordinal", "block"),
+        F.posexplode(elements(normal_tags(F.col(html)), "div", cls=CONTAINER)).alias(
+            "record_ordinal", "block"
+        ),
     )
 
 
@@ -54,7 +65,7 @@ def section_positions(blocks: DataFrame) -> DataFrame:
     kept = [c for c in blocks.columns if c != "block"]
     return (
         record_sections(blocks)
-        .select(*kept, F.posexplode("sections").alias("position", "section"))
+        .select(*kept, F.posexplode_outer("sections").alias("position", "section"))
         .where(F.col("section") != "")
     )
 
@@ -64,20 +75,15 @@ def _section(name: str) -> Column:
     return F.nullif(found, F.lit(""))
 
 
-def _first_field(html: Column) -> Column:
-    return F.get(elements(html, "span", cls=FIELD), F.lit(0))
-
-
-def header_parts(header: Column) -> dict[str, Column]:
-    """Raw parts of a header section. How many fields it has tells whether authors are among them."""
-    fields = elements(header, "span", cls=FIELD)
+def header_parts(header: Column, fields: Column) -> dict[str, Column]:
+    """Raw parts of a header section and its fields, whose number tells if authors are among them."""
     has_doi = F.contains(header, F.lit("DOI:"))
     has_authors = F.size(fields) > F.when(has_doi, 2).otherwise(1)
     return {
         "_authors": F.when(has_authors, F.get(fields, F.lit(0))),
         "_reference": F.get(fields, F.when(has_authors, 1).otherwise(0)),
-        "_title": F.get(elements(header, "span", cls=BOLD_FIELD), F.lit(0)),
-        "_doi": F.when(has_doi & (F.size(fields) > 0), F.get(fields, F.size(fields) - 1)),
+        "_title": first_element(header, "span", cls=BOLD_FIELD),
+        "_doi": F.when(has_doi, F.get(fields, F.size(fields) - 1)),
     }
 
 
@@ -125,15 +131,13 @@ def scopus_affiliations(section: Column) -> Column:
     What stands before the first break and after the last one is no affiliation.
     """
     marked = F.replace(F.replace(section, F.lit("<sup>"), F.lit("")), F.lit("</sup>"), F.lit("--"))
-    lines = F.split(marked, r"(?i)<br\s*/?>")
+    lines = F.split(marked, r"<br\s*/?>")
     return F.when(F.size(lines) >= 3, F.slice(lines, F.lit(2), F.size(lines) - 2))
 
 
 def scopus_citations(section: Column) -> Column:
     """Texts of the spans of each non-empty cell; entities still encoded."""
-    cells = F.filter(
-        elements(section, "td"), lambda cell: F.length(without_tags(cell)) > 0
-    )
+    cells = F.filter(elements(section, "td"), lambda cell: F.length(without_tags(cell)) > 0)
     return F.transform(
         cells,
         lambda cell: F.transform(elements(cell, "span"), without_tags),
@@ -152,26 +156,30 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
     """
     blocks = record_sections(record_blocks(pages))
     kept = [c for c in blocks.columns if c not in ("block", "sections")]
-    header = header_parts(_section("header"))
-    # Raw parts first, so that each is cut once, before anything is derived from it.
-    raw = blocks.select(
+    # In steps, so that each part is cut once before anything is derived from it.
+    cut = blocks.select(
+        *kept,
+        text_after(F.col("block"), "Type:").alias("_type"),
+        *[_section(name).alias(f"_{name}") for name in SECTIONS],
+    ).withColumn("_fields", elements(F.col("_header"), "span", cls=FIELD))
+    raw = cut.select(
         *kept,
-        without_tags(F.col("block")).alias("_text"),
-        _section("header").isNotNull().alias("_has_header"),
-        *[column.alias(name) for name, column in header.items()],
-        scopus_affiliations(_section("affiliations")).alias("_affiliations"),
+        "_type",
+        F.col("_header").isNotNull().alias("_has_header"),
+        F.col("_abstract").isNotNull().alias("_has_abstract"),
+        *[c.alias(name) for name, c in header_parts(F.col("_header"), F.col("_fields")).items()],
+        scopus_affiliations(F.col("_affiliations")).alias("_affiliations"),
         *[
-            _first_field(_section(name)).alias(f"_{name}")
-            for name in ("abstract", "author_keywords", "index_keywords")
+            first_element(F.col(name), "span", cls=FIELD).alias(name)
+            for name in ("_abstract", "_author_keywords", "_index_keywords")
         ],
-        _section("abstract").isNotNull().alias("_has_abstract"),
-        scopus_citations(_section("citations")).alias("_citations"),
+        scopus_citations(F.col("_citations")).alias("_citations"),
     )
     decoded = raw.select(
         *kept,
         "_has_header",
         "_has_abstract",
-        entity_decode(doc_type(F.col("_text"))).alias("document_type"),
+        entity_decode(doc_type(F.col("_type"))).alias("document_type"),
         entity_decode(scopus_authors(F.col("_authors"))).alias("authors"),
         text_of(F.col("_reference")).alias("_reference"),
         text_of(F.col("_title")).alias("title"),
@@ -209,7 +217,7 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
                 ),
                 "authors_list": F.split("authors", "\n"),
                 "affiliations_list": F.split("affiliations", "\n"),
-                "problem": F.nullif(problem, F.lit("")),
+                "problem": pinned(F.nullif(problem, F.lit(""))),
             }
         )
         .select(
@@ -226,39 +234,45 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
 def author_rows(records: DataFrame) -> DataFrame:
     """One row per author: `(file_name, record_ordinal, author_position, author, marks)`."""
     parts = F.split(F.col("_line"), "--")
-    return records.select(
-        "file_name",
-        "record_ordinal",
-        F.posexplode("authors_list").alias("author_position", "_line"),
-    ).select(
+    return _exploded(records, "authors_list", "author_position", "_line").select(
         "file_name",
         "record_ordinal",
         "author_position",
         whitespace_strip(F.get(parts, F.lit(0))).alias("author"),
         F.filter(
-            F.transform(F.slice(parts, F.lit(2), F.size(parts)), whitespace_strip),
+            F.transform(pieces_after(parts), whitespace_strip),
             lambda mark: mark != "",
         ).alias("marks"),
     )
 
 
+def affiliation_rows(records: DataFrame) -> DataFrame:
+    """One row per affiliation: `(file_name, record_ordinal, position, affiliation)`."""
+    return _exploded(records, "affiliations_list", "position", "affiliation")
+
+
+def citation_cells(records: DataFrame) -> DataFrame:
+    """One row per non-empty cell: `(file_name, record_ordinal, reference_position, cell)`."""
+    return _exploded(records, "citations_list", "reference_position", "cell")
+
+
 def citation_rows(records: DataFrame) -> DataFrame:
     """One row per span: `(file_name, record_ordinal, reference_position, span_position, text)`."""
-    return (
-        records.select(
-            "file_name",
-            "record_ordinal",
-            F.posexplode("citations_list").alias("reference_position", "_cell"),
-        )
-        .select(
-            "file_name",
-            "record_ordinal",
-            "reference_position",
-            F.posexplode("_cell").alias("span_position", "text"),
-        )
+    return citation_cells(records).select(
+        "file_name",
+        "record_ordinal",
+        "reference_position",
+        F.posexplode("cell").alias("span_position", "text"),
     )
 
 
+def _exploded(records: DataFrame, items: str, position: str, item: str) -> DataFrame:
+    # An inner explode lets Spark infer a filter on the list, which would compute the list twice.
+    return records.select(
+        "file_name", "record_ordinal", F.posexplode_outer(items).alias(position, item)
+    ).where(F.col(position).isNotNull())
+
+
 def split_quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sound records, and those with a problem."""
     return (

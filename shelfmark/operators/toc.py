@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.markup import attribute, elements, elements_with_tag, text_of
-from shelfmark.functions.text import entity_decode, issue_label, whitespace_strip, year_cast, year_from_status
+from shelfmark.functions.markup import (
+    attribute,
+    elements,
+    elements_with_tag,
+    first_element,
+    normal_tags,
+    text_of,
+)
+from shelfmark.functions.text import (
+    entity_decode,
+    issue_label,
+    pinned,
+    whitespace_strip,
+    year_cast,
+    year_from_status,
+)
 from shelfmark.functions.urls import ISSUE_BASE_A, url_absolutise
 
 # Element and class names of the two feeds.
@@ -19,7 +33,7 @@ STATUS_B = "js-issue-status text-s"
 def links_extract(pages: DataFrame, tag: str = "a", html: str = "html") -> DataFrame:
     """One row per link, `(…, position, href, text)`; keeps the columns of `pages` but its HTML."""
     kept = [c for c in pages.columns if c != html]
-    found = elements_with_tag(F.col(html), tag, attribute="href")
+    found = elements_with_tag(normal_tags(F.col(html), tag), tag, attribute="href")
     return pages.select(*kept, F.posexplode(found).alias("position", "_link")).select(
         *kept,
         "position",
@@ -31,7 +45,7 @@ def links_extract(pages: DataFrame, tag: str = "a", html: str = "html") -> DataF
 def year_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
     """The list items that carry a year, one row each; items without one hold no issues of their own."""
     kept = [c for c in pages.columns if c != html]
-    items = elements_with_tag(F.col(html), "li", attribute="data-year")
+    items = elements_with_tag(normal_tags(F.col(html), LINK_A), "li", attribute="data-year")
     return pages.select(*kept, F.explode(items).alias("_item")).select(
         *kept,
         attribute(F.col("_item.tag"), "data-year").alias("data_year"),
@@ -54,21 +68,17 @@ def toc_issues_a(pages: DataFrame, base: str = ISSUE_BASE_A) -> DataFrame:
 def toc_issues_b(pages: DataFrame) -> DataFrame:
     """`(journal, html)` to issues: one block per issue, its year the last word of its status."""
     item = F.col("_item")
-
-    def first(found: Column) -> Column:
-        return F.get(found, F.lit(0))
-
-    blocks = pages.select(
-        "journal", F.explode(elements(F.col("html"), "div", cls=ITEM_B, exact=True)).alias("_item")
-    )
+    items = elements(normal_tags(F.col("html")), "div", cls=ITEM_B, exact=True)
+    blocks = pages.select("journal", F.explode(items).alias("_item"))
+    anchor = F.get(elements_with_tag(item, "a", cls=ANCHOR_B, exact=True), F.lit(0))
     parts = blocks.select(
         "journal",
-        first(elements_with_tag(item, "a", cls=ANCHOR_B, exact=True)).alias("_anchor"),
-        first(elements(item, "h3", cls=STATUS_B, exact=True)).alias("_status"),
+        anchor.alias("_anchor"),
+        first_element(item, "h3", cls=STATUS_B, exact=True).alias("_status"),
     )
     texts = parts.select(
         "journal",
-        entity_decode(attribute(F.col("_anchor.tag"), "href")).alias("issue_url"),
+        pinned(entity_decode(attribute(F.col("_anchor.tag"), "href"))).alias("issue_url"),
         whitespace_strip(text_of(F.col("_anchor.inner"))).alias("_link"),
         whitespace_strip(text_of(F.col("_status"))).alias("_status"),
     )

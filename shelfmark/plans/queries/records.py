@@ -89,9 +89,7 @@ def _(spark, d):
        SELECT doc_id || '.html', CAST(1 AS INTEGER), 'b--' || lang FROM documents""",
 )
 def _(spark, d):
-    return _records(spark, d).select(
-        "file_name", F.posexplode("affiliations_list").alias("position", "affiliation")
-    )
+    return ops.affiliation_rows(_records(spark, d)).drop("record_ordinal")
 
 
 _CELLS = (
@@ -122,11 +120,9 @@ def _(spark, d):
     _CELLS + " SELECT file_name, reference_position, pos || '|' || line || ' ' AS cell FROM cells",
 )
 def _(spark, d):
-    cells = _records(spark, d).select(
-        "file_name", F.posexplode("citations_list").alias("reference_position", "_spans")
-    )
-    return cells.select(
-        "file_name", "reference_position", F.array_join("_spans", "|").alias("cell")
+    spans = ops.citation_cells(_records(spark, d))
+    return spans.select(
+        "file_name", "reference_position", F.array_join("cell", "|").alias("cell")
     )
 
 
