@@ -10,11 +10,11 @@ from shelfmark.session import checkpoint
 # A key with more rows than this is split; session setting, so a test can lower it.
 HOT_ROWS_SETTING = "shelfmark.skew.hotRows"
 HOT_ROWS = 1_000_000
-# At most this many keys are split, the largest ones; any other key owns under 1/HOT_KEYS of all rows.
-HOT_KEYS = 128
-TRACKED_KEYS = 1024
-# Partial sketches are merged in two levels.
-MERGE_GROUPS = 32
+# Keys are counted in groups by hash; the largest of each group may be split. Their number bounds
+# what is broadcast, and a key that is neither owns well under a hundredth of the rows.
+GROUPS = 16
+HOT_PER_GROUP = 16
+TRACKED_PER_GROUP = 128
 
 
 def hot_rows(df: DataFrame) -> int:
@@ -22,23 +22,19 @@ def hot_rows(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """`(key, _salts)` of the keys with many rows: never more than HOT_KEYS rows.
+    """`(key, _salts)` of the keys with many rows: GROUPS * HOT_PER_GROUP rows at most.
 
-    One scan of the key column, with frequent-item sketches combined map-side. The counts are
-    estimates; they steer only how rows are spread, never which rows a result holds.
+    One scan of the key column into frequent-item sketches of fixed size, combined map-side. The
+    counts are estimates; they steer only how rows are spread, never which rows a result holds.
     """
     limit = hot_rows(df)
-    sketches = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_group")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("_sketch")
-    )
-    top = sketches.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(_sketch, {TRACKED_KEYS}), {HOT_KEYS})").alias(
-            "_top"
-        )
-    )
+    top = F.expr(f"approx_top_k(`{key}`, {HOT_PER_GROUP}, {TRACKED_PER_GROUP})")
     return (
-        top.select(F.inline("_top"))
-        .where((F.col("count") > limit) & F.col("item").isNotNull())
+        df.where(F.col(key).isNotNull())
+        .groupBy(F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias("_group"))
+        .agg(top.alias("_top"))
+        .select(F.inline("_top"))
+        .where(F.col("count") > limit)
         .select(F.col("item").alias(key), F.ceil(F.col("count") / limit).cast("int").alias("_salts"))
     )
 
@@ -60,7 +56,7 @@ def lookup(
     """
     if hot is None:
         hot = hot_keys(left, key)
-    hot = F.broadcast(hot)  # HOT_KEYS rows at most
+    hot = F.broadcast(hot)  # its size is bounded, see hot_keys
     spread = F.xxhash64(*[c for c in left.columns if not _is_map(left, c)], F.spark_partition_id())
     salted = (
         left.join(hot, key, "left")
