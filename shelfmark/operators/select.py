@@ -37,7 +37,10 @@ def distinct_issue(articles: DataFrame) -> DataFrame:
 
 
 def sort_issue_url(articles: DataFrame) -> DataFrame:
-    return articles.orderBy(F.col("issue_url").asc_nulls_last(), F.col("url").asc_nulls_last())
+    """Sorted by issue and URL, nulls last. Equal rows may go to several tasks, by where they are now."""
+    return articles.orderBy(
+        F.col("issue_url").asc_nulls_last(), F.col("url").asc_nulls_last(), F.spark_partition_id()
+    )
 
 
 def first_per_issue(articles: DataFrame, order: tuple[str, ...] = URL_ORDER) -> DataFrame:
@@ -90,8 +93,12 @@ def articles_per_issue(articles: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def collect_queue(pending: DataFrame, order: tuple[str, ...] = URL_ORDER) -> DataFrame:
-    """The pending articles with their place in the queue of their issue."""
-    return number_rows(pending, "issue_url", _ascending(order))
+    """The queue of each issue: pending articles with their place, equal rows once with their number.
+
+    `order` and the issue must tell all other rows apart.
+    """
+    counted = pending.groupBy(*pending.columns).agg(F.count("*").alias("copies"))
+    return number_rows(counted, "issue_url", _ascending(order), "copies")
 
 
 def next_pending(pending: DataFrame, order: tuple[str, ...] = URL_ORDER) -> DataFrame:

@@ -78,34 +78,36 @@ def _is_map(df: DataFrame, column: str) -> bool:
 
 
 def number_rows(
-    df: DataFrame, key: str, order: list[Column], position: str = "position"
+    df: DataFrame, key: str, order: list[Column], copies: str, position: str = "position"
 ) -> DataFrame:
     """1, 2, 3 … per `key` in `order`, which must be total within a key.
 
-    A window over `key` alone would sort a hot key in one task. Here the rows are range-partitioned
-    by key and order, numbered within each range, and shifted by the rows of the same key in earlier
-    ranges. The ranges come from a sample, so they are fixed by a checkpoint before they are counted.
+    A row stands for `copies` equal ones: it gets the place of the first, and the next row comes
+    after the last. A window over `key` alone would sort a hot key in one task. Here the rows are
+    range-partitioned by key and order, numbered within each range, and shifted by what the same
+    key has in earlier ranges. The ranges come from a sample, so a checkpoint fixes them before they
+    are counted.
     """
     ranged = checkpoint(
         df.repartitionByRange(F.col(key).asc_nulls_last(), *order).withColumn(
             "_range", F.spark_partition_id()
         )
     )
-    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = before.partitionBy(key).orderBy("_range")
     # A range can continue only the key the range before it ended with: one row per range at most.
     shifts = (
         ranged.groupBy(key, "_range")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier))
-        .where(F.col("_before").isNotNull())
-        .select(F.col(key).alias("_key"), F.col("_range").alias("_shifted"), "_before")
+        .agg(F.sum(copies).alias("_n"))
+        .withColumn("_shift", F.sum("_n").over(earlier))
+        .where(F.col("_shift").isNotNull())
+        .select(F.col(key).alias("_key"), F.col("_range").alias("_shifted"), "_shift")
     )
-    local = F.row_number().over(Window.partitionBy(key, "_range").orderBy(*order))
-    joined = ranged.withColumn("_local", local).join(
+    within = before.partitionBy(key, "_range").orderBy(*order)
+    joined = ranged.withColumn("_within", F.sum(copies).over(within)).join(
         F.broadcast(shifts),
         (F.col("_range") == F.col("_shifted")) & F.col(key).eqNullSafe(F.col("_key")),
         "left",
     )
-    return joined.withColumn(
-        position, F.col("_local") + F.coalesce("_before", F.lit(0))
-    ).select(*df.columns, position)
+    place = F.lit(1) + F.coalesce("_within", F.lit(0)) + F.coalesce("_shift", F.lit(0))
+    return joined.withColumn(position, place).select(*df.columns, position)

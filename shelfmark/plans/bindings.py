@@ -14,6 +14,7 @@ from shelfmark.functions.urls import STABLE_MARK, issue_file_id_a, pdf_name
 from shelfmark.operators.citations import BAD_EXPORT
 from shelfmark.operators.toc import ANCHOR_B, ITEM_B, LINK_A, STATUS_B
 from shelfmark.operators.records import CONTAINER, SECTION
+from shelfmark.sources.files import spread
 
 ISSUE_PREFIX = "https://ex.org/stable/"
 ARTICLE_PREFIX = "https://ex.org/a/"
@@ -23,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """For queries that parse a text per row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -92,7 +98,7 @@ def _entry(key: Column, *fields: tuple[str, Column]) -> Column:
 
 
 def order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exports_of_orders(table(spark, sf_dir, "orders"))
+    return exports_of_orders(spread_table(spark, sf_dir, "orders"))
 
 
 def arriving_order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +147,7 @@ def lineitem_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("pages", _text("1-", F.col("l_partkey"))),
         ("year", F.year("l_shipdate").cast("string")),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_table(spark, sf_dir, "lineitem").select(
         _text(_article_key(), ".txt").alias("file_name"),
         _text(ISSUE_PREFIX, F.col("l_orderkey")).alias("issue_url"),
         _text(BANNER, entry).alias("value"),
@@ -168,7 +174,7 @@ def document_exports(spark: SparkSession, sf_dir: str, dialect: str = "a") -> Da
     )
     records = F.array_join(F.concat(F.array(whole), by_line), "")
     banner = BANNER if dialect == "a" else ""
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         _text(doc, ".txt").alias("file_name"),
         _text(ISSUE_PREFIX, doc).alias("issue_url"),
         _text(banner, records).alias("value"),
@@ -187,7 +193,7 @@ def toc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("<nav><dd><ul><li>none</li><li data-year=\"", year, "\"><b>Year</b><ul>"),
     )
     closed = F.replace(opened, F.lit("</ul></nav>"), F.lit("</ul></li></ul></dd></nav>"))
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id", F.col("url").alias("journal"), closed.alias("html")
     )
 
@@ -203,7 +209,7 @@ def order_toc_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority"),
         f"</{LINK_A}></li></ul></li></ul></dd>",
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders").select(
         _text("J", F.col("o_custkey")).alias("journal"), html.alias("html")
     )
 
@@ -221,7 +227,7 @@ def order_toc_b(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "MMMM yyyy"),
         ")</h3></span></div></div>",
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders").select(
         _text("J", F.col("o_custkey")).alias("journal"), html.alias("html")
     )
 
@@ -294,6 +300,6 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[p for part in (full, brief) for p in (f'<div class="{CONTAINER}">', part, tail)],
         "</body></html>",
     )
-    return table(spark, sf_dir, "documents").select(
+    return spread_table(spark, sf_dir, "documents").select(
         _text(F.col("doc_id"), ".html").alias("file_name"), html.alias("html")
     )

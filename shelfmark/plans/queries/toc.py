@@ -26,7 +26,7 @@ _LINKS = rf"""
 
 @query("links_extract", _LINKS + " SELECT page_id, position, href, text FROM links")
 def _(spark, d):
-    return ops.links_extract(bindings.table(spark, d, "pages").select("page_id", "html"))
+    return ops.links_extract(bindings.spread_table(spark, d, "pages").select("page_id", "html"))
 
 
 @query(

@@ -18,6 +18,16 @@ def scan_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.csv(path, header=True) if fmt == "csv" else reader.format(fmt).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has fewer splits than that.
+
+    For heavy work per row on a small table of few row groups. A table of many splits is left as it
+    is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_issues(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return scan_table(spark, path, schemas.ISSUES, fmt)
 

@@ -17,6 +17,7 @@ from shelfmark.operators.citations import bibtex_parse, filter_bad_export
 from shelfmark.operators.select import missing_issues
 from shelfmark.operators.skew import lookup
 from shelfmark.schemas import ARTICLES
+from shelfmark.sources.files import spread
 
 _ARRIVAL = [T.StructField("arrived", T.TimestampType()), T.StructField("batch", T.LongType())]
 _STORED = T.StructType([*ARTICLES.fields, *_ARRIVAL])
@@ -48,7 +49,8 @@ def stream_exports(
     """Parse a stream of exports into `table` until all that has arrived is done."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        good, rejected = filter_bad_export(batch.withColumn("batch", F.lit(batch_id).cast("long")))
+        numbered = spread(batch).withColumn("batch", F.lit(batch_id).cast("long"))
+        good, rejected = filter_bad_export(numbered)
         parsed = bibtex_parse(good, dialect).select(*_STORED.names)
         parsed.write.mode("overwrite").parquet(f"{table}/articles/run={batch_id}")
         rejected.select(*_REJECTED.names).write.mode("overwrite").parquet(

@@ -145,19 +145,32 @@ def test_held_per_issue(spark, articles, rows, held):
     assert bag(holdings.held_per_issue(issues, articles, held)) == expected
 
 
-def test_numbered_queue(articles):
-    distinct = articles.where(F.col("url").isNotNull()).dropDuplicates(["issue_url", "url"])
-    queue = select.collect_queue(distinct.select("issue_url", "url"))
+def test_numbered_queue(articles, rows):
+    queue = select.collect_queue(articles.select("issue_url", "url"))
     expected = Counter()
     groups = {}
-    for r in distinct.collect():
-        groups.setdefault(r.issue_url, []).append(r.url)
+    for issue, url, _ in rows:
+        groups.setdefault(issue, []).append(url)
     for issue, found in groups.items():
-        for position, url in enumerate(sorted(found), 1):
-            expected[(issue, url, position)] += 1
+        ordered = sorted(found, key=lambda u: (u is None, u))
+        for url, n in Counter(found).items():
+            expected[(issue, url, n, ordered.index(url) + 1)] += 1
     assert bag(queue) == expected
 
 
+def test_equal_rows_are_sorted_in_several_tasks(spark, articles):
+    ordered = select.sort_issue_url(articles)
+    found = [(r.issue_url, r.url) for r in ordered.collect()]
+    key = lambda r: (r[0] is None, r[0] or "", r[1] is None, r[1] or "")
+    assert found == sorted(found, key=key)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        placed = ordered.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len({r.task for r in placed if r.issue_url == "copied"}) > 1
+
+
 def test_first_per_issue_passes_one_row_per_partition(spark, articles):
     first = select.first_per_issue(articles, ("url", "year"))
     plan = first._jdf.queryExecution().executedPlan().toString()
