@@ -51,12 +51,17 @@ def with_url(articles: DataFrame) -> DataFrame:
     return articles.withColumn("_url", F.coalesce(*names)).drop(*names).withColumnRenamed("_url", "url")
 
 
+def file_name() -> Column:
+    """Name of the file a row was read from; the metadata column holds it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .text(path, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("file_name"), "value")
+        .select(file_name().alias("file_name"), "value")
     )
 
 
@@ -96,7 +101,7 @@ def scan_holdings(spark: SparkSession, path: str, pattern: str = "*.pdf", contai
         .option("recursiveFileLookup", "true")
         .load(path)
         .select(
-            F.col("_metadata.file_name").alias("name"),
+            file_name().alias("name"),
             "path",
             "length",
             F.col("modificationTime").alias("modification_time"),

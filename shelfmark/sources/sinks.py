@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfmark.operators.holdings import completeness_gate, held_totals
 
@@ -26,6 +27,15 @@ def sink_records(records: DataFrame, path: str, fmt: str = "parquet") -> None:
     write_table(records, path, fmt)
 
 
+def sink_record_load(records: DataFrame, path: str) -> None:
+    """Sound records and quarantined ones, split by one write so that pages are parsed once.
+
+    Read either side with a filter on `quarantined`, which selects a folder.
+    """
+    marked = records.withColumn("quarantined", F.col("problem").isNotNull())
+    marked.write.mode("overwrite").partitionBy("quarantined").parquet(path)
+
+
 @dataclass(frozen=True)
 class GateResult:
     complete: bool

@@ -17,7 +17,7 @@ from shelfmark.operators.citations import bibtex_parse, filter_bad_export
 from shelfmark.operators.select import missing_issues
 from shelfmark.operators.skew import lookup
 from shelfmark.schemas import ARTICLES
-from shelfmark.sources.files import spread
+from shelfmark.sources.files import file_name, spread
 
 _ARRIVAL = [T.StructField("arrived", T.TimestampType()), T.StructField("batch", T.LongType())]
 _STORED = T.StructType([*ARTICLES.fields, *_ARRIVAL])
@@ -34,7 +34,7 @@ def read_exports(spark: SparkSession, path: str, pattern: str = "*.txt") -> Data
         .option("recursiveFileLookup", "true")
         .text(path, wholetext=True)
         .select(
-            F.col("_metadata.file_name").alias("file_name"),
+            file_name().alias("file_name"),
             F.col("_metadata.file_modification_time").alias("arrived"),
             "value",
         )

@@ -56,6 +56,16 @@ def test_holdings_listing_reads_no_content(spark, tmp_path):
     assert [r.name for r in named.collect()] == ["Citations_1.bib"]
 
 
+def test_file_names_with_special_characters(spark, tmp_path):
+    names = {"a b.pdf", "c+d.pdf", "e%20f.pdf", "g?h.pdf", "é.pdf"}
+    for name in names:
+        (tmp_path / name).write_text("x")
+        (tmp_path / name.replace("pdf", "txt")).write_text("x")
+    assert {r.name for r in files.scan_holdings(spark, str(tmp_path)).collect()} == names
+    exports = files.scan_exports(spark, str(tmp_path)).collect()
+    assert {r.file_name.replace("txt", "pdf") for r in exports} == names
+
+
 def test_remote_manifest(spark, tmp_path):
     rows = [("1.pdf", "a", "application/pdf"), ("f", "b", "folder")]
     spark.createDataFrame(rows, schemas.REMOTE_HOLDINGS).write.parquet(str(tmp_path / "m"))
