@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import ALL_REST, entity_decode, pieces_after
+from shelfmark.functions.text import ALL_REST, hard_spaces, pieces_after
 
 # The element names the feeds use.
 TAGS = ("a", "br", "dd", "div", "h3", "li", "span", "sup", "table", "td", "ul")
@@ -99,10 +99,13 @@ def attribute(tag_text: Column, name: str) -> Column:
 
 
 def without_tags(html: Column) -> Column:
-    """Text of a fragment with its entities still encoded."""
-    return F.when(
-        F.contains(html, F.lit("<")), F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", "")
-    ).otherwise(html)
+    """Text of a fragment; entities still encoded."""
+    return F.regexp_replace(html, r"(?s)<(?:!--.*?--|[^>]*)>", "")
+
+
+def bare_text(html: Column) -> Column:
+    """Text of a fragment with hard spaces decoded; `entity_decode` does the other entities."""
+    return hard_spaces(without_tags(html))
 
 
 def text_after(html: Column, mark: str) -> Column:
@@ -117,7 +120,3 @@ def text_after(html: Column, mark: str) -> Column:
         .when(inside_tag, without_tags(html))
         .otherwise(without_tags(F.substring(html, at, F.length(html))))
     )
-
-
-def text_of(html: Column) -> Column:
-    return entity_decode(without_tags(html))

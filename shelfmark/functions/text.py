@@ -89,13 +89,16 @@ _unescape = _unescape_udf()
 _unescape_nested = _unescape_nested_udf()
 
 
+def hard_spaces(text: Column) -> Column:
+    """Decode the commonest entity in place, which spares most text the way to Python."""
+    return F.replace(text, F.lit("&nbsp;"), F.lit(NBSP))
+
+
 def entity_decode(text: Column) -> Column:
-    """HTML entities to characters.
+    """HTML entities to characters; only text with an ampersand travels to Python.
 
-    Hard spaces, the common case, are decoded in place; only text with another entity travels to
-    Python.
+    `text` is evaluated thrice, so it should be a column and not an expression.
     """
-    text = F.replace(text, F.lit("&nbsp;"), F.lit(NBSP))
     return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
 
 

@@ -10,17 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.markup import (
+    bare_text,
     elements,
     first_element,
     normal_tags,
     text_after,
-    text_of,
     without_tags,
 )
 from shelfmark.functions.text import (
     doc_type,
     entity_decode,
     entity_decode_nested,
+    hard_spaces,
     markup_strip,
     nbsp_normalise,
     pieces_after,
@@ -80,10 +81,10 @@ def header_parts(header: Column, fields: Column) -> dict[str, Column]:
     has_doi = F.contains(header, F.lit("DOI:"))
     has_authors = F.size(fields) > F.when(has_doi, 2).otherwise(1)
     return {
-        "_authors": F.when(has_authors, F.get(fields, F.lit(0))),
-        "_reference": F.get(fields, F.when(has_authors, 1).otherwise(0)),
-        "_title": first_element(header, "span", cls=BOLD_FIELD),
-        "_doi": F.when(has_doi, F.get(fields, F.size(fields) - 1)),
+        "authors": F.when(has_authors, F.get(fields, F.lit(0))),
+        "reference": F.get(fields, F.when(has_authors, 1).otherwise(0)),
+        "title": first_element(header, "span", cls=BOLD_FIELD),
+        "doi": F.when(has_doi, F.get(fields, F.size(fields) - 1)),
     }
 
 
@@ -144,10 +145,6 @@ def scopus_citations(section: Column) -> Column:
     )
 
 
-def _lines(items: Column, separator: str) -> Column:
-    return F.array_join(items, separator)
-
-
 def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
     """Pages `(file_name, html)` to records, in one narrow stage.
 
@@ -162,38 +159,36 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
         text_after(F.col("block"), "Type:").alias("_type"),
         *[_section(name).alias(f"_{name}") for name in SECTIONS],
     ).withColumn("_fields", elements(F.col("_header"), "span", cls=FIELD))
+    header = header_parts(F.col("_header"), F.col("_fields"))
     raw = cut.select(
         *kept,
-        "_type",
         F.col("_header").isNotNull().alias("_has_header"),
         F.col("_abstract").isNotNull().alias("_has_abstract"),
-        *[c.alias(name) for name, c in header_parts(F.col("_header"), F.col("_fields")).items()],
-        scopus_affiliations(F.col("_affiliations")).alias("_affiliations"),
+        hard_spaces(doc_type(F.col("_type"))).alias("document_type"),
+        hard_spaces(scopus_authors(header["authors"])).alias("authors"),
+        *[bare_text(header[name]).alias(name) for name in ("reference", "title", "doi")],
+        hard_spaces(F.array_join(scopus_affiliations(F.col("_affiliations")), "\n")).alias(
+            "affiliations"
+        ),
         *[
-            first_element(F.col(name), "span", cls=FIELD).alias(name)
-            for name in ("_abstract", "_author_keywords", "_index_keywords")
+            bare_text(first_element(F.col(f"_{name}"), "span", cls=FIELD)).alias(name)
+            for name in ("abstract", "author_keywords", "index_keywords")
         ],
         scopus_citations(F.col("_citations")).alias("_citations"),
     )
+    texts = ("authors", "reference", "title", "doi", "abstract", "author_keywords", "index_keywords")
     decoded = raw.select(
         *kept,
         "_has_header",
         "_has_abstract",
-        entity_decode(doc_type(F.col("_type"))).alias("document_type"),
-        entity_decode(scopus_authors(F.col("_authors"))).alias("authors"),
-        text_of(F.col("_reference")).alias("_reference"),
-        text_of(F.col("_title")).alias("title"),
-        text_of(F.col("_doi")).alias("doi"),
-        nbsp_normalise(entity_decode(_lines(F.col("_affiliations"), "\n")), "").alias("affiliations"),
-        text_of(F.col("_abstract")).alias("abstract"),
-        text_of(F.col("_author_keywords")).alias("author_keywords"),
-        text_of(F.col("_index_keywords")).alias("index_keywords"),
+        *[entity_decode(F.col(name)).alias(name) for name in ("document_type", *texts)],
+        nbsp_normalise(entity_decode(F.col("affiliations")), "").alias("affiliations"),
         F.transform(
             entity_decode_nested(F.col("_citations")),
             lambda cell: F.transform(cell, lambda span: nbsp_normalise(span)),
         ).alias("citations_list"),
     )
-    line = scopus_header(F.col("_reference"), compat)
+    line = scopus_header(F.col("reference"), compat)
     problem = F.concat_ws(
         "; ",
         F.when(F.col("document_type").isNull(), F.lit("no document type")),
@@ -212,8 +207,8 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
                 "document_type": F.col("document_type")
                 if compat
                 else whitespace_strip(F.col("document_type")),
-                "citations": _lines(
-                    F.transform("citations_list", lambda cell: _lines(cell, "|")), "--\n"
+                "citations": F.array_join(
+                    F.transform("citations_list", lambda cell: F.array_join(cell, "|")), "--\n"
                 ),
                 "authors_list": F.split("authors", "\n"),
                 "affiliations_list": F.split("affiliations", "\n"),

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.markup import (
     attribute,
+    bare_text,
     elements,
     elements_with_tag,
     first_element,
     normal_tags,
-    text_of,
 )
 from shelfmark.functions.text import (
     entity_decode,
@@ -34,11 +34,17 @@ def links_extract(pages: DataFrame, tag: str = "a", html: str = "html") -> DataF
     """One row per link, `(…, position, href, text)`; keeps the columns of `pages` but its HTML."""
     kept = [c for c in pages.columns if c != html]
     found = elements_with_tag(normal_tags(F.col(html), tag), tag, attribute="href")
-    return pages.select(*kept, F.posexplode(found).alias("position", "_link")).select(
+    raw = pages.select(*kept, F.posexplode(found).alias("position", "_link")).select(
         *kept,
         "position",
-        entity_decode(attribute(F.col("_link.tag"), "href")).alias("href"),
-        whitespace_strip(text_of(F.col("_link.inner"))).alias("text"),
+        attribute(F.col("_link.tag"), "href").alias("_href"),
+        bare_text(F.col("_link.inner")).alias("_text"),
+    )
+    return raw.select(
+        *kept,
+        "position",
+        entity_decode(F.col("_href")).alias("href"),
+        whitespace_strip(entity_decode(F.col("_text"))).alias("text"),
     )
 
 
@@ -71,16 +77,17 @@ def toc_issues_b(pages: DataFrame) -> DataFrame:
     items = elements(normal_tags(F.col("html")), "div", cls=ITEM_B, exact=True)
     blocks = pages.select("journal", F.explode(items).alias("_item"))
     anchor = F.get(elements_with_tag(item, "a", cls=ANCHOR_B, exact=True), F.lit(0))
-    parts = blocks.select(
+    parts = blocks.select("journal", "_item", anchor.alias("_anchor")).select(
         "journal",
-        anchor.alias("_anchor"),
-        first_element(item, "h3", cls=STATUS_B, exact=True).alias("_status"),
+        attribute(F.col("_anchor.tag"), "href").alias("_href"),
+        bare_text(F.col("_anchor.inner")).alias("_link"),
+        bare_text(first_element(item, "h3", cls=STATUS_B, exact=True)).alias("_status"),
     )
     texts = parts.select(
         "journal",
-        pinned(entity_decode(attribute(F.col("_anchor.tag"), "href"))).alias("issue_url"),
-        whitespace_strip(text_of(F.col("_anchor.inner"))).alias("_link"),
-        whitespace_strip(text_of(F.col("_status"))).alias("_status"),
+        pinned(entity_decode(F.col("_href"))).alias("issue_url"),
+        whitespace_strip(entity_decode(F.col("_link"))).alias("_link"),
+        whitespace_strip(entity_decode(F.col("_status"))).alias("_status"),
     )
     return texts.select(
         "issue_url",

@@ -44,7 +44,9 @@ def test_links_and_attributes(evaluate):
 
 
 def test_text(evaluate):
-    assert evaluate(markup.text_of, "a<b>c</b><!-- <i>no</i> -->&amp;\n<br\n/>d") == "ac&\nd"
+    assert evaluate(markup.bare_text, "a<b>c</b><!-- <i>no</i> -->&amp;\n<br\n/>d&nbsp;") == (
+        "ac&amp;\nd\u00a0"
+    )
     assert evaluate(lambda c: markup.text_after(c, "Type:"), "<b>x</b>Type: <i>y</i>") == "Type: y"
     assert evaluate(lambda c: markup.text_after(c, "Type:"), '<b a="Type:">x</b>Type: y') == "xType: y"
     assert evaluate(lambda c: markup.text_after(c, "Type:"), "<b>x</b>") == ""
