@@ -130,9 +130,11 @@ def _(spark, d):
 @query(
     "job_work_queue_positions",
     _CHOSEN
-    + """ SELECT issue_url, url, count(*) AS copies,
-                 row_number() OVER (PARTITION BY issue_url ORDER BY url) AS position
-          FROM chosen WHERE NOT held GROUP BY issue_url, url""",
+    + """ SELECT issue_url, url, count(*) AS copies, min(place) AS position
+          FROM (SELECT issue_url, url,
+                       row_number() OVER (PARTITION BY issue_url ORDER BY url) AS place
+                FROM chosen WHERE NOT held)
+          GROUP BY issue_url, url""",
 )
 def _(spark, d):
     work = jobs.job_work_queue(

@@ -118,9 +118,10 @@ _PENDING = "FROM named WHERE name NOT IN (SELECT name FROM holdings)"
 @query(
     "collect_queue",
     views("named", "holdings")
-    + f""" SELECT issue_url, url, count(*) AS copies,
-                  row_number() OVER (PARTITION BY issue_url ORDER BY url) AS position
-           {_PENDING} GROUP BY issue_url, url""",
+    + f""" SELECT issue_url, url, count(*) AS copies, min(place) AS position
+           FROM (SELECT issue_url, url,
+                        row_number() OVER (PARTITION BY issue_url ORDER BY url) AS place {_PENDING})
+           GROUP BY issue_url, url""",
 )
 def _(spark, d):
     narrow = bindings.articles(spark, d).select("issue_url", "url")
