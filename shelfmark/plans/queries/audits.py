@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import holdings as ops
 from shelfmark.plans import bindings
-from shelfmark.plans.queries.registry import FLOOR, query, views
+from shelfmark.plans.queries.registry import FLOOR, as_text, query, views
 
 PER_ISSUE = (
     views("issues", "flagged")
@@ -59,7 +59,7 @@ def _(spark, d):
     PER_ISSUE + " SELECT year, no_docs, issue_url, expected, downloaded FROM per_issue",
 )
 def _(spark, d):
-    return ops.held_per_issue(*_corpus(spark, d))
+    return as_text(ops.held_per_issue(*_corpus(spark, d)), "no_docs")
 
 
 @query(
@@ -122,9 +122,10 @@ def _(spark, d):
            FROM per_issue""",
 )
 def _(spark, d):
-    return ops.remote_reconcile(
+    per_issue = ops.remote_reconcile(
         *_corpus(spark, d), bindings.remote_holdings(spark, d), floor=FLOOR
     )
+    return as_text(per_issue, "no_docs")
 
 
 @query(
@@ -137,9 +138,10 @@ def _(spark, d):
            WHERE i.year >= {FLOOR} GROUP BY 1, 2, 3""",
 )
 def _(spark, d):
-    return ops.remote_per_issue(
+    per_issue = ops.remote_per_issue(
         *_corpus(spark, d), bindings.remote_holdings(spark, d), floor=FLOOR
     )
+    return as_text(per_issue, "no_docs")
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfmark.plans import bindings, jobs
 from shelfmark.plans.queries.audits import PER_ISSUE
 from shelfmark.plans.queries.records import RECORDS
-from shelfmark.plans.queries.registry import END, FLOOR, START, query, views
+from shelfmark.plans.queries.registry import END, FLOOR, START, as_text, query, views
 from shelfmark.session import shared_dir
 from shelfmark.streaming.exports import current_articles, stream_exports
 
@@ -32,7 +32,7 @@ _LOADED = """
              CAST(0 AS INTEGER) AS record_ordinal, '10.2307/' || o_orderkey AS cite_key,
              'Customer ' || o_custkey AS author, 'The ' || o_orderpriority || ', and more' AS title,
              'https://ex.org/a/' || o_orderkey || '?customer=' || o_custkey AS url,
-             CAST(year(o_orderdate) AS INTEGER) AS year, CAST(NULL AS VARCHAR) AS mail
+             CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(NULL AS VARCHAR) AS mail
       FROM good
       UNION ALL
       SELECT 'https://ex.org/stable/' || o_orderkey, o_orderkey || '.txt', CAST(1 AS INTEGER),
@@ -47,7 +47,8 @@ def _load(spark, d):
 
 
 def _with_mail(articles):
-    return articles.select(*_LOADED_COLUMNS, F.try_element_at("extra", F.lit("mail")).alias("mail"))
+    mail = F.try_element_at("extra", F.lit("mail")).alias("mail")
+    return as_text(articles.select(*_LOADED_COLUMNS, mail), "year")
 
 
 @query("job_load_citations", _LOADED + " SELECT * FROM loaded")
@@ -178,7 +179,8 @@ def _corpus(spark, d):
     PER_ISSUE + " SELECT year, no_docs, issue_url, expected, downloaded FROM per_issue",
 )
 def _(spark, d):
-    return jobs.job_holdings_audit(*_corpus(spark, d), floor=FLOOR).per_issue
+    audit = jobs.job_holdings_audit(*_corpus(spark, d), floor=FLOOR)
+    return as_text(audit.per_issue, "no_docs")
 
 
 @query(
@@ -203,6 +205,7 @@ def _(spark, d):
            FROM per_issue""",
 )
 def _(spark, d):
-    return jobs.job_remote_audit(
+    audit = jobs.job_remote_audit(
         *_corpus(spark, d), bindings.remote_holdings(spark, d), floor=FLOOR
-    ).per_issue
+    )
+    return as_text(audit.per_issue, "no_docs")

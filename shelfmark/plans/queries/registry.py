@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.functions.text import WHITESPACE
 
@@ -31,6 +32,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Integers that may be null, as text: readers of results differ in how they show them."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 START, END, FLOOR = 1996, 1997, 1998
 
 SPACE = "||".join(f"chr({ord(c)})" for c in WHITESPACE)
@@ -41,7 +47,7 @@ _VIEWS = {
     "issues": """
         SELECT 'https://ex.org/stable/' || o_orderkey AS issue_url,
                CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS issue_text,
-               'J' || o_custkey AS journal, CAST(NULL AS INTEGER) AS no_docs
+               'J' || o_custkey AS journal, CAST(NULL AS VARCHAR) AS no_docs
         FROM orders""",
     "articles": f"""
         SELECT 'https://ex.org/stable/' || l_orderkey AS issue_url,

@@ -189,7 +189,7 @@ def _(spark, d):
 @query(
     "year_cast",
     """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS plain,
-              CAST(year(o_orderdate) AS INTEGER) AS decimal_form, CAST(NULL AS INTEGER) AS no_year
+              CAST(year(o_orderdate) AS INTEGER) AS decimal_form, CAST(NULL AS VARCHAR) AS no_year
        FROM orders""",
 )
 def _(spark, d):
@@ -198,5 +198,5 @@ def _(spark, d):
         "o_orderkey",
         text.year_cast(F.concat(F.lit(" "), year)).alias("plain"),
         text.year_cast(F.concat(year, F.lit(".0"))).alias("decimal_form"),
-        text.year_cast(F.col("o_orderpriority")).alias("no_year"),
+        text.year_cast(F.col("o_orderpriority")).cast("string").alias("no_year"),
     )

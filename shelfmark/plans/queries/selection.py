@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import select
 from shelfmark.operators.holdings import pending_anti
 from shelfmark.plans import bindings
-from shelfmark.plans.queries.registry import END, FLOOR, START, query, views
+from shelfmark.plans.queries.registry import END, FLOOR, START, as_text, query, views
 from shelfmark.sources.files import filter_ext, with_url
 
 _IN_RANGE = f"year BETWEEN {START} AND {END}"
@@ -15,7 +15,7 @@ _IN_RANGE = f"year BETWEEN {START} AND {END}"
 
 @query("scan_issues", views("issues") + " SELECT * FROM issues")
 def _(spark, d):
-    return bindings.issues(spark, d)
+    return as_text(bindings.issues(spark, d), "no_docs")
 
 
 @query("scan_articles", views("articles") + " SELECT issue_url, url, year FROM articles")
