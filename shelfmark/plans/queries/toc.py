@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from shelfmark.operators import toc as ops
 from shelfmark.plans import bindings
