@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from shelfmark.operators import toc as ops
 from shelfmark.plans import bindings
 from shelfmark.plans.queries.registry import SPACE, query
