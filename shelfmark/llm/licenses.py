@@ -72,7 +72,7 @@ TEMPLATES = (
 
 #: Words too common to look up; a template is matched by its other words, at their places.
 COMMON = frozenset(
-    "a an and any are as by for in is of or that the this to under with you".split()
+    "a an and any are as by for in is of or that the this to under use with you".split()
 )
 
 
@@ -86,7 +86,7 @@ VOCABULARY = sorted(
 )
 _ID = {w: i for i, w in enumerate(VOCABULARY)}
 #: Words of which only the ones beside another licence word count, as prose is full of them.
-_LINKED = {"mit", "use", "0", "2", "3", "4", "v"}
+_LINKED = {"mit", "0", "2", "3", "4", "v"}
 
 
 def _places(template: Template) -> list[int]:
