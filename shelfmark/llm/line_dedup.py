@@ -178,7 +178,8 @@ def dedup_lines(docs: DataFrame, spans: str | None = None) -> DataFrame:
     """
     found = repeated_runs(docs).withColumnRenamed("rid", "_rid").withColumnRenamed("spans", "_spans")
     keyed = docs.withColumn("_rid", _row_key(docs))
-    joined = keyed.join(found, "_rid", "left")
+    # The list of spans grows with the corpus, so it is never broadcast, however short it is here.
+    joined = keyed.join(found.hint("merge"), "_rid", "left")
     text = F.col("text").cast("string")
     edited = F.arrow_udf(_without, "string")(text, F.col("_spans"))
     out = joined.withColumn("_edited", edited)
