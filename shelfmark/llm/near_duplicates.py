@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -140,6 +141,19 @@ def _with(pairs: DataFrame, table: DataFrame, column: str, hot: dict[str, list])
     return pairs
 
 
+def _class_sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+    """`id, s`: the full sets of the wanted classes, made again from the text of one document each."""
+    first = wanted.join(classes, "id").select("id", F.col("first.doc_id").alias("fd"), F.col("first.t").alias("ft"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn(
+        "t", F.xxhash64(F.coalesce("text", F.lit("")))
+    )
+    rows = rows.join(first, rows["doc_id"].eqNullSafe(first["fd"]) & (rows["t"] == first["ft"]))
+    if repeated:
+        rows = rows.dropDuplicates(["id"])
+    return kept(rows.select("id", F.arrow_udf(_sets, "array<bigint>")("text").alias("s")), "sets")
+
+
 def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """`pairs (a, b)` with bounds of their distance 1 - J, and `linked` where the full sets say so.
 
@@ -157,15 +171,7 @@ def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: b
     judged = kept(both.withColumn("agree", agree("xa", "xb")).drop("xa", "xb"), "judged")
     likely = judged.where(F.col("agree") >= AGREE)
     wanted = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-    first = wanted.join(classes, "id").select("id", F.col("first.doc_id").alias("fd"), F.col("first.t").alias("ft"))
-    text = F.col("text").cast("string")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn(
-        "t", F.xxhash64(F.coalesce("text", F.lit("")))
-    )
-    rows = rows.join(first, rows["doc_id"].eqNullSafe(first["fd"]) & (rows["t"] == first["ft"]))
-    if repeated:
-        rows = rows.dropDuplicates(["id"])
-    sets = kept(rows.select("id", F.arrow_udf(_sets, "array<bigint>")("text").alias("s")), "sets")
+    sets = _class_sets(wanted, classes, docs, repeated)
     full = _with(likely.select("a", "b", "na", "nb"), sets, "s", hot)
     overlap = full.withColumn("both", F.arrow_udf(_shared, "bigint")("xa", "xb")).select(
         "a", "b", "both", (F.col("na") + F.col("nb") - F.col("both")).alias("union")
@@ -204,10 +210,12 @@ def _labels(links: DataFrame) -> DataFrame:
 
 
 def _unsettled(buckets: DataFrame, compared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that share a band, lie in different components so far, and may still be linked.
+    """`g, id, far` of classes that may still be linked, in groups named by a component.
 
-    The distance of Jaccard is a metric: two classes whose distances to the bucket's center differ
-    by over a quarter are not linked. So a class far from the center meets none of the many near it.
+    A class is far where the center of its bucket lies in another component; it is to meet all others
+    of such buckets. The distance of Jaccard is a metric: two classes whose distances to the center
+    differ by over a quarter are not linked, which leaves out the many that lie near the center when
+    the far ones lie well away.
     """
     near = compared.select(F.col("a").alias("center"), F.col("b").alias("id"), "low", "high")
     zero = F.lit(0.0)
@@ -217,21 +225,80 @@ def _unsettled(buckets: DataFrame, compared: DataFrame, labels: DataFrame) -> Da
     named = labels.select(F.col("id"), F.col("label"))
     rows = rows.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
     centers = named.select(F.col("id").alias("center"), F.col("label").alias("own"))
-    rows = kept(lookup(kept(rows, "placed"), centers, "center").withColumn("own", F.coalesce("own", "center")), "owned")
-    far = rows.where("label != own")
+    rows = lookup(kept(rows, "placed"), centers, "center").withColumn("own", F.coalesce("own", "center"))
+    rows = kept(rows.where("id != center"), "owned")
+    bound = rows.where("label != own").groupBy("band").agg(F.min("low").alias("least"), F.count("*").alias("n"))
+    bound = kept(bound, "bounds")
     reach = (100 - PERCENT) / 100 + 1e-9
-    bound = far.groupBy("band").agg(F.min("low").alias("least"))
-    others = rows.where("id != center").join(bound, "band").where(F.col("high") >= F.col("least") - reach)
-    x, y = far.alias("x"), others.alias("y")
-    ok = (
-        (F.col("x.label") != F.col("y.label"))
-        & (F.col("x.low") - F.col("y.high") <= reach)
-        & (F.col("y.low") - F.col("x.high") <= reach)
-        & ((F.col("x.id") < F.col("y.id")) | (F.col("y.label") == F.col("y.own")))
+    met = lookup(rows, bound, "band", "inner").where(F.col("high") >= F.col("least") - reach)
+    return met.groupBy(F.col("own").alias("g"), "id").agg(F.max(F.col("label") != F.col("own")).alias("far"))
+
+
+#: Classes of a block; what two blocks hold is in memory at once.
+BLOCK = 32
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of the classes of two blocks, no more of them than join the same classes together."""
+    for batch in batches:
+        found_a, found_b = [], []
+        for row in range(batch.num_rows):
+            left, right = (batch.column(c)[row].values for c in (0, 1))
+            ids, others = left.field("id").to_numpy(), right.field("id").to_numpy()
+            sets = [s.values.to_numpy().view(np.uint64) for s in left.field("s")]
+            theirs = [s.values.to_numpy().view(np.uint64) for s in right.field("s")]
+            sizes = np.array([len(s) for s in theirs])
+            every = np.concatenate(theirs)
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], np.repeat(np.arange(len(theirs)), sizes)[order]
+            root = {int(i): int(i) for i in (*ids, *others)}
+
+            def top(i: int, root: dict[int, int] = root) -> int:
+                while root[i] != i:
+                    i = root[i]
+                return i
+
+            for i, s in zip(ids, sets):
+                first, last = np.searchsorted(every, s, "left"), np.searchsorted(every, s, "right")
+                n = last - first
+                at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(theirs))
+                linked = 100 * both >= PERCENT * (len(s) + sizes - both)
+                for j in others[linked]:
+                    a, b = top(int(i)), top(int(j))
+                    if a != b:
+                        root[max(a, b)] = min(a, b)
+                        found_a.append(int(i))
+                        found_b.append(int(j))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"]
+        )
+
+
+def _rest_links(unsettled: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+    """Links `a, b` of the far classes of each group with all of the group, block against block.
+
+    A row is a pair of blocks, not of classes, and yields a few links; blocks of a large group are
+    spread over all tasks. Exact for every bucket, however large.
+    """
+    sets = _class_sets(unsettled.select("id").distinct(), classes, docs, repeated)
+    sizes = unsettled.groupBy("g").agg(
+        F.ceil(F.sum(F.col("far").cast("int")) / BLOCK).alias("rows"), F.ceil(F.count("*") / BLOCK).alias("columns")
     )
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & ok)
-    a, b = F.least("x.id", "y.id"), F.greatest("x.id", "y.id")
-    return pairs.select(a.alias("a"), b.alias("b")).distinct()
+    hot = hot_values(unsettled, "g")
+    dealt = lookup(unsettled, kept(sizes, "group-sizes"), "g", "inner", hot)
+    full = kept(lookup(dealt, sets, "id", "inner", []), "group-sets")
+    one = F.struct("id", "s")
+
+    def blocks(rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        placed = rows.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(own + "s")))
+        packed = placed.groupBy("g", own, other + "s").agg(F.collect_list(one).alias(name))
+        return packed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other + "s") - 1)))
+
+    x = blocks(full.where("far"), "row", "column", "x").select("g", "row", "column", "x")
+    y = blocks(full, "column", "row", "y").select("g", "row", "column", "y")
+    pairs = x.join(y, ["g", "row", "column"]).select("x", "y")
+    return kept(pairs.mapInArrow(_block_links, "a long, b long"), "rest-links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -239,9 +306,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents with equal sets of shingles are one class. Each class is compared with the least
     class of every band it shares, not with all of them, and components are formed. Then classes
-    still apart from the least one of their band meet the others of that band that the triangle
-    inequality leaves, so no link between classes that share a band is lost; members of one
-    component are not compared again. Links are confirmed on full sets.
+    still apart from the least one of their band meet the others that the triangle inequality
+    leaves, block against block, so no link between classes that share a band is lost. Links are
+    confirmed on full sets.
 
     `component_id` is the least doc_id of the component (nulls aside) and `kept` marks its rows.
     Text null or without words: no shingles, a component of its own. A null doc_id: takes part; its
@@ -259,8 +326,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = _labels(links)
     rest = kept(_unsettled(buckets, compared, labels), "unsettled")
     if not rest.isEmpty():
-        more = _compared(rest, classes, docs, repeated)
-        labels = _labels(links.unionByName(more.where("linked").select("a", "b")))
+        more = _rest_links(rest, classes, docs, repeated)
+        labels = _labels(links.unionByName(more))
     # Only sets of several documents or with links need a join; all others stand alone.
     joined = classes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     joined = kept(joined.select("class", "label", "n_docs", F.col("first.doc_id").alias("d")), "labelled")
