@@ -210,7 +210,7 @@ def _labels(links: DataFrame) -> DataFrame:
 
 
 def _unsettled(buckets: DataFrame, compared: DataFrame, labels: DataFrame) -> DataFrame:
-    """`g, id, far` of classes that may still be linked, in groups named by a component.
+    """`g, id, far, label` of classes that may still be linked, in groups named by a component.
 
     A class is far where the center of its bucket lies in another component; it is to meet all others
     of such buckets. The distance of Jaccard is a metric: two classes whose distances to the center
@@ -231,7 +231,8 @@ def _unsettled(buckets: DataFrame, compared: DataFrame, labels: DataFrame) -> Da
     bound = kept(bound, "bounds")
     reach = (100 - PERCENT) / 100 + 1e-9
     met = lookup(rows, bound, "band", "inner").where(F.col("high") >= F.col("least") - reach)
-    return met.groupBy(F.col("own").alias("g"), "id").agg(F.max(F.col("label") != F.col("own")).alias("far"))
+    far = F.max(F.col("label") != F.col("own")).alias("far")
+    return met.groupBy(F.col("own").alias("g"), "id").agg(far, F.max("label").alias("label"))
 
 
 #: Classes of a block; what two blocks hold is in memory at once.
@@ -239,12 +240,12 @@ BLOCK = 32
 
 
 def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of the classes of two blocks, no more of them than join the same classes together."""
+    """Links between components that classes of two blocks give, no more than join them together."""
     for batch in batches:
         found_a, found_b = [], []
         for row in range(batch.num_rows):
             left, right = (batch.column(c)[row].values for c in (0, 1))
-            ids, others = left.field("id").to_numpy(), right.field("id").to_numpy()
+            ids, others = left.field("label").to_numpy(), right.field("label").to_numpy()
             sets = [s.values.to_numpy().view(np.uint64) for s in left.field("s")]
             theirs = [s.values.to_numpy().view(np.uint64) for s in right.field("s")]
             sizes = np.array([len(s) for s in theirs])
@@ -268,8 +269,8 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     a, b = top(int(i)), top(int(j))
                     if a != b:
                         root[max(a, b)] = min(a, b)
-                        found_a.append(int(i))
-                        found_b.append(int(j))
+                        found_a.append(min(int(i), int(j)))
+                        found_b.append(max(int(i), int(j)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"]
         )
@@ -288,7 +289,7 @@ def _rest_links(unsettled: DataFrame, classes: DataFrame, docs: DataFrame, repea
     hot = hot_values(unsettled, "g")
     dealt = lookup(unsettled, kept(sizes, "group-sizes"), "g", "inner", hot)
     full = kept(lookup(dealt, sets, "id", "inner", []), "group-sets")
-    one = F.struct("id", "s")
+    one = F.struct("label", "s")
 
     def blocks(rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
         placed = rows.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(own + "s")))
@@ -298,7 +299,8 @@ def _rest_links(unsettled: DataFrame, classes: DataFrame, docs: DataFrame, repea
     x = blocks(full.where("far"), "row", "column", "x").select("g", "row", "column", "x")
     y = blocks(full, "column", "row", "y").select("g", "row", "column", "y")
     pairs = x.join(y, ["g", "row", "column"]).select("x", "y")
-    return kept(pairs.mapInArrow(_block_links, "a long, b long"), "rest-links")
+    # Many blocks join the same two components; one link of theirs is enough.
+    return kept(pairs.mapInArrow(_block_links, "a long, b long").distinct(), "rest-links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
