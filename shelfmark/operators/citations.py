@@ -46,8 +46,8 @@ def is_bad_export(value: Column) -> Column:
 
 
 def filter_bad_export(exports: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exports to parse, and rejected ones to fetch again."""
-    bad = is_bad_export(F.col("value"))
+    """Exports to parse, and rejected ones to fetch again; an export without text is rejected."""
+    bad = F.coalesce(is_bad_export(F.col("value")), F.lit(True))
     return exports.where(~bad), exports.where(bad).drop("value")
 
 

@@ -153,3 +153,10 @@ def test_round_trip(spark, articles):
     assert [(r.author, r.title, r.year) for r in rows] == [
         (author.strip(), title.strip(), year) for author, title, year in articles
     ]
+
+
+def test_export_without_text_is_rejected(spark):
+    exports = spark.createDataFrame([("a", None), ("b", "@article{k, year = {1946}}")], "file_name string, value string")
+    good, rejected = filter_bad_export(exports)
+    assert [r["file_name"] for r in good.collect()] == ["b"]
+    assert [r["file_name"] for r in rejected.collect()] == ["a"]
