@@ -192,12 +192,17 @@ def remote_per_issue(
     return _per_issue(issues, counts, ["downloaded", "uploaded"]).where(F.col("year") >= floor)
 
 
-def progress_per_issue(flagged: DataFrame, order: str = "url") -> DataFrame:
-    """Of articles flagged with `held`: how many per issue, how many held, and the next one to fetch."""
+def progress_per_issue(flagged: DataFrame, order: tuple[str, ...] = ("url",)) -> DataFrame:
+    """Of articles flagged with `held`: how many per issue, how many held, and the next one to fetch.
+
+    The next one is the first pending article with a URL in `order`, nulls last, ties by URL.
+    """
+    keys = [c for name in order for c in (F.isnull(name).alias(f"{name}_null"), F.col(name).alias(f"{name}_key"))]
+    pending = ~F.col("held") & F.col("url").isNotNull()
     return flagged.groupBy("issue_url").agg(
         F.count_if("held").alias("downloaded"),
         F.count("*").alias("total"),
-        F.min(F.when(~F.col("held"), F.col(order))).alias("next_url"),
+        F.min(F.when(pending, F.struct(*keys, "url")))["url"].alias("next_url"),
     )
 
 

@@ -11,6 +11,11 @@ URL_ORDER = ("url",)
 EXPORT_ORDER = ("file_name", "record_ordinal")
 
 
+def table_order(articles: DataFrame) -> tuple[str, ...]:
+    """The order of the exports, ties by URL, where the table carries it; else that of the URLs."""
+    return (*EXPORT_ORDER, *URL_ORDER) if {*EXPORT_ORDER} <= {*articles.columns} else URL_ORDER
+
+
 def _ascending(order: tuple[str, ...]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in order]
 

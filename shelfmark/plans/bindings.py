@@ -56,6 +56,17 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def placed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with their place in the exports, which runs against that of the line numbers."""
+    return table(spark, sf_dir, "lineitem").select(
+        _text(ISSUE_PREFIX, F.col("l_orderkey")).alias("issue_url"),
+        _text(ARTICLE_PREFIX, _article_key()).alias("url"),
+        F.year("l_shipdate").alias("year"),
+        _text(F.col("l_orderkey"), ".txt").alias("file_name"),
+        (100 - F.col("l_linenumber")).cast("int").alias("record_ordinal"),
+    )
+
+
 def doi_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles under stable URLs, some with a full DOI and some with a bare identifier."""
     key = F.col("l_orderkey").cast("string")

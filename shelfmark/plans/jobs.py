@@ -23,11 +23,13 @@ from shelfmark.operators.holdings import (
 )
 from shelfmark.operators.records import scopus_records, split_quarantine
 from shelfmark.operators.select import (
+    URL_ORDER,
     collect_queue,
     first_per_issue,
     in_years,
     issue_articles_semi,
     missing_issues,
+    table_order,
 )
 from shelfmark.operators.toc import toc_issues_a, toc_issues_b
 
@@ -99,6 +101,7 @@ class WorkQueue:
     starts: DataFrame
     queue: DataFrame
     progress: DataFrame
+    order: tuple[str, ...] = URL_ORDER
 
 
 def job_work_queue(
@@ -106,23 +109,27 @@ def job_work_queue(
 ) -> WorkQueue:
     """What to fetch of the issues with an article in the years.
 
-    `starts` is each issue's first article in range, `queue` its pending articles in order,
-    `progress` one row per incomplete issue with the URL to begin at, on `host` if one is given.
+    `starts` is each issue's first article in range, `queue` its pending articles, `progress` one
+    row per incomplete issue with the URL to begin at, on `host` if one is given. First is what
+    comes first in the article table (`file_name`, `record_ordinal`); a table without these columns
+    has no order of its own and goes by URL.
     """
-    narrow = articles.select("issue_url", "url", "year")
-    starts = first_per_issue(narrow.where(in_years(start, end)))
+    order = table_order(articles)
+    placed = [c for c in order if c != "url"]
+    narrow = articles.select("issue_url", "url", "year", *placed)
+    starts = first_per_issue(narrow.where(in_years(start, end)), order)
     chosen = issue_articles_semi(narrow, start, end)
     flagged = with_holdings(chosen, held, base=narrow)
-    queue = flagged.where(~F.col("held")).select("issue_url", "url")
-    progress = progress_per_issue(flagged).where(F.col("downloaded") < F.col("total"))
+    queue = flagged.where(~F.col("held")).select("issue_url", "url", *placed)
+    progress = progress_per_issue(flagged, order).where(F.col("downloaded") < F.col("total"))
     if host is not None:
         progress = progress.withColumn("next_url", url_rehost(F.col("next_url"), host))
-    return WorkQueue(starts, queue, progress)
+    return WorkQueue(starts, queue, progress, order)
 
 
 def ordered_queue(work: WorkQueue) -> DataFrame:
     """The queue with positions; writes a checkpoint."""
-    return collect_queue(work.queue)
+    return collect_queue(work.queue, work.order)
 
 
 def job_doi_list(

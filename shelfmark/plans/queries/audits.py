@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfmark.operators import holdings as ops
+from shelfmark.operators.select import table_order
 from shelfmark.plans import bindings
 from shelfmark.plans.queries.registry import FLOOR, as_text, query, views
 
@@ -84,14 +85,14 @@ def _(spark, d):
 
 @query(
     "progress_per_issue",
-    views("flagged")
+    views("flagged_places")
     + """ SELECT issue_url, count(*) FILTER (held) AS downloaded, count(*) AS total,
-                 min(url) FILTER (NOT held) AS next_url
-          FROM flagged GROUP BY issue_url""",
+                 arg_min(url, (file_name, record_ordinal, url)) FILTER (NOT held) AS next_url
+          FROM flagged_places GROUP BY issue_url""",
 )
 def _(spark, d):
-    _, articles, held = _corpus(spark, d)
-    return ops.progress_per_issue(ops.with_holdings(articles.select("issue_url", "url"), held))
+    articles, held = bindings.placed_articles(spark, d), bindings.holdings(spark, d)
+    return ops.progress_per_issue(ops.with_holdings(articles, held), table_order(articles))
 
 
 @query(

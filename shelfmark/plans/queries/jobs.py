@@ -103,10 +103,10 @@ def _(spark, d):
 
 
 _CHOSEN = (
-    views("flagged")
+    views("flagged_places")
     + f""", chosen AS (
-        SELECT * FROM flagged WHERE issue_url IN (
-          SELECT issue_url FROM articles WHERE year BETWEEN {START} AND {END}))"""
+        SELECT * FROM flagged_places WHERE issue_url IN (
+          SELECT issue_url FROM placed WHERE year BETWEEN {START} AND {END}))"""
 )
 
 
@@ -114,13 +114,13 @@ _CHOSEN = (
     "job_work_queue",
     _CHOSEN
     + """ SELECT issue_url, count(*) FILTER (held) AS downloaded, count(*) AS total,
-                 replace(min(url) FILTER (NOT held), 'https://ex.org/', 'https://proxy.example.org/')
+                 replace(arg_min(url, (file_name, record_ordinal, url)) FILTER (NOT held), 'https://ex.org/', 'https://proxy.example.org/')
                    AS next_url
           FROM chosen GROUP BY issue_url HAVING count(*) FILTER (NOT held) > 0""",
 )
 def _(spark, d):
     return jobs.job_work_queue(
-        bindings.articles(spark, d),
+        bindings.placed_articles(spark, d),
         bindings.holdings(spark, d),
         START,
         END,
@@ -131,15 +131,15 @@ def _(spark, d):
 @query(
     "job_work_queue_positions",
     _CHOSEN
-    + """ SELECT issue_url, url, count(*) AS copies, min(place) AS position
-          FROM (SELECT issue_url, url,
-                       row_number() OVER (PARTITION BY issue_url ORDER BY url) AS place
+    + """ SELECT issue_url, url, file_name, record_ordinal, count(*) AS copies, min(place) AS position
+          FROM (SELECT *, row_number() OVER (
+                            PARTITION BY issue_url ORDER BY file_name, record_ordinal, url) AS place
                 FROM chosen WHERE NOT held)
-          GROUP BY issue_url, url""",
+          GROUP BY issue_url, url, file_name, record_ordinal""",
 )
 def _(spark, d):
     work = jobs.job_work_queue(
-        bindings.articles(spark, d), bindings.holdings(spark, d), START, END
+        bindings.placed_articles(spark, d), bindings.holdings(spark, d), START, END
     )
     return jobs.ordered_queue(work)
 

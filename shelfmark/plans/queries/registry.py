@@ -53,6 +53,14 @@ _VIEWS = {
         SELECT 'https://ex.org/stable/' || l_orderkey AS issue_url,
                'https://ex.org/a/' || {_KEY} AS url, CAST(year(l_shipdate) AS INTEGER) AS year
         FROM lineitem""",
+    "placed": f"""
+        SELECT 'https://ex.org/stable/' || l_orderkey AS issue_url,
+               'https://ex.org/a/' || {_KEY} AS url, CAST(year(l_shipdate) AS INTEGER) AS year,
+               l_orderkey || '.txt' AS file_name, CAST(100 - l_linenumber AS INTEGER) AS record_ordinal
+        FROM lineitem""",
+    "flagged_places": """
+        SELECT *, list_last(string_split(url, '/')) || '.pdf' IN (SELECT name FROM holdings) AS held
+        FROM placed""",
     "named": """
         SELECT *, list_last(string_split(url, '/')) || '.pdf' AS name FROM articles""",
     "holdings": f"""
@@ -76,7 +84,7 @@ _VIEWS = {
         FROM lines, unnest(generate_series(1, len(parts))) AS g(i)""",
 }
 
-_NEEDS = {"named": ["articles"], "flagged": ["named", "holdings", "remote"], "line": ["lines"]}
+_NEEDS = {"flagged_places": ["placed", "holdings"], "named": ["articles"], "flagged": ["named", "holdings", "remote"], "line": ["lines"]}
 
 
 def views(*names: str) -> str:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfmark.operators import holdings as ops
-from shelfmark.plans.jobs import job_doi_list, job_remote_audit, job_work_queue
+from shelfmark.plans.jobs import job_doi_list, job_remote_audit, job_work_queue, ordered_queue
 
 
 def tables(spark):
@@ -132,3 +132,16 @@ def test_doi_list(spark):
     assert sorted(dois) == ["10.1086/2", "10.1086/2", "10.2307/1", "10.2307/1"]
     once = [r.doi for r in job_doi_list(articles, held, 2016, 2017, distinct=True).collect()]
     assert sorted(once) == ["10.1086/2", "10.2307/1"]
+
+
+def test_queue_in_table_order(spark):
+    schema = "issue_url string, url string, year int, file_name string, record_ordinal int"
+    base = "https://x/"
+    rows = [("i", base + n, 1950, "i.txt", k) for k, n in enumerate(("8", "9", "10", "11"))]
+    rows.append(("i", None, 1950, "i.txt", 0))
+    held = spark.createDataFrame([("8.pdf",)], "name string")
+    work = job_work_queue(spark.createDataFrame(rows, schema), held, 1950, 1950)
+    assert [r.url for r in work.starts.collect()] == [base + "8"]
+    assert by_issue(work.progress, "downloaded", "total", "next_url") == {"i": (1, 5, base + "9")}
+    queue = ordered_queue(work).where("url is not null").orderBy("position").collect()
+    assert [r.url for r in queue] == [base + "9", base + "10", base + "11"]
