@@ -12,11 +12,18 @@ from shelfmark.operators.citations import bibtex_parse, filter_bad_export
 from shelfmark.operators.holdings import YEAR_FLOOR
 from shelfmark.operators.records import scopus_records
 from shelfmark.plans import jobs
+from shelfmark.schemas import HOLDINGS
 from shelfmark.sources import files, sinks
 from shelfmark.streaming import exports as streaming
 
 
+PATTERNS = {"a": "*.txt", "b": "*.bib"}
+
+
 def _held(spark, args):
+    """A folder of files, or with --manifest a table with their names."""
+    if args.manifest:
+        return files.scan_table(spark, args.holdings, HOLDINGS, args.manifest)
     return files.scan_holdings(spark, args.holdings)
 
 
@@ -28,12 +35,13 @@ def issue_index(spark, args):
 
 
 def load_citations(spark, args):
-    issues = files.scan_issues(spark, args.issues)
-    pattern = "*.txt" if args.variant == "a" else "*.bib"
-    good, rejected = filter_bad_export(files.scan_exports(spark, args.exports, pattern))
-    articles = bibtex_parse(good, args.variant, args.compat)
+    issues = files.scan_issues(spark, args.issues, args.format)
+    exports = files.scan_exports(spark, args.exports, PATTERNS[args.variant])
     if args.variant == "b":
-        articles = files.assign_issue(articles, issues, issue_file_id_b(F.col("issue_url")))
+        exports = files.named_issue(exports, issues, issue_file_id_b(F.col("issue_url")))
+        exports = exports.withColumn("value", F.when(F.col("problem").isNull(), F.col("value")))
+    good, rejected = filter_bad_export(exports)
+    articles = bibtex_parse(good.drop("problem"), args.variant, args.compat)
     sinks.write_table(rejected, f"{args.out}/rejected")
     result = sinks.sink_articles(
         articles, issues, f"{args.out}/articles", f"{args.out}/staging", args.compat
@@ -49,14 +57,14 @@ def load_records(spark, args):
 def work_queue(spark, args):
     host = F.lit(args.host) if args.host else None
     work = jobs.job_work_queue(
-        files.scan_articles(spark, args.articles), _held(spark, args), args.start, args.end, host
+        files.scan_articles(spark, args.articles, args.format), _held(spark, args), args.start, args.end, host
     )
     sinks.write_table(work.progress, f"{args.out}/progress")
     sinks.write_table(jobs.ordered_queue(work), f"{args.out}/queue")
 
 
 def doi_list(spark, args):
-    articles = files.scan_articles(spark, args.articles)
+    articles = files.scan_articles(spark, args.articles, args.format)
     dois = jobs.job_doi_list(
         articles, _held(spark, args), args.start, args.end, args.distinct, args.compat
     )
@@ -64,13 +72,15 @@ def doi_list(spark, args):
 
 
 def holdings_audit(spark, args):
-    issues, articles = files.scan_issues(spark, args.issues), files.scan_articles(spark, args.articles)
+    issues = files.scan_issues(spark, args.issues, args.format)
+    articles = files.scan_articles(spark, args.articles, args.format)
     audit = jobs.job_holdings_audit(issues, articles, _held(spark, args), args.floor)
     sinks.sink_report(audit.per_issue, args.out, args.floor)
 
 
 def remote_audit(spark, args):
-    issues, articles = files.scan_issues(spark, args.issues), files.scan_articles(spark, args.articles)
+    issues = files.scan_issues(spark, args.issues, args.format)
+    articles = files.scan_articles(spark, args.articles, args.format)
     remote = files.scan_remote_holdings(spark, args.remote)
     audit = jobs.job_remote_audit(issues, articles, _held(spark, args), remote, args.floor)
     sinks.sink_report(audit.per_issue, args.out, args.floor)
@@ -78,8 +88,15 @@ def remote_audit(spark, args):
 
 
 def stream_exports(spark, args):
-    stream = streaming.read_exports(spark, args.exports)
-    streaming.stream_exports(stream, args.out, args.state).awaitTermination()
+    stream = streaming.read_exports(spark, args.exports, PATTERNS[args.variant])
+    if args.variant == "a":
+        query = streaming.stream_exports(stream, args.out, args.state)
+    else:
+        if not args.issues:
+            raise SystemExit("variant b needs --issues to tell the issue of a file")
+        issues = files.scan_issues(spark, args.issues, args.format)
+        query = streaming.stream_exports(stream, args.out, args.state, "b", issues, issue_file_id_b(F.col("issue_url")))
+    query.awaitTermination()
 
 
 JOBS = {
@@ -104,6 +121,10 @@ def main(argv: list[str] | None = None) -> None:
             command.add_argument(f"--{option}", type=kind, required=True)
         command.add_argument("--variant", choices=("a", "b"), default="a")
         command.add_argument("--compat", action="store_true")
+        command.add_argument("--format", default="parquet", help="of the issue and article tables")
+        command.add_argument("--manifest", default="", help="format of --holdings, if a table of names")
+        if "issues" not in needed:
+            command.add_argument("--issues", default="")
         command.add_argument("--distinct", action="store_true")
         command.add_argument("--host", default="")
         command.add_argument("--floor", type=int, default=YEAR_FLOOR)

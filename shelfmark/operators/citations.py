@@ -37,8 +37,14 @@ DIALECT_A = Dialect("@", 2, "}, ")
 DIALECT_B = Dialect("@article", 1, "},")
 DIALECTS = {"a": DIALECT_A, "b": DIALECT_B}
 
-RECORD_START = r"@(?=[A-Za-z]+\{)"
-FIELD_START = r"\},\s*(?=[\w-]+\s*=)"
+RECORD_START = r"@(?=[A-Za-z]+\s*\{)"
+#: Where a field ends and `key =` follows: after a closing brace or quote, or after a bare value that
+#: stands where a field does.
+FIELD_START = (
+    r"(?:\},\s*|\",\s*|,(?=\s*[\w-]+\s*=)(?<=(?:^|,)\s{0,8}[\w-]{1,32}\s{0,8}=\s{0,8}[\w.+-]{1,64},)\s*)"
+    r"(?=[\w-]+\s*=)"
+)
+HAS_RECORD = r"@\s*+(?!(?i:comment)\s*\{)[A-Za-z]+\s*\{"
 
 
 def is_bad_export(value: Column) -> Column:
@@ -46,8 +52,13 @@ def is_bad_export(value: Column) -> Column:
 
 
 def filter_bad_export(exports: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exports to parse, and rejected ones to fetch again; an export without text is rejected."""
-    bad = F.coalesce(is_bad_export(F.col("value")), F.lit(True))
+    """Exports to parse, and rejected ones to fetch again.
+
+    Rejected are those that hold the sentence of failure, no text, or no record to cut out.
+    """
+    value = F.col("value")
+    no_record = ~F.regexp_like(newline_strip(value), F.lit(HAS_RECORD))
+    bad = F.coalesce(is_bad_export(value) | no_record, F.lit(True))
     return exports.where(~bad), exports.where(bad).drop("value")
 
 
@@ -84,6 +95,7 @@ def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = Fals
     record = F.col("record")
     comma = F.locate(",", record)
     body = F.substring(record, comma + 1, F.length(record))
+    closed = F.regexp_replace(body, r",\s*\}\s*$", "}")
     if compat:
         brace = F.locate("{", record)
         kind = F.when(brace > 0, F.substring(record, F.lit(1), brace - 1)).otherwise(
@@ -93,7 +105,7 @@ def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = Fals
         parts = F.split(without(body, "{"), mark)
     else:
         kind = F.lower(whitespace_strip(F.substring_index(record, "{", 1)))
-        parts = F.split(F.when(comma > 0, body), FIELD_START)
+        parts = F.split(F.when(comma > 0, closed), FIELD_START)
 
     def entry(part: Column, position: Column) -> Column:
         if compat:
@@ -102,13 +114,17 @@ def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = Fals
         else:
             halves = F.split(part, "=", 2)
             key = F.lower(whitespace_strip(without(F.get(halves, F.lit(0)), "{", "}")))
-        value = whitespace_strip(without(F.get(halves, F.lit(1)), "{", "}"))
+        raw = F.get(halves, F.lit(1))
+        if not compat:
+            quoted = F.startswith(whitespace_strip(raw), F.lit('"'))
+            raw = F.when(quoted, F.regexp_replace(raw, r'^\s*"|"?\s*\}?\s*$', "")).otherwise(raw)
+        value = whitespace_strip(without(raw, "{", "}"))
         return F.struct(key.alias("key"), position.alias("position"), value.alias("value"))
 
     with_field = F.filter(F.transform(parts, entry), lambda e: e["value"].isNotNull())
     pieces = record_pieces(exports, dialect, compat)
     kept = [c for c in pieces.columns if c != "record"]
-    cite_key = F.nullif(F.regexp_extract(record, r"^[A-Za-z]+\{([^,]*),", 1), F.lit(""))
+    cite_key = F.nullif(F.regexp_extract(record, r"^[A-Za-z]+\s*\{([^,]*),", 1), F.lit(""))
     parsed = pieces.select(
         *kept,
         kind.alias("type"),

@@ -14,7 +14,6 @@ from shelfmark.functions.urls import STABLE_MARK, issue_file_id_a, pdf_name
 from shelfmark.operators.citations import BAD_EXPORT
 from shelfmark.operators.toc import ANCHOR_B, ITEM_B, LINK_A, STATUS_B
 from shelfmark.operators.records import CONTAINER, SECTION
-from shelfmark.sources.files import spread
 
 ISSUE_PREFIX = "https://ex.org/stable/"
 ARTICLE_PREFIX = "https://ex.org/a/"
@@ -25,8 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """For queries that parse a text per row."""
-    return spread(table(spark, sf_dir, name))
+    """For queries that render and parse a text per row: the given tables are one row group each.
+
+    Only this view of the given tables deals rows out; readers of the library do not.
+    """
+    rows = table(spark, sf_dir, name)
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _text(*parts: Column | str) -> Column:

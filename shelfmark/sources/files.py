@@ -7,39 +7,60 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark import schemas
-from shelfmark.functions.text import whitespace_strip
+from shelfmark.functions.text import whitespace_strip, year_cast
 from shelfmark.functions.urls import issue_url_of_file_a
-from shelfmark.operators.skew import hot_keys, lookup
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """A Parquet, ORC, JSON or CSV table with a given schema; nothing is inferred."""
-    reader = spark.read.schema(schema)
-    return reader.csv(path, header=True) if fmt == "csv" else reader.format(fmt).load(path)
+    """A Parquet, ORC, JSON or CSV table with a given schema; nothing is inferred.
 
+    A CSV file's columns go by the names in its header, in any order and case.
+    """
+    if fmt == "csv":
+        return by_header(spark.read.csv(path, header=True, enforceSchema=False, escape='"'), schema)
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+# Other names of columns in older tables.
+OTHER_NAMES = {"issue_text": ("Jstor_issue_text", "Elsevier_issue_text"), "url": ("stable_url",)}
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer splits than that.
 
-    For heavy work per row on a small table of few row groups. A table of many splits is left as it
-    is, so nothing is shuffled at scale.
+def by_header(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of text as those of `schema`, found by name; one that is absent is null.
+
+    Whole numbers may be written `1946.0`; arrays, maps and structs are JSON.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    present = {name.lower(): f"`{name}`" for name in raw.columns}
+
+    def column(field: T.StructField) -> Column:
+        names = [n.lower() for n in (field.name, *OTHER_NAMES.get(field.name, ()))]
+        found = [F.col(present[n]) for n in names if n in present]
+        text = F.coalesce(*found) if found else F.lit(None).cast("string")
+        if isinstance(field.dataType, T.IntegerType):
+            return year_cast(text)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.from_json(text, field.dataType)
+        return text.try_cast(field.dataType)
+
+    if "issue_url" in schema.names and "issue_url" not in present:
+        raise ValueError("the table has no issue_url")
+    return raw.select(*[column(field).alias(field.name) for field in schema])
 
 
 def scan_issues(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return scan_table(spark, path, schemas.ISSUES, fmt)
 
 
-def scan_articles(spark: SparkSession, path: str) -> DataFrame:
-    return scan_table(spark, path, schemas.ARTICLES)
+def scan_articles(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The article table; a CSV has the columns of its header."""
+    return scan_articles_csv(spark, path) if fmt == "csv" else scan_table(spark, path, schemas.ARTICLES)
 
 
 def scan_articles_csv(spark: SparkSession, path: str) -> DataFrame:
     """A spreadsheet's article table: `issue_url, url` or the older `stable_url`, and `year`."""
-    raw = spark.read.csv(path, header=True, enforceSchema=False)
-    return with_url(raw)
+    raw = with_url(spark.read.csv(path, header=True, enforceSchema=False, escape='"'))
+    whole = [c for c in raw.columns if c.lower() in ("year", "record_ordinal")]
+    return raw.withColumns({c.lower(): year_cast(F.col(c)) for c in whole})
 
 
 def with_url(articles: DataFrame) -> DataFrame:
@@ -76,16 +97,28 @@ def scan_exports(
     return _whole_files(spark, path, pattern).select("file_name", url.alias("issue_url"), "value")
 
 
-def assign_issue(rows: DataFrame, issues: DataFrame, file_id: Column) -> DataFrame:
-    """Put the URL of the issue whose file name is `file_id` on each row; rows of no issue are left out.
+def named_issue(exports: DataFrame, issues: DataFrame, file_id: Column) -> DataFrame:
+    """Put the URL of the issue whose file name is `file_id` on each export, a row per file.
 
-    Join the parsed articles rather than the texts where the texts are much larger.
+    `problem` says why there is none: no issue has that file name, or several have. What precedes a
+    `~` is the file name of an export fetched again.
     """
-    named = (
-        issues.select(file_id.alias("file_name"), "issue_url").groupBy("file_name").agg(F.min("issue_url").alias("issue_url"))
+    named = issues.select(file_id.alias("_id"), "issue_url").groupBy("_id").agg(
+        F.min("issue_url").alias("_least"), F.max("issue_url").alias("_greatest")
+    )
+    one = F.col("_least") == F.col("_greatest")
+    problem = F.when(F.col("_least").isNull(), "no issue").when(~one, "several issues")
+    keyed = exports.drop("issue_url").withColumn("_id", F.regexp_replace("file_name", r"~[^~]*(\.\w+)$", "$1"))
+    # File names are all but unique, so no key is hot.
+    joined = keyed.join(named, "_id", "left").withColumns(
+        {"issue_url": F.when(one, F.col("_least")), "problem": problem}
     )
-    hot = hot_keys(rows, "file_name")
-    return lookup(rows.drop("issue_url"), named, "file_name", "inner", hot=hot)
+    return joined.drop("_id", "_least", "_greatest")
+
+
+def assign_issue(rows: DataFrame, issues: DataFrame, file_id: Column) -> DataFrame:
+    """The rows of files with just one issue, with its URL; `named_issue` tells of the others."""
+    return named_issue(rows, issues, file_id).where(F.col("issue_url").isNotNull()).drop("problem")
 
 
 def scan_html_exports(spark: SparkSession, path: str) -> DataFrame:

@@ -11,10 +11,10 @@ from shelfmark.operators.holdings import completeness_gate, held_totals
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Overwrite `path`. CSV takes text columns only, so nested ones are left out there."""
+    """Overwrite `path`. CSV holds arrays, maps and structs as JSON."""
     if fmt == "csv":
-        flat = [f.name for f in df.schema if f.dataType.typeName() not in ("array", "map", "struct")]
-        df.select(*flat).write.mode("overwrite").option("escape", '"').csv(path, header=True)
+        nested = [f.name for f in df.schema if f.dataType.typeName() in ("array", "map", "struct")]
+        df.withColumns({name: F.to_json(name) for name in nested}).write.mode("overwrite").option("escape", '"').csv(path, header=True)
     else:
         df.write.mode("overwrite").format(fmt).save(path)
 

@@ -7,7 +7,7 @@ The file source knows files by path: an export fetched again needs a new file na
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -17,21 +17,24 @@ from shelfmark.operators.citations import bibtex_parse, filter_bad_export
 from shelfmark.operators.select import missing_issues
 from shelfmark.operators.skew import lookup
 from shelfmark.schemas import ARTICLES
-from shelfmark.sources.files import file_name, spread
+from shelfmark.sources.files import file_name, named_issue
 
 _ARRIVAL = [T.StructField("arrived", T.TimestampType()), T.StructField("batch", T.LongType())]
 _STORED = T.StructType([*ARTICLES.fields, *_ARRIVAL])
 _REJECTED = T.StructType([*[ARTICLES[n] for n in ("file_name", "issue_url")], *_ARRIVAL])
 
 
-def read_exports(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """Stream of `(file_name, issue_url, value, arrived)`.
+def read_exports(
+    spark: SparkSession, path: str, pattern: str = "*.txt", files_per_batch: int = 100_000
+) -> DataFrame:
+    """Stream of `(file_name, issue_url, value, arrived)`, so many files a batch.
 
     A file fetched again is named `<issue file id>~<anything>.txt`; the issue is what precedes `~`.
     """
     files = (
         spark.readStream.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
         .text(path, wholetext=True)
         .select(
             file_name().alias("file_name"),
@@ -44,12 +47,24 @@ def read_exports(spark: SparkSession, path: str, pattern: str = "*.txt") -> Data
 
 
 def stream_exports(
-    exports: DataFrame, table: str, checkpoint_dir: str, dialect: str = "a"
+    exports: DataFrame,
+    table: str,
+    checkpoint_dir: str,
+    dialect: str = "a",
+    issues: DataFrame | None = None,
+    file_id: Column | None = None,
 ) -> StreamingQuery:
-    """Parse a stream of exports into `table` until all that has arrived is done."""
+    """Parse a stream of exports into `table` until all that has arrived is done.
+
+    Where a file name does not tell its issue, as with dialect b, `issues` and the name `file_id` of
+    an issue's file do; files of no issue or of several are rejected.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        numbered = spread(batch).withColumn("batch", F.lit(batch_id).cast("long"))
+        numbered = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        if issues is not None:
+            numbered = named_issue(numbered, issues, file_id)
+            numbered = numbered.withColumn("value", F.when(F.col("problem").isNull(), F.col("value")))
         good, rejected = filter_bad_export(numbered)
         parsed = bibtex_parse(good, dialect).select(*_STORED.names)
         parsed.write.mode("overwrite").parquet(f"{table}/articles/run={batch_id}")
@@ -65,9 +80,17 @@ def stream_exports(
     )
 
 
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What the batches wrote; nothing before the first one."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def current_articles(spark: SparkSession, table: str) -> DataFrame:
     """Articles of the newest good file of each issue."""
-    stored = spark.read.schema(_STORED).parquet(f"{table}/articles").select(*_STORED.names)
+    stored = _stored(spark, f"{table}/articles", _STORED)
     newest = stored.groupBy("issue_url").agg(
         F.max(F.struct("batch", "arrived", "file_name")).alias("_newest")
     )
@@ -78,7 +101,7 @@ def current_articles(spark: SparkSession, table: str) -> DataFrame:
 
 
 def rejected_exports(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(_REJECTED).parquet(f"{table}/rejected").select(*_REJECTED.names)
+    return _stored(spark, f"{table}/rejected", _REJECTED)
 
 
 def stream_resume(spark: SparkSession, issues: DataFrame, table: str) -> DataFrame:

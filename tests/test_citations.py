@@ -160,3 +160,23 @@ def test_export_without_text_is_rejected(spark):
     good, rejected = filter_bad_export(exports)
     assert [r["file_name"] for r in good.collect()] == ["b"]
     assert [r["file_name"] for r in rejected.collect()] == ["a"]
+
+
+def test_spaces_quotes_and_bare_values(spark):
+    text = (
+        '@article {k1,\n year = 1946,\n volume = {2},\n title = "A {B}, and c",\n journal = {Let x = 1, y = 2},\n'
+        ' url = {u}\n}\n@Book{ k2 ,\n title = {"Q" said},\n number = 3,\n month = jan,\n year = "1947",\n}\n'
+    )
+    first, second = records(spark, text)
+    assert first[1:3] == ("article", "k1")
+    assert first[3] == {
+        "year": "1946", "volume": "2", "title": "A B, and c", "journal": "Let x = 1, y = 2", "url": "u",
+    }
+    assert second[1:3] == ("book", "k2")
+    assert second[3] == {"title": '"Q" said', "number": "3", "month": "jan", "year": "1947"}
+
+
+def test_an_export_without_records_is_rejected(spark):
+    good, rejected = filter_bad_export(exports(spark, "", "@comment{x}", "mail a@b.c", SAMPLE_A, "@article {k,\n}"))
+    assert sorted(r.file_name for r in rejected.collect()) == ["f0.txt", "f1.txt", "f2.txt"]
+    assert good.count() == 2

@@ -168,3 +168,33 @@ def test_parameters(tmp_path):
     assert parameters.pivot_scrape_indicator is True
     path.write_text('{"year": 1992}')
     assert JobParameters.read(str(path)).end_year == 1992
+
+
+def test_csv_goes_by_its_header(spark, tmp_path):
+    (tmp_path / "issues.csv").write_text('year,issue_url,Jstor_issue_text,journal\n1946.0,i,"No. 1, May",J\n')
+    row = files.scan_issues(spark, str(tmp_path / "issues.csv"), "csv").first()
+    assert row.asDict() == {
+        "issue_url": "i", "year": 1946, "issue_text": "No. 1, May", "journal": "J", "no_docs": None,
+    }
+    (tmp_path / "articles.csv").write_text("issue_url,URL,year\ni,u,1946.0\ni,v,in press\n")
+    articles = files.scan_articles(spark, str(tmp_path / "articles.csv"), "csv")
+    assert [r.url for r in articles.where("year between 1946 and 1950").collect()] == ["u"]
+    (tmp_path / "bad.csv").write_text("year,journal\n1946,J\n")
+    with pytest.raises(ValueError):
+        files.scan_issues(spark, str(tmp_path / "bad.csv"), "csv")
+
+
+def test_csv_keeps_nested_columns(spark, tmp_path):
+    exports = spark.createDataFrame([("f.txt", "i", "@article{k,\n mail = {x},\n title = {T}\n}")], schemas.EXPORTS)
+    articles = bibtex_parse(exports)
+    sinks.write_table(articles, str(tmp_path / "csv"), "csv")
+    stored = files.scan_table(spark, str(tmp_path / "csv"), schemas.ARTICLES, "csv").first()
+    assert (stored.title, stored.extra, stored.record_ordinal) == ("T", {"mail": "x"}, 0)
+
+
+def test_files_of_no_issue_or_of_several(spark):
+    issues = spark.createDataFrame([("a",), ("b",), ("B",)], "issue_url string")
+    exports = spark.createDataFrame([(n, None, "x") for n in ("a", "b", "c")], schemas.EXPORTS)
+    named = files.named_issue(exports, issues, F.lower("issue_url"))
+    found = {(r.file_name, r.issue_url, r.problem) for r in named.collect()}
+    assert found == {("a", "a", None), ("b", None, "several issues"), ("c", None, "no issue")}

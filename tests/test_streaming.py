@@ -3,7 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelfmark.functions.urls import issue_file_id_b
 from shelfmark.operators.citations import BAD_EXPORT
 from shelfmark.plans.jobs import job_load_citations
 from shelfmark.sources.files import scan_exports
@@ -74,3 +76,22 @@ def test_newest_of_two_files_in_one_drop(spark, tmp_path, inbox):
     stream = streaming.read_exports(spark, folder)
     streaming.stream_exports(stream, table, state).awaitTermination()
     assert [r.title for r in streaming.current_articles(spark, table).collect()] == ["new"]
+
+
+def test_the_other_feed_and_a_first_run(spark, tmp_path, inbox):
+    folder, drop = inbox
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    base = "https://www.sciencedirect.com/journal/"
+    issues = spark.createDataFrame([(base + "j/vol/1", 1950), (base + "j/vol/2", 1950)], "issue_url string, year int")
+    assert streaming.stream_resume(spark, issues, table).count() == 2
+    assert streaming.rejected_exports(spark, table).count() == 0
+    drop("j_vol_1.bib", export("a"))
+    drop("j_vol_1~2.bib", export("b"))
+    drop("unknown.bib", export("c"))
+    stream = streaming.read_exports(spark, folder, "*.bib", files_per_batch=1)
+    streaming.stream_exports(stream, table, state, "b", issues, issue_file_id_b(F.col("issue_url"))).awaitTermination()
+    assert [(r.issue_url, r.title) for r in streaming.current_articles(spark, table).collect()] == [
+        (base + "j/vol/1", "b")
+    ]
+    assert [r.file_name for r in streaming.rejected_exports(spark, table).collect()] == ["unknown.bib"]
+    assert [r.issue_url for r in streaming.stream_resume(spark, issues, table).collect()] == [base + "j/vol/2"]
