@@ -11,6 +11,7 @@ from shelfmark.functions.urls import issue_file_id_b
 from shelfmark.operators.citations import bibtex_parse, filter_bad_export
 from shelfmark.operators.holdings import YEAR_FLOOR
 from shelfmark.operators.records import scopus_records
+from shelfmark.operators.toc import toc_rejected
 from shelfmark.plans import jobs
 from shelfmark.schemas import HOLDINGS
 from shelfmark.sources import files, sinks
@@ -32,6 +33,7 @@ def issue_index(spark, args):
         F.lit(args.journal).alias("journal"), "html"
     )
     sinks.sink_issues(jobs.job_issue_index(pages, args.variant), args.out)
+    sinks.write_table(toc_rejected(pages, args.variant), f"{args.out.rstrip('/')}-rejected")
 
 
 def load_citations(spark, args):

@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import ALL_REST, hard_spaces, pieces_after
+from shelfmark.functions.text import hard_spaces, pieces_after
 
 # The element names the feeds use.
 TAGS = ("a", "br", "dd", "div", "h3", "li", "span", "sup", "table", "td", "ul")
@@ -33,15 +33,18 @@ def opening_tag(
     """Regex for an opening tag, with a class token, the exact class text, or an attribute."""
     tests = r"(?=[\s>/])"
     if cls is not None:
-        value = re.escape(cls) if exact else rf"(?:[^\"]*\s)?{re.escape(cls)}(?:\s[^\"]*)?"
-        tests += rf"(?=[^>]*\sclass=\"{value}\")"
+        quoted = []
+        for q in "\"'":
+            value = re.escape(cls) if exact else rf"(?:[^{q}]*\s)?{re.escape(cls)}(?:\s[^{q}]*)?"
+            quoted.append(f"{q}{value}{q}")
+        tests += rf"(?=[^>]*\sclass\s*=\s*(?:{'|'.join(quoted)}))"
     if attribute is not None:
-        tests += rf"(?=[^>]*\s{re.escape(attribute)}=)"
+        tests += rf"(?=[^>]*\s{re.escape(attribute)}\s*=)"
     return rf"<{re.escape(tag)}{tests}[^>]*>"
 
 
-def _up_to_close(piece: Column, tag: str) -> Column:
-    """The part of `piece` before the closing tag that matches an opening tag just left of it."""
+def _closed(piece: Column, tag: str) -> Column:
+    """The part of `piece` before the closing tag of an opening tag just left of it; null without one."""
     close = f"</{tag}>"
     before = F.substring_index(piece, close, 1)
     spans = F.split(piece, rf"\Q{close}\E")
@@ -56,28 +59,52 @@ def _up_to_close(piece: Column, tag: str) -> Column:
         return F.struct(opened.alias("opened"), seen.alias("seen"), found.alias("found"))
 
     start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("seen"), F.lit(0).alias("found"))
-    # An element that is never closed reaches to the end.
+    # What follows the last closing tag has none of its own.
     found = F.aggregate(
-        spans, start, step, lambda s: F.when(s["found"] > 0, s["found"]).otherwise(ALL_REST)
+        spans, start, step, lambda s: F.when((s["found"] > 0) & (s["found"] < s["seen"]), s["found"])
     )
     balanced = F.array_join(F.slice(spans, F.lit(1), found), close)
-    return F.when(~F.contains(before, F.lit(f"<{tag}")), before).otherwise(balanced)
+    return (
+        F.when(~F.contains(piece, F.lit(close)), F.lit(None).cast("string"))
+        .when(~F.contains(before, F.lit(f"<{tag}")), before)
+        .otherwise(balanced)
+    )
+
+
+def _up_to_close(piece: Column, tag: str) -> Column:
+    """As `_closed`; an element that is never closed reaches to the end of the piece."""
+    return F.coalesce(_closed(piece, tag), piece)
 
 
 def _after_openings(html: Column, opening: str) -> Column:
     return pieces_after(F.split(html, opening))
 
 
-def elements(html: Column, tag: str, **which) -> Column:
-    """Inner HTML of every matching element, in document order."""
-    return F.transform(
-        _after_openings(html, opening_tag(tag, **which)), lambda piece: _up_to_close(piece, tag)
-    )
+def elements(html: Column, tag: str, nested: bool = False, **which) -> Column:
+    """Inner HTML of every matching element, in document order.
+
+    An element ends at the next matching one at the latest; with `nested` it goes on beyond those
+    that stand inside it, which also count by themselves.
+    """
+    opening = opening_tag(tag, **which)
+    if not nested:
+        return F.transform(_after_openings(html, opening), lambda piece: _up_to_close(piece, tag))
 
+    def whole(piece: Column, i: Column) -> Column:
+        rest = F.get(F.split(html, opening, i + 2), i + 1)
+        return F.coalesce(_closed(piece, tag), _closed(rest, tag), piece)
 
-def first_element(html: Column, tag: str, **which) -> Column:
-    """Inner HTML of the first matching element, or null."""
-    return _up_to_close(F.get(F.split(html, opening_tag(tag, **which)), F.lit(1)), tag)
+    return F.transform(_after_openings(html, opening), whole)
+
+
+def first_element(html: Column, tag: str, nested: bool = False, **which) -> Column:
+    """Inner HTML of the first matching element, or null; `nested` as for `elements`."""
+    opening = opening_tag(tag, **which)
+    piece = F.get(F.split(html, opening), F.lit(1))
+    if not nested:
+        return _up_to_close(piece, tag)
+    rest = F.get(F.split(html, opening, 2), F.lit(1))
+    return F.coalesce(_closed(piece, tag), _closed(rest, tag), piece)
 
 
 def elements_with_tag(html: Column, tag: str, **which) -> Column:

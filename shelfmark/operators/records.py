@@ -40,19 +40,20 @@ SECTIONS = ("header", "affiliations", "abstract", "author_keywords", "index_keyw
 
 # The reference line: (year) journal, volume (issue), pp. first-last. Other remarks.
 _YEAR = r"^\s*\(([^)]*)\)"
-_PAGES = r",\s*pp?\.\s+(.*?)\.(?:\s|$)"
+_PAGES = r",\s*pp?\.\s+(.*?)\s*(?:\.(?:\s|$)|$)"
 _HEAD = r"(?is)^\s*\([^)]*\)\s*(.*?)\s*(?:,\s*(?:pp?\.|art\. no\.).*)?$"
-_VOLUME = r",\s*([A-Za-z]?\d[^\s,()]*|[IVXLCDM]+)\s*(?:\(([^)]*)\))?\s*$"
+#: A volume has a digit, is a Roman number, or is one word before an issue with a digit.
+_VOLUME = r",\s*([A-Za-z]?\d[^\s,()]*|[IVXLCDM]+|[A-Za-z.]+(?=\s*\([^)]*\d))\s*(?:\(([^)]*)\))?\s*$"
+#: Left in the journal: numbers after a comma, which no pattern took.
+_UNREAD = r",[^,]*\d[^,]*$"
 
 
 def record_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per container: `(…, record_ordinal, block)`."""
+    """One row per container: `(…, record_ordinal, block)`; a page without one has a null block."""
     kept = [c for c in pages.columns if c != html]
-    return pages.select(
-        *kept,
-        F.posexplode(elements(normal_tags(F.col(html)), "div", cls=CONTAINER)).alias(
-            "record_ordinal", "block"
-        ),
+    found = F.posexplode_outer(elements(normal_tags(F.col(html)), "div", cls=CONTAINER))
+    return pages.select(*kept, found.alias("_place", "block")).select(
+        *kept, F.coalesce("_place", F.lit(0)).alias("record_ordinal"), "block"
     )
 
 
@@ -83,7 +84,7 @@ def header_parts(header: Column, fields: Column) -> dict[str, Column]:
     return {
         "authors": F.when(has_authors, F.get(fields, F.lit(0))),
         "reference": F.get(fields, F.when(has_authors, 1).otherwise(0)),
-        "title": first_element(header, "span", cls=BOLD_FIELD),
+        "title": first_element(header, "span", nested=True, cls=BOLD_FIELD),
         "doi": F.when(has_doi, F.get(fields, F.size(fields) - 1)),
     }
 
@@ -138,10 +139,10 @@ def scopus_affiliations(section: Column) -> Column:
 
 def scopus_citations(section: Column) -> Column:
     """Texts of the spans of each non-empty cell; entities still encoded."""
-    cells = F.filter(elements(section, "td"), lambda cell: F.length(without_tags(cell)) > 0)
+    cells = F.filter(elements(section, "td", nested=True), lambda cell: F.length(without_tags(cell)) > 0)
     return F.transform(
         cells,
-        lambda cell: F.transform(elements(cell, "span"), without_tags),
+        lambda cell: F.transform(elements(cell, "span", nested=True), without_tags),
     )
 
 
@@ -156,12 +157,14 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
     # In steps, so that each part is cut once before anything is derived from it.
     cut = blocks.select(
         *kept,
+        F.col("block").isNull().alias("_no_block"),
         text_after(F.col("block"), "Type:").alias("_type"),
         *[_section(name).alias(f"_{name}") for name in SECTIONS],
-    ).withColumn("_fields", elements(F.col("_header"), "span", cls=FIELD))
+    ).withColumn("_fields", elements(F.col("_header"), "span", nested=True, cls=FIELD))
     header = header_parts(F.col("_header"), F.col("_fields"))
     raw = cut.select(
         *kept,
+        "_no_block",
         F.col("_header").isNotNull().alias("_has_header"),
         F.col("_abstract").isNotNull().alias("_has_abstract"),
         hard_spaces(doc_type(F.col("_type"))).alias("document_type"),
@@ -171,7 +174,7 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
             "affiliations"
         ),
         *[
-            bare_text(first_element(F.col(f"_{name}"), "span", cls=FIELD)).alias(name)
+            bare_text(first_element(F.col(f"_{name}"), "span", nested=True, cls=FIELD)).alias(name)
             for name in ("abstract", "author_keywords", "index_keywords")
         ],
         scopus_citations(F.col("_citations")).alias("_citations"),
@@ -179,6 +182,7 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
     texts = ("authors", "reference", "title", "doi", "abstract", "author_keywords", "index_keywords")
     decoded = raw.select(
         *kept,
+        "_no_block",
         "_has_header",
         "_has_abstract",
         *[entity_decode(F.col(name)).alias(name) for name in ("document_type", *texts)],
@@ -191,6 +195,7 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
     line = scopus_header(F.col("reference"), compat)
     problem = F.concat_ws(
         "; ",
+        F.when(F.col("_no_block"), F.lit("no record on the page")),
         F.when(F.col("document_type").isNull(), F.lit("no document type")),
         F.when(~F.col("_has_header"), F.lit("no header")),
         F.when(F.col("_has_header") & F.col("title").isNull(), F.lit("no title")),
@@ -198,6 +203,7 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
             F.col("_has_header") & (F.col("year").isNull() | F.col("journal").isNull()),
             F.lit("unreadable reference line"),
         ),
+        F.when(F.lit(not compat) & F.col("journal").rlike(_UNREAD), F.lit("unreadable volume")),
         F.when(F.col("_has_abstract") & F.col("abstract").isNull(), F.lit("unreadable abstract")),
     )
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.markup import (
@@ -12,6 +12,7 @@ from shelfmark.functions.markup import (
     elements_with_tag,
     first_element,
     normal_tags,
+    opening_tag,
 )
 from shelfmark.functions.text import (
     entity_decode,
@@ -48,14 +49,23 @@ def links_extract(pages: DataFrame, tag: str = "a", html: str = "html") -> DataF
     )
 
 
+def _within(html: Column, tag: str) -> Column:
+    """What follows the first opening tag; null without one."""
+    return F.get(F.split(html, opening_tag(tag), 2), F.lit(1))
+
+
 def year_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
-    """The list items that carry a year, one row each; items without one hold no issues of their own."""
+    """The list items that carry a year, one row each; items without one hold no issues of their own.
+
+    An item counts in a list of a definition (`dd`, `ul`), and of it the items of its own list.
+    """
     kept = [c for c in pages.columns if c != html]
-    items = elements_with_tag(normal_tags(F.col(html), LINK_A), "li", attribute="data-year")
-    return pages.select(*kept, F.explode(items).alias("_item")).select(
+    lists = pages.select(*kept, F.explode(elements(normal_tags(F.col(html), LINK_A), "dd")).alias("_dd"))
+    items = elements_with_tag(_within(F.col("_dd"), "ul"), "li", attribute="data-year")
+    return lists.select(*kept, F.explode(items).alias("_item")).select(
         *kept,
         attribute(F.col("_item.tag"), "data-year").alias("data_year"),
-        F.col("_item.inner").alias(html),
+        F.coalesce(_within(_within(F.col("_item.inner"), "ul"), "li"), F.lit("")).alias(html),
     )
 
 
@@ -71,11 +81,29 @@ def toc_issues_a(pages: DataFrame, base: str = ISSUE_BASE_A) -> DataFrame:
     )
 
 
+def _blocks_b(pages: DataFrame) -> DataFrame:
+    items = elements(normal_tags(F.col("html")), "div", cls=ITEM_B, exact=True)
+    return pages.select("journal", F.posexplode(items).alias("position", "_item"))
+
+
+def toc_rejected(pages: DataFrame, variant: str = "a") -> DataFrame:
+    """`(journal, position, problem, block)` of links and issue blocks that give no issue."""
+    if variant == "a":
+        found = elements_with_tag(F.col("html"), LINK_A)
+        links = year_blocks(pages).select("journal", F.posexplode(found).alias("position", "_item"))
+        address = attribute(F.col("_item.tag"), "href")
+        rows = links.withColumn("block", F.concat("_item.tag", "_item.inner"))
+    else:
+        anchor = F.get(elements_with_tag(F.col("_item"), "a", cls=ANCHOR_B, exact=True), F.lit(0))
+        rows = _blocks_b(pages).withColumn("_anchor", anchor).withColumn("block", F.col("_item"))
+        address = attribute(F.col("_anchor.tag"), "href")
+    return rows.where(address.isNull()).select("journal", "position", F.lit("no link").alias("problem"), "block")
+
+
 def toc_issues_b(pages: DataFrame) -> DataFrame:
     """`(journal, html)` to issues: one block per issue, its year the last word of its status."""
     item = F.col("_item")
-    items = elements(normal_tags(F.col("html")), "div", cls=ITEM_B, exact=True)
-    blocks = pages.select("journal", F.explode(items).alias("_item"))
+    blocks = _blocks_b(pages)
     anchor = F.get(elements_with_tag(item, "a", cls=ANCHOR_B, exact=True), F.lit(0))
     parts = blocks.select("journal", "_item", anchor.alias("_anchor")).select(
         "journal",

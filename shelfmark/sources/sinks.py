@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.holdings import completeness_gate, held_totals
@@ -51,17 +51,40 @@ def sink_articles(
 ) -> GateResult:
     """Replace the table at `path` only if every issue has articles.
 
-    The articles are parsed once, into `staging`; gate and publication both read that table, so what
-    was checked is what is published. An incomplete run leaves `path` as it was.
+    The articles are written once, to `staging`, which the gate reads and which then takes the place
+    of `path`. An incomplete run leaves `path` as it was and the articles in `staging`.
     """
     write_table(articles, staging)
     staged = articles.sparkSession.read.schema(articles.schema).parquet(staging)
     result = GateResult(**completeness_gate(issues, staged).first().asDict())
     if result.complete_by_count if compat else result.complete:
-        write_table(staged, path)
+        publish(articles.sparkSession, staging, path)
     return result
 
 
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Put the table at `staging` in the place of `path` by renaming.
+
+    The old table stands aside until the new one is in place, and returns if that fails.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, here, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (staging, path, f"{path.rstrip('/')}.old"))
+    fs = here.getFileSystem(conf)
+    if not fs.exists(here) and fs.exists(old):
+        fs.rename(old, here)
+    had = fs.exists(here)
+    fs.mkdirs(here.getParent())
+    if had:
+        fs.delete(old, True)
+        if not fs.rename(here, old):
+            raise OSError(f"{path} cannot be moved aside")
+    if not (fs.exists(new) and fs.rename(new, here)):
+        if had:
+            fs.rename(old, here)
+        raise OSError(f"{staging} cannot be moved to {path}")
+    fs.delete(old, True)
+
+
 def sink_report(per_issue: DataFrame, path: str, floor: int) -> None:
     """The table per issue and, beside it, the totals; totals are read off the written table."""
     write_table(per_issue, f"{path}/per_issue")

@@ -103,6 +103,24 @@ def test_quarantine(spark):
     assert bad.problem == "no document type; unreadable reference line"
 
 
+def test_single_quotes_and_nested_fields(spark):
+    html = FULL.replace('"', "'").replace("Abs &eacute;", "A <span class='txt'>in</span> out")
+    [row] = load(spark, html).collect()
+    assert (row.title, row.journal, row.doi, row.problem) == ("Title <1>", "RES", "10.1/x", None)
+    assert row.abstract == "A in out"
+
+
+def test_a_page_without_records_is_quarantined(spark):
+    for html in ("<p>Try later</p>", "", None):
+        [bad] = load(spark, html).collect()
+        assert bad.record_ordinal == 0 and bad.problem.startswith("no record on the page")
+
+
+def test_a_volume_that_is_not_read_is_quarantined(spark):
+    [bad] = load(spark, FULL.replace("86 (3)", "86 Suppl. x 3")).collect()
+    assert bad.problem == "unreadable volume"
+
+
 def test_a_filter_does_not_parse_twice(spark):
     """The filter on `problem` stays above the projection, so entities are decoded once."""
     pages = spark.createDataFrame([("p.html", FULL)], "file_name string, html string")
@@ -111,6 +129,11 @@ def test_a_filter_does_not_parse_twice(spark):
 
 
 LINES = [
+    (
+        "(2011) RES, Suppl (3), pp. 1-2",
+        ("2011", "RES", "Suppl", "3", "1-2"),
+        ("2011", "RES", "Suppl", "3", "1-2"),
+    ),
     (
         "(2019) Review of Economic Studies, 86 (3), pp. 1001-1034. Cited 3 times. ",
         ("2019", "Review of Economic Studies", "86", "3", "1001-1034"),

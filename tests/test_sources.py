@@ -124,6 +124,11 @@ def test_load_and_gated_publication(spark, export_dir, tmp_path):
     assert published.schema == schemas.ARTICLES
     assert published.count() == 2
 
+    # A publication that fails leaves the old table.
+    with pytest.raises(OSError):
+        sinks.publish(spark, str(tmp_path / "nothing"), target)
+    assert files.scan_articles(spark, target).count() == 2
+
     # A repeated issue row does no harm, unless rows are counted.
     twice = issue_table(spark, "i1", "i1")
     assert sinks.sink_articles(load.articles, twice, target, staging).complete

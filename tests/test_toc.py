@@ -1,6 +1,6 @@
 """Table-of-contents pages of both feeds."""
 
-from shelfmark.operators.toc import links_extract, toc_issues_a, toc_issues_b, year_blocks
+from shelfmark.operators.toc import links_extract, toc_issues_a, toc_issues_b, toc_rejected, year_blocks
 
 PAGE_A = """<dd><ul><li data-year="1946"><ul>
  <li><collection-view-pharos-link href="/stable/10.2307/i1">Vol. 1, No. 1</collection-view-pharos-link></li>
@@ -35,6 +35,20 @@ def test_items_without_a_year_are_no_blocks(spark):
     assert years == ["1946", "1947"]
 
 
+def test_items_and_links_out_of_place(spark):
+    link = '<collection-view-pharos-link href="/x">X</collection-view-pharos-link>'
+    outside = f'<ul><li data-year="1946"><ul><li>{link}</li></ul></li></ul>'
+    loose = f'<dd><ul><li data-year="1946">{link}</li></ul></dd>'
+    assert rows(toc_issues_a(pages(spark, outside + loose))) == []
+
+
+def test_links_and_blocks_without_an_address_are_rejected(spark):
+    broken = PAGE_A.replace(' href="/stable/10.2307/i1"', "")
+    for variant, html, text in (("a", broken, "Vol. 1, No. 1"), ("b", PAGE_B, "No issue")):
+        [bad] = toc_rejected(pages(spark, html), variant).collect()
+        assert (bad.journal, bad.problem) == ("J", "no link") and text in bad.block
+
+
 def test_feed_b(spark):
     assert rows(toc_issues_b(pages(spark, PAGE_B))) == [
         (
