@@ -317,3 +317,8 @@ def record_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_table(spark, sf_dir, "documents").select(
         _text(F.col("doc_id"), ".html").alias("file_name"), html.alias("html")
     )
+
+
+def other_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given pages, none of which is a result page."""
+    return spread_table(spark, sf_dir, "pages").select(_text(F.col("page_id"), ".htm").alias("file_name"), "html")

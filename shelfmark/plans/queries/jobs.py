@@ -94,11 +94,11 @@ def _(spark, d):
 
 @query(
     "job_load_records_quarantined",
-    """SELECT CAST(NULL AS VARCHAR) AS file_name, CAST(NULL AS INTEGER) AS record_ordinal,
-              CAST(NULL AS VARCHAR) AS problem FROM documents WHERE lang IS NULL""",
+    """SELECT page_id || '.htm' AS file_name, CAST(0 AS INTEGER) AS record_ordinal,
+              'no record on the page; no document type; no header' AS problem FROM pages""",
 )
 def _(spark, d):
-    load = jobs.job_load_records(bindings.record_pages(spark, d))
+    load = jobs.job_load_records(bindings.record_pages(spark, d).unionByName(bindings.other_pages(spark, d)))
     return load.quarantined.select("file_name", "record_ordinal", "problem")
 
 
