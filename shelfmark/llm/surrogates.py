@@ -45,6 +45,9 @@ ANY = "|".join(p.replace(r"([ \-]?)", r"(?<sep>[ \-]?)").replace(r"\1", r"\k<sep
 #: Texts without any of these hold nothing that ANY finds.
 HINT = rf"[@0-9]|{_TITLE}\.? \p{{Lu}}|(?:password|passwd|pwd|secret|token|api_key)[=:]"
 
+#: Attempts that keep a token's shape; later ones lengthen it, so that no shape can be used up.
+SHAPED_ATTEMPTS = 4
+
 _TOKENS = "array<struct<kind:string,value:string>>"
 
 
@@ -112,6 +115,8 @@ def _mask(text: Column, digest: Column, names: bool = False) -> Column:
             F.when(c.rlike("^[0-9]$"), _pick("0123456789", draw))
             .when(c.rlike("^[a-z]$"), _pick("abcdefghijklmnopqrstuvwxyz", draw))
             .when(c.rlike("^[A-Z]$"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", draw))
+            .when(c.rlike(r"^\p{IsCyrillic}$"), _pick(_CYR_VOWELS + _CYR_CONSONANTS, draw))
+            .when(c.rlike(r"^[\p{L}\p{N}]$"), _pick("abcdefghijklmnopqrstuvwxyz", draw))
             .otherwise(c)
         )
 
@@ -130,9 +135,15 @@ def _with_check_digit(digits: Column) -> Column:
 
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """Replacement of a token: a function of key, type, value and attempt, and nothing else."""
+    """Replacement of a token: a function of key, type, value and attempt, and nothing else.
+
+    From attempt SHAPED_ATTEMPTS on it is longer than the value, by more with each attempt, as all of
+    its shape may be taken. A value without a letter or digit has no shape and gives a digest.
+    """
     digest = F.sha2(F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), value), 256)
     masked = _mask(value, digest)
+    over = attempt - (SHAPED_ATTEMPTS - 1)
+    drawn = lambda unit, names=False: _mask(F.repeat(F.lit(unit), over), F.concat(digest, F.lit("~")), names)
     rest = lambda n: F.concat(F.substr(value, F.lit(1), F.lit(n)), F.substr(masked, F.lit(n + 1)))
     octet = lambda i: (F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(254)) + 1).cast("string")
     hexed = F.substr(F.concat(digest, digest), F.lit(1), F.length(value))
@@ -145,7 +156,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     )
     name = F.initcap(_mask(value, digest, names=True))
     out = (
-        F.when(kind == "email", F.concat(_mask(local, digest), host))
+        F.when(kind == "email", F.concat(_mask(local, digest), F.when(over < 1, F.lit("")).otherwise(drawn("a0")), host))
         .when(kind == "aws", rest(4))
         .when(kind == "iban", rest(2))
         .when(kind == "hex", hexed)
@@ -158,7 +169,17 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         listed = F.element_at(F.array(*[F.lit(g) for g in given]), place)
         # The list is short: a name that meets another one there is drawn letter by letter next time.
         out = out.when(kind == f"given-{gender}-{script}", F.when(attempt == 0, listed).otherwise(name))
-    return out.when(kind.startswith("surname-"), name).otherwise(masked)
+    shapeless = ~value.rlike(r"[\p{L}\p{N}]")
+    out = out.when(kind.startswith("surname-"), name).when(shapeless, F.substr(digest, F.lit(1), F.lit(16))).otherwise(masked)
+    tail = (
+        F.when((over < 1) | (kind == "email"), F.lit(""))
+        .when(kind.isin("card", "phone", "ssn"), drawn("0000"))
+        .when(kind == "ipv4", F.concat(F.lit(":"), drawn("0000")))
+        .when(kind.endswith("-cyrillic"), drawn("ба", names=True))
+        .when(kind.rlike("^(?:given|surname)-"), drawn("ba", names=True))
+        .otherwise(drawn("a0a0"))
+    )
+    return F.concat(out, tail)
 
 
 def _formatted(e: Column, kind: Column, made: Column) -> Column:
@@ -169,11 +190,12 @@ def _formatted(e: Column, kind: Column, made: Column) -> Column:
         before = F.length(F.regexp_replace(F.substr(e, F.lit(1), i), "[^0-9]", "")) + 1
         return F.when(c.rlike("^[0-9]$"), F.substr(made[0], before.cast("int"), F.lit(1))).otherwise(c)
 
-    shaped = F.array_join(F.transform(_chars(e), put), "")
+    # A lengthened surrogate has more digits than the piece; they follow.
+    shaped = F.concat(F.array_join(F.transform(_chars(e), put), ""), F.substr(made[0], F.length(digits) + 1))
     title = F.regexp_extract(e, "^([^ ]+) ", 1)
     return (
         F.when(kind == "person", F.concat_ws(" ", title, F.array_join(made, " ")))
-        .when(kind.isin("card", "phone", "ssn") & (F.length(made[0]) == F.length(digits)), shaped)
+        .when(kind.isin("card", "phone", "ssn"), shaped)
         .otherwise(made[0])
     )
 
@@ -183,7 +205,7 @@ def resolved(tokens: DataFrame, key: str) -> DataFrame:
 
     Surrogates that meet another one, or a value that occurs, are drawn again with the next
     attempt; of those that meet, the earlier attempt stays, then the lesser value. Rounds go on until
-    nothing meets.
+    nothing meets; they end, as surrogates grow longer than any value that occurs.
     """
     first = tokens.select("kind", "value").distinct().withColumn("attempt", F.lit(0))
     made = surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)

@@ -174,6 +174,21 @@ def test_surrogates_stay_distinct(spark, monkeypatch):
     assert len(set(out)) == 60 and len({t.split()[-1] for t in out}) == 1
 
 
+def test_surrogates_of_tokens_without_room(spark):
+    """Nothing to mask, or a shape all of whose values occur: the rounds end, and nothing real stays."""
+    values = ["***", ">", "пароль", *"0123456789"]
+    mails = [f"{c}@{c}.org" for c in "abc"]
+    phones = [f"+1 {i:02d} 22" for i in range(100)]
+    people = [f"Mr. {a}{b}" for a in "BDFGHKLMNPRSTVZ" for b in "aeiou"]
+    texts = [f"token={v}" for v in values] + mails + phones + people
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in surrogates.replace_private(docs, "k").collect()}
+    assert len(out) == len(texts) == len(set(out.values())) and not set(out.values()) & set(texts)
+    new = [out[i].removeprefix("token=") for i in range(len(values))]
+    assert re.fullmatch("[0-9a-f]{16}", new[0]) and re.fullmatch("[а-я]{6}", new[2])
+    assert all(out[i].startswith("Mr. ") for i, t in enumerate(texts) if t.startswith("Mr."))
+
+
 def test_warc_round_trip(spark):
     long, short = "x" * 1500, "y" * 10
     rows = [(1, "http://a", long), (2, None, long), (3, "c", short), (4, "d", short), (5, "", None), (None, "e", long), (7, "f\r\nX: 1", "é\r\n\r\n" * 600)]
