@@ -26,14 +26,34 @@ GIVEN = {
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + ")"
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 
+#: A key and what stands between it and its value: `password=`, `API_KEY = "`, `"token": "`.
+SECRET_KEY = (
+    r"(?=[PpSsTtAa])(?i:password|passwd|pwd|secret|token|api[_\-]?key)[\"']?[ \t]*+"
+    r"(?:[=:]=?>?[ \t]*+(?=[^\s\"',;]|\"[^\"\s]|'[^'\s])|[=:])[\"']?"
+)
+#: Length of the account numbers of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_GROUPED = "|".join(
+    f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}"
+    + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, countries in IBAN_LENGTHS.items()
+)
+_H16 = "[0-9A-Fa-f]{1,4}"
+
 #: What is looked for, in this order where two could begin at one place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
     "aws": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?:password|passwd|pwd|secret|token|api_key)[=:])[^\s\"',;]+",
-    "hex": r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "card": r"(?<![\d.])[0-9]{4}([ \-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?!\d)",
+    "secret": r"(?<=\")[^\"\s][^\"\r\n]*+(?=\")|(?<=')[^'\s][^'\r\n]*+(?=')|[^\s\"',;]+",
+    "hex": r"(?<![A-Za-z0-9])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|(?=[A-Z]{{2}}[0-9]{{2}} )(?:{_GROUPED}))(?![A-Za-z0-9])",
+    "card": r"(?<![\d.])(?:[0-9]{4}(?<sep>[ \-]?)[0-9]{4}\k<sep>[0-9]{4}\k<sep>[0-9]{4}|3[47][0-9]{2}(?<gap>[ \-]?)[0-9]{6}\k<gap>[0-9]{5})(?!\d)",
+    "ipv6": rf"(?<![A-Za-z0-9:.])(?:(?:{_H16}:){{7}}{_H16}|[23Ff][0-9A-Fa-f]{{3}}(?::{_H16}){{0,6}}::(?:{_H16}(?::{_H16}){{0,5}})?)(?![A-Za-z0-9:])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "ssn": r"(?<![\d\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\d\-])",
     "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .\-][0-9]{3,4}[ .\-][0-9]{4}(?![\d\-])",
@@ -41,9 +61,16 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}}){_TITLE}\.? {_NAME}(?: {_NAME})?",
 }
 
-ANY = "|".join(p.replace(r"([ \-]?)", r"(?<sep>[ \-]?)").replace(r"\1", r"\k<sep>") for p in PATTERNS.values())
+#: Pieces to replace; a secret's begins with its key, which stays, unless the key ends another piece.
+ANY = "|".join(
+    f"{SECRET_KEY}(?:{'|'.join(PATTERNS[k] for k in ('email', 'aws', 'secret'))})"
+    r"|(?<=(?i:password|passwd|pwd|secret|token|api_key)[=:])[^\s\"',;]+"
+    if k == "secret"
+    else p
+    for k, p in PATTERNS.items()
+)
 #: Texts without any of these hold nothing that ANY finds.
-HINT = rf"[@0-9]|{_TITLE}\.? \p{{Lu}}|(?:password|passwd|pwd|secret|token|api_key)[=:]"
+HINT = rf"[@0-9]|{_TITLE}\.? \p{{Lu}}|{SECRET_KEY}|AKIA|[A-Fa-f]{{32}}|[A-Fa-f]:[:A-Fa-f]"
 
 #: Attempts that keep a token's shape; later ones lengthen it, so that no shape can be used up.
 SHAPED_ATTEMPTS = 4
@@ -77,10 +104,24 @@ def _person_tokens(e: Column) -> Column:
     return F.when(F.size(words) > 2, F.array(first, surname)).otherwise(F.array(surname))
 
 
+def _whole_ipv6(e: Column) -> Column:
+    """The address with its eight groups of four digits, however it is shortened."""
+    sides = F.transform(F.split(e, "::"), lambda side: F.filter(F.split(side, ":"), lambda g: g != ""))
+    after = F.coalesce(F.get(sides, F.lit(1)), F.array().cast("array<string>"))
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(sides[0]) - F.size(after))
+    return F.array_join(F.transform(F.concat(sides[0], zeros, after), lambda g: F.lpad(g, 4, "0")), ":")
+
+
 def tokens_of(e: Column, kind: Column) -> Column:
     """What a found piece refers to, whatever its case or separators: `array<struct<kind, value>>`."""
     digits = F.regexp_replace(e, "[^0-9]", "")
-    value = F.when(kind.isin("card", "phone", "ssn"), digits).when(kind == "email", F.lower(e)).otherwise(e)
+    value = (
+        F.when(kind.isin("card", "phone", "ssn"), digits)
+        .when(kind.isin("email", "hex"), F.lower(e))
+        .when(kind == "iban", F.replace(e, F.lit(" "), F.lit("")))
+        .when(kind == "ipv6", _whole_ipv6(F.lower(e)))
+        .otherwise(e)
+    )
     one = F.array(F.struct(kind.alias("kind"), value.alias("value")))
     return F.when(kind == "person", _person_tokens(e)).otherwise(one).cast(_TOKENS)
 
@@ -160,7 +201,8 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .when(kind == "aws", rest(4))
         .when(kind == "iban", rest(2))
         .when(kind == "hex", hexed)
-        .when(kind == "card", let(rest(1), _with_check_digit))
+        .when(kind == "card", let(F.when(F.length(value) == 15, rest(2)).otherwise(rest(1)), _with_check_digit))
+        .when(kind == "ipv6", F.concat_ws(":", F.substr(value, F.lit(1), F.lit(4)), *[F.substr(digest, F.lit(4 * i), F.lit(4)) for i in range(1, 8)]))
         .when(kind == "ipv4", F.concat_ws(".", *[octet(i) for i in range(4)]))
         .when(kind == "phone", rest(1))
     )
@@ -184,18 +226,22 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
 
 def _formatted(e: Column, kind: Column, made: Column) -> Column:
     """The surrogate `made` (one per token) in the format of the piece `e`."""
-    digits = F.regexp_replace(e, "[^0-9]", "")
+    # What an IBAN's surrogate fills are letters too.
+    other = F.when(kind == "iban", "[^0-9A-Z]").otherwise("[^0-9]")
+    own = F.when(kind == "iban", "^[0-9A-Z]$").otherwise("^[0-9]$")
+    digits = F.regexp_replace(e, other, "")
 
     def put(c: Column, i: Column) -> Column:
-        before = F.length(F.regexp_replace(F.substr(e, F.lit(1), i), "[^0-9]", "")) + 1
-        return F.when(c.rlike("^[0-9]$"), F.substr(made[0], before.cast("int"), F.lit(1))).otherwise(c)
+        before = F.length(F.regexp_replace(F.substr(e, F.lit(1), i), other, "")) + 1
+        return F.when(F.regexp_like(c, own), F.substr(made[0], before.cast("int"), F.lit(1))).otherwise(c)
 
     # A lengthened surrogate has more digits than the piece; they follow.
     shaped = F.concat(F.array_join(F.transform(_chars(e), put), ""), F.substr(made[0], F.length(digits) + 1))
     title = F.regexp_extract(e, "^([^ ]+) ", 1)
     return (
         F.when(kind == "person", F.concat_ws(" ", title, F.array_join(made, " ")))
-        .when(kind.isin("card", "phone", "ssn"), shaped)
+        .when(kind.isin("card", "phone", "ssn", "iban"), shaped)
+        .when(kind.isin("hex", "ipv6") & e.rlike("[A-F]"), F.upper(made[0]))
         .otherwise(made[0])
     )
 
@@ -230,11 +276,14 @@ def resolved(tokens: DataFrame, key: str) -> DataFrame:
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """`_kinds` and `_pieces` of each text: what stands there, in order."""
+    """`_kinds` and `_pieces` of each text: what stands there, in order; `_keys`, the key before a secret."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
     pieces = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
-    return docs.withColumn("_pieces", pieces).withColumn("_kinds", F.transform("_pieces", kind_of))
+    keys = F.transform("_pieces", lambda e: F.regexp_extract(e, f"^(?:{SECRET_KEY})(?=.)", 0))
+    values = F.zip_with("_pieces", "_keys", lambda e, k: F.substr(e, F.length(k) + 1))
+    found = docs.withColumn("_pieces", pieces).withColumn("_keys", keys).withColumn("_pieces", values)
+    return found.withColumn("_kinds", F.transform("_pieces", kind_of))
 
 
 def _row_key() -> Column:
@@ -287,7 +336,7 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     def new(e: Column, kind: Column) -> Column:
         return let(F.transform(tokens_of(e, kind), one), lambda made: _formatted(e, kind, made))
 
-    replaced = F.zip_with("_pieces", "_kinds", new)
+    replaced = F.zip_with("_keys", F.zip_with("_pieces", "_kinds", new), lambda k, made: F.concat(k, made))
     between = F.split(F.col("text").cast("string"), ANY, -1)
     rebuilt = F.array_join(F.flatten(F.zip_with("_between", "_new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     text = F.when(F.size("_pieces") > 0, rebuilt).otherwise(F.col("text").cast("string"))
