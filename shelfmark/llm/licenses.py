@@ -1,4 +1,4 @@
-"""Licence scan: a positional index of licence texts, looked up by each file's rarest licence words."""
+"""Licence scan: a positional index of licence texts, looked up by each text's rarest word."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import kept, let
+from shelfmark.llm.common import kept
 
 #: Words: runs of ASCII letters and digits and of anything beyond ASCII.
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -157,94 +157,77 @@ def _phrase_places(hits: Column, phrase: str) -> Column:
     return F.transform(F.filter(hits, stands), lambda h: h["i"])
 
 
-def match_templates(hits: Column, weights: list[float], rarest: int) -> Column:
+def _anchors(weights: list[float]) -> list[tuple[int, int]]:
+    """Place and word of each template's rarest mandatory word, which every occurrence has."""
+    words = [{p: _ID[w] for p, w in _content(t.text)} for t in TEMPLATES]
+    places = [min(_places(t), key=lambda p: (-weights[of[p]], p)) for t, of in zip(TEMPLATES, words)]
+    return [(p, of[p]) for p, of in zip(places, words)]
+
+
+def match_templates(hits: Column, weights: list[float]) -> Column:
     """`array<struct<label, score>>` of the templates found in one file's hits.
 
-    The file's `rarest` words of highest weight look up template postings; each gives a template and
-    the place where it would begin. Places that two such words agree on (or one, for a file of
-    one) are candidates; a candidate holds if all words of its mandatory phrases stand in place, and
-    scores the share of its words that do. Every step is linear in the hits but for one sort.
+    Each template is looked up by its own rarest mandatory word: every hit of that word gives the place
+    where the template would begin. There the hits nearby are held against the template's words; it
+    is found if all words of its mandatory phrases stand in place, and scores the share of its words
+    that do. As no occurrence lacks a mandatory word, none is missed, whatever else the file
+    holds. A proposal takes as many steps as a template has words, so all is linear in the hits.
     """
-    order = sorted(range(len(VOCABULARY)), key=lambda i: (-weights[i], i))
-    rank = F.array(*[F.lit(order.index(i)) for i in range(len(VOCABULARY))])
+    anchors = _anchors(weights)
+    none = F.array().cast("array<struct<t:int,p:bigint>>")
     posting = F.array(
         *[
             F.array(
                 *[
                     F.struct(F.lit(t).alias("t"), F.lit(p).cast("long").alias("p"))
-                    for t, template in enumerate(TEMPLATES)
-                    for p, w in _content(template.text)
+                    for t, (p, w) in enumerate(anchors)
                     if w == word
                 ]
             )
-            if any(w == word for template in TEMPLATES for _, w in _content(template.text))
-            else F.array().cast("array<struct<t:int,p:bigint>>")
-            for word in VOCABULARY
+            if any(w == word for _, w in anchors)
+            else none
+            for word in range(len(VOCABULARY))
+        ]
+    )
+    spans = [len(t.text.split()) for t in TEMPLATES]
+    expected = F.array(
+        *[
+            F.array(*[F.lit(-1 if w in COMMON else _ID[w]) for w in t.text.split()])
+            for t in TEMPLATES
         ]
     )
     sizes = F.array(*[F.lit(len(_content(t.text))) for t in TEMPLATES])
     needed = F.array(*[F.array(*[F.lit(p).cast("long") for p in _places(t)]) for t in TEMPLATES])
     labels = F.array(*[F.lit(t.label) for t in TEMPLATES])
-    ranks = F.transform(hits, lambda h: F.element_at(rank, h["w"] + 1))
-    last_rank = F.element_at(F.slice(F.array_sort(F.array_distinct(ranks)), 1, rarest), -1)
-
-    def place(limit: Column):
-        def of(h: Column) -> Column:
-            return F.transform(
-                F.element_at(posting, h["w"] + 1),
-                lambda p: F.struct(
-                    p["t"].alias("t"),
-                    (h["i"] - p["p"]).alias("o"),
-                    p["p"].alias("p"),
-                    (F.element_at(rank, h["w"] + 1) <= limit).alias("rare"),
-                ),
-            )
 
-        return of
-
-    def runs(places: Column) -> Column:
-        """Slices of the sorted places that share template and offset."""
-        n = F.size(places)
-        starts = F.filter(
-            F.transform(places, lambda x, j: F.when(
-                (j == 0)
-                | (F.get(places, j - 1)["t"] != x["t"])
-                | (F.get(places, j - 1)["o"] != x["o"]), j)),
-            lambda j: j.isNotNull(),
-        )
-        return let(
-            starts,
-            lambda s: F.transform(
-                s, lambda j, k: F.slice(places, j + 1, F.coalesce(F.get(s, k + 1), n) - j)
-            ),
+    def proposals(h: Column, j: Column) -> Column:
+        return F.transform(
+            F.element_at(posting, h["w"] + 1),
+            lambda a: F.struct(a["t"].alias("t"), (h["i"] - a["p"]).alias("o"), j.alias("j")),
         )
 
-    def holds(run: Column) -> Column:
-        t = run[0]["t"]
-        agreed = F.size(F.filter(run, lambda x: x["rare"]))
-        there = F.transform(run, lambda x: x["p"])
-        return (agreed >= F.least(F.lit(2), F.element_at(sizes, t + 1))) & (
-            F.size(F.array_except(F.element_at(needed, t + 1), there)) == 0
-        )
-
-    def found(limit: Column) -> Column:
-        places = F.array_sort(F.flatten(F.transform(hits, place(limit))))
-        return let(
-            places,
-            lambda ps: F.transform(
-                F.filter(runs(ps), holds),
-                lambda run: F.struct(
-                    F.element_at(labels, run[0]["t"] + 1).alias("label"),
-                    (F.size(run) / F.element_at(sizes, run[0]["t"] + 1)).alias("score"),
-                ),
-            ),
-        )
-
-    none = F.array().cast("array<struct<label:string,score:double>>")
-    return F.when(F.size(hits) == 0, none).otherwise(let(last_rank, found))
+    def held(x: Column) -> Column:
+        """Template, and the places in it whose words stand there."""
+        words = F.element_at(expected, x["t"] + 1)
+        # Hits lie on different words, so a template's are among as many on either side.
+        first = F.greatest(x["j"] + 2 - max(spans), F.lit(1))
+        near = F.slice(hits, first, F.lit(2 * max(spans)))
+        there = F.filter(near, lambda h: F.get(words, (h["i"] - x["o"]).cast("int")) == h["w"])
+        return F.struct(x["t"].alias("t"), F.transform(there, lambda h: h["i"] - x["o"]).alias("there"))
+
+    def holds(x: Column) -> Column:
+        return F.size(F.array_except(F.element_at(needed, x["t"] + 1), x["there"])) == 0
+
+    return F.transform(
+        F.filter(F.transform(F.flatten(F.transform(hits, proposals)), held), holds),
+        lambda x: F.struct(
+            F.element_at(labels, x["t"] + 1).alias("label"),
+            (F.size(x["there"]) / F.element_at(sizes, x["t"] + 1)).alias("score"),
+        ),
+    )
 
 
-def scan_licenses(docs: DataFrame, text: str = "text", rarest: int = 8) -> DataFrame:
+def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """Each row of `docs` without the text, with the licences its whole text names.
 
     One pass over the text leaves the places of licence words; document frequencies are counted from
@@ -268,7 +251,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", rarest: int = 8) -> DataF
         lambda x: x.isNotNull(),
     )
     matched = hits.withColumns(
-        {"_at": all_places, "_base": base, "_found": match_templates(F.col("hits"), weights, rarest)}
+        {"_at": all_places, "_base": base, "_found": match_templates(F.col("hits"), weights)}
     )
     own = F.transform("_found", lambda x: x["label"])
     best = F.array_max(F.transform("_found", lambda x: F.least(x["score"], F.lit(1.0))))

@@ -68,6 +68,22 @@ def test_license_templates(spark, nothing):
     assert licenses.scan_licenses(nothing).count() == 0
 
 
+def test_license_scan_of_several_templates(spark):
+    """Each occurrence is found, however many rarer licence words the rest of the file holds."""
+    text = {t.label: t.text for t in licenses.TEMPLATES}
+    prose = " we hereby deal with a person whose binary forms were granted and permitted. "
+    kinds = [("mit-text", "apache-2.0"), ("bsd", "mit-text", "gpl-3"), tuple(text)]
+    rows = [(i, (prose * 3 + ". ").join(text[x] for x in ks)) for i, ks in enumerate(kinds)]
+    rows += [(10 + i, f"{prose}{t} {prose}") for i, t in enumerate(text.values())]
+    docs = spark.createDataFrame(rows + [(50 + i, "nothing of the kind") for i in range(60)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    for i, ks in enumerate(kinds):
+        assert set(ks) <= set(found[i]["labels"].split(",")) and found[i]["score"] == 1.0
+        assert not (set(text) - set(ks)) & set(found[i]["labels"].split(","))
+    for i, label in enumerate(text):
+        assert label in found[10 + i]["labels"].split(",") and found[10 + i]["score"] == 1.0
+
+
 def test_best_fit_plan_is_best_fit_decreasing():
     import random
 
