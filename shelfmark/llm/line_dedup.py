@@ -30,6 +30,10 @@ def fingerprints(hashes: list[int], words: list[int], least: int = MIN_WORDS) ->
     nothing outside, so two texts that share a run of `least` words share a window, and with it
     the line chosen there. The line alone could have its first place elsewhere, among other lines;
     with the window's hash beside it, a match is a run of `least` words already.
+
+    Windows that reach back from a line in the same way follow, where they are no window of the first
+    kind; their place is their first line. With both, each line of a repeated run lies in a window
+    inside that run, so none depends on how far the first place of another window goes.
     """
     chosen: list[tuple[int, int]] = []
     total, end = 0, 0
@@ -49,6 +53,16 @@ def fingerprints(hashes: list[int], words: list[int], least: int = MIN_WORDS) ->
         window = blake2b(str((queue[head] - start, *hashes[start:end])).encode(), digest_size=8).digest()
         chosen.append((queue[head], int.from_bytes(window, "big", signed=True)))
         total -= words[start]
+    total, start = 0, 0
+    for end in range(1, len(hashes) + 1):
+        total += words[end - 1]
+        while total - words[start] >= least:
+            total -= words[start]
+            start += 1
+        # Without its last line it still has enough words: no window from its first line ends here.
+        if total - words[end - 1] >= least:
+            window = blake2b(str((0, *hashes[start:end])).encode(), digest_size=8).digest()
+            chosen.append((start, int.from_bytes(window, "big", signed=True)))
     return chosen
 
 
@@ -135,7 +149,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     Only hashes move. The first place of a fingerprint, by doc_id, is found with partial sums;
     every later place is compared with that one alone, so a fingerprint of n places makes n rows, and
-    rows of a frequent fingerprint or of a much copied document are dealt to many tasks.
+    rows of a frequent fingerprint or of a much copied document are dealt to many tasks. That finds
+    every line of every run, as each lies in a fingerprint's window inside the run.
     """
     rows = docs.select(
         F.col("doc_id").cast("long"),

@@ -296,6 +296,46 @@ def test_line_runs(documents, odd, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def stretches_by_hand(texts, least=50):
+    """Lines of every stretch of `least` words that stands at any earlier place; `texts` in order."""
+    seen, gone = set(), []
+    for text in texts:
+        lines = text.split("\n")
+        sizes = [len(x.split()) for x in lines]
+        lost = set()
+        for e in range(1, len(lines) + 1):
+            for s in range(e):
+                key = tuple(lines[s:e])
+                if sum(sizes[s:e]) >= least and key in seen:
+                    lost.update(range(s, e))
+                seen.add(key)
+        gone.append(lost)
+    return gone
+
+
+def test_line_runs_whose_first_place_breaks_off(spark):
+    """A run is deleted to its end also where the first place of its first window goes on otherwise."""
+    import random
+
+    def line(name, n):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    a, b = line("a", 60), line("b", 30)
+    texts = [a, f"{a}\n{b}", f"{a}\n{b}"]
+    rng = random.Random(5)
+    pool = [line(f"p{i}x", rng.choice([3, 12, 20, 30, 55])) for i in range(9)]
+    for _ in range(60):
+        at = rng.randrange(9)
+        texts.append("\n".join(pool[(at + j) % 9] if rng.random() < 0.9 else line(f"n{rng.random()}", 4) for j in range(rng.randint(1, 8))))
+    # Doc ids give the order; each text is its own document, as its last line is its own.
+    texts = [f"{t}\nlast {i}" for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = stretches_by_hand(texts)
+    assert expected[2] == {0, 1}
+    for r in line_dedup.dedup_lines(docs, spans="spans").collect():
+        assert {i for s in r["spans"] or [] for i in range(s["start"], s["stop"])} == expected[r["doc_id"]], r["doc_id"]
+
+
 def test_host_rules(odd, nothing):
     found = {r["doc_id"]: r for r in quality_rules.apply_host_rules(odd).collect()}
     assert found[3]["n_words"] == 0 and found[3]["base_failed"] and not found[3]["kept"]
