@@ -38,12 +38,11 @@ DIALECT_B = Dialect("@article", 1, "},")
 DIALECTS = {"a": DIALECT_A, "b": DIALECT_B}
 
 RECORD_START = r"@(?=[A-Za-z]+\s*\{)"
-#: Where a field ends and `key =` follows: after a closing brace or quote, or after a bare value that
-#: stands where a field does.
-FIELD_START = (
-    r"(?:\},\s*|\",\s*|,(?=\s*[\w-]+\s*=)(?<=(?:^|,)\s{0,8}[\w-]{1,32}\s{0,8}=\s{0,8}[\w.+-]{1,64},)\s*)"
-    r"(?=[\w-]+\s*=)"
-)
+#: Where a field ends and `key =` follows, after a closing brace or quote.
+FIELD_START = r"(?:\},\s*|\",\s*)(?=[\w-]+\s*=)"
+#: Where a bare value ends; what stands before the comma tells whether one does.
+BARE_END = r"(?=,\s*+[\w-]++\s*+=)"
+IS_BARE = r"^,?\s*+[\w-]++\s*+=\s*+[^\s{\"]"
 HAS_RECORD = r"@\s*+(?!(?i:comment)\s*\{)[A-Za-z]+\s*\{"
 
 
@@ -90,6 +89,24 @@ def _last_of_each_key(entries: str) -> Column:
     )
 
 
+def _bare_fields(part: Column) -> Column:
+    """Fields of a part: each bare value at its start is one, up to the first that a brace or quote opens."""
+
+    def open_(piece: Column) -> Column:
+        marks = [F.length(piece) - F.length(without(piece, mark)) for mark in ('"', "{", "}")]
+        return ~F.regexp_like(piece, F.lit(IS_BARE)) | (marks[0] % 2 == 1) | (marks[1] > marks[2])
+
+    def fields(pieces: Column) -> Column:
+        at = F.filter(F.transform(pieces, lambda p, i: F.when(open_(p), i)), lambda i: i.isNotNull())
+        bare = F.coalesce(F.get(at, F.lit(0)), F.size(pieces))
+        rest = F.array_join(F.slice(pieces, bare + 1, F.size(pieces)), "")
+        found = F.concat(F.slice(pieces, F.lit(1), bare), F.when(bare < F.size(pieces), F.array(rest)).otherwise(F.array()))
+        return F.transform(found, lambda f: F.regexp_replace(f, r"^,\s*", ""))
+
+    split = F.element_at(F.transform(F.array(F.split(part, BARE_END)), fields), 1)
+    return F.when(F.regexp_like(part, F.lit(IS_BARE)), split).otherwise(F.array(part))
+
+
 def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
     """Records with their type, cite key and a map of all fields; of a repeated key the last counts."""
     record = F.col("record")
@@ -105,7 +122,7 @@ def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = Fals
         parts = F.split(without(body, "{"), mark)
     else:
         kind = F.lower(whitespace_strip(F.substring_index(record, "{", 1)))
-        parts = F.split(F.when(comma > 0, closed), FIELD_START)
+        parts = F.flatten(F.transform(F.split(F.when(comma > 0, closed), FIELD_START), _bare_fields))
 
     def entry(part: Column, position: Column) -> Column:
         if compat:

@@ -180,3 +180,17 @@ def test_an_export_without_records_is_rejected(spark):
     good, rejected = filter_bad_export(exports(spark, "", "@comment{x}", "mail a@b.c", SAMPLE_A, "@article {k,\n}"))
     assert sorted(r.file_name for r in rejected.collect()) == ["f0.txt", "f1.txt", "f2.txt"]
     assert good.count() == 2
+
+
+def test_bare_values_of_any_form_and_distance(spark):
+    long = "word " * 20 + "end"
+    text = (
+        "@article{k,\n         year         = 2001,\n          pages = {1-2},\n month = jan # feb,\n"
+        f" note = {long},\n {'k' * 40} = 7, day = jan # \" 1, a = 2\",\n title = {{In a, x = 1, y = 2}},\n url = {{u}}, number = 5\n}}\n"
+    )
+    [(_, _, _, fields)] = records(spark, text)
+    assert {k: v for k, v in fields.items() if k != "day"} == {
+        "year": "2001", "pages": "1-2", "month": "jan # feb", "note": long, "k" * 40: "7",
+        "title": "In a, x = 1, y = 2", "url": "u", "number": "5",
+    }
+    assert "a = 2" in fields["day"]
