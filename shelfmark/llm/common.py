@@ -27,6 +27,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
+#: Bytes of rows that Spark sends to a Python worker at once; a larger row goes alone.
+BATCH_BYTES = 2 << 20
+_SPARK_BATCH_BYTES = "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by BATCH_BYTES, unless the user has set another bound.
+
+    A worker holds a batch several times over: as Arrow, as bytes and as arrays of eight bytes a byte.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == _SPARK_BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back, so that no later job computes it again."""
     folder = shared_folder(df.sparkSession, name)

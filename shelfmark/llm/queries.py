@@ -16,6 +16,7 @@ from shelfmark.llm import (
     surrogates,
     topk,
     warc,
+    whitening,
 )
 from shelfmark.llm.common import kept, shared_folder
 
@@ -89,6 +90,12 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations beyond 64 bits are null."""
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_best_fit_packing": best_fit_packing,
@@ -100,4 +107,5 @@ QUERIES = {
     "op8_host_rules": host_rules,
     "op9_minhash_components": minhash_components,
     "op10_source_mix": source_mix,
+    "op11_embedding_whitening": embedding_whitening,
 }
