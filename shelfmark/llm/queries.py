@@ -11,6 +11,7 @@ from shelfmark.llm import (
     mixing,
     near_duplicates,
     packing,
+    periodic_runs,
     quality_model,
     quality_rules,
     surrogates,
@@ -96,6 +97,16 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def periodic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect_runs(_table(spark, sf_dir, "documents"), loop=True)
+    line = lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period)
+    return found.select(
+        *("doc_id", "n_runs", "start", "length", "period", "exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_best_fit_packing": best_fit_packing,
@@ -108,4 +119,5 @@ QUERIES = {
     "op9_minhash_components": minhash_components,
     "op10_source_mix": source_mix,
     "op11_embedding_whitening": embedding_whitening,
+    "op13_periodic_runs": periodic_words,
 }
