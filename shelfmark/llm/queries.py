@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import (
@@ -14,6 +14,7 @@ from shelfmark.llm import (
     periodic_runs,
     quality_model,
     quality_rules,
+    secrets,
     surrogates,
     topk,
     warc,
@@ -107,6 +108,19 @@ def periodic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s.kind.isin(*kinds))
+
+    def listed(spans: Column) -> Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.format_string("%s:%d:%d", s.kind, s.start, s.stop)))
+
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE_KINDS]
+    digest = F.sha2(listed(of(*secrets.BASE_KINDS)), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, listed(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_license_scan": license_scan,
     "op2_best_fit_packing": best_fit_packing,
@@ -119,5 +133,6 @@ QUERIES = {
     "op9_minhash_components": minhash_components,
     "op10_source_mix": source_mix,
     "op11_embedding_whitening": embedding_whitening,
+    "op12_secret_scan": secret_scan,
     "op13_periodic_runs": periodic_words,
 }
