@@ -1,7 +1,7 @@
 """Bulk citation exports to articles.
 
-The default grammar finds records and fields by what follows their delimiters. `compat=True` gives
-the literal splitting of the feeds' first readers, with its losses.
+The default grammar follows braces and quotes. `compat=True` gives the literal splitting of the
+feeds' first readers, with its losses.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions import bibtex
 from shelfmark.functions.text import (
     newline_strip,
     pieces_after,
@@ -37,15 +38,6 @@ DIALECT_A = Dialect("@", 2, "}, ")
 DIALECT_B = Dialect("@article", 1, "},")
 DIALECTS = {"a": DIALECT_A, "b": DIALECT_B}
 
-RECORD_START = r"@(?=[A-Za-z]+\s*\{)"
-#: Where a field ends and `key =` follows, after a closing brace or quote.
-FIELD_START = r"(?:\},\s*|\",\s*)(?=[\w-]+\s*=)"
-#: Where a bare value ends; what stands before the comma tells whether one does.
-BARE_END = r"(?=,\s*+[\w-]++\s*+=)"
-IS_BARE = r"^,?\s*+[\w-]++\s*+=\s*+[^\s{\"]"
-HAS_RECORD = r"@\s*+(?!(?i:comment)\s*\{)[A-Za-z]+\s*\{"
-
-
 def is_bad_export(value: Column) -> Column:
     return F.contains(value, F.lit(BAD_EXPORT))
 
@@ -56,29 +48,34 @@ def filter_bad_export(exports: DataFrame) -> tuple[DataFrame, DataFrame]:
     Rejected are those that hold the sentence of failure, no text, or no record to cut out.
     """
     value = F.col("value")
-    no_record = ~F.regexp_like(newline_strip(value), F.lit(HAS_RECORD))
+    no_record = ~F.regexp_like(value, F.lit(bibtex.HAS_RECORD))
     bad = F.coalesce(is_bad_export(value) | no_record, F.lit(True))
     return exports.where(~bad), exports.where(bad).drop("value")
 
 
+def _with_macros(exports: DataFrame, dialect: str, compat: bool) -> DataFrame:
+    """`record_pieces`, and the macros of a record's file."""
+    kept = [c for c in exports.columns if c != "value"]
+    if compat:
+        rules = DIALECTS[dialect]
+        pieces = F.split(newline_strip(F.col("value")), rf"\Q{rules.record_mark}\E")
+        records = pieces_after(pieces, rules.skipped_pieces)
+        return exports.select(*kept, F.posexplode(records).alias("record_ordinal", "record"))
+    cut = exports.select(*kept, bibtex.entries(F.col("value")).alias("_entries"))
+    found = F.col("_entries")
+    return cut.select(
+        *kept,
+        F.posexplode(bibtex.records_of(found)).alias("record_ordinal", "record"),
+        bibtex.macros_of(found).alias("_macros"),
+    )
+
+
 def record_pieces(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
     """One row per record: `(file_name, issue_url, record_ordinal, record)`.
 
     The columns of `exports` other than its text are kept.
     """
-    text = newline_strip(F.col("value"))
-    if compat:
-        rules = DIALECTS[dialect]
-        pieces = F.split(text, rf"\Q{rules.record_mark}\E")
-        records = pieces_after(pieces, rules.skipped_pieces)
-    else:
-        pieces = F.split(text, RECORD_START)
-        records = F.filter(
-            pieces_after(pieces),
-            lambda piece: F.lower(F.substring_index(piece, "{", 1)) != "comment",
-        )
-    kept = [c for c in exports.columns if c != "value"]
-    return exports.select(*kept, F.posexplode(records).alias("record_ordinal", "record"))
+    return _with_macros(exports, dialect, compat).drop("_macros")
 
 
 def _last_of_each_key(entries: str) -> Column:
@@ -89,64 +86,37 @@ def _last_of_each_key(entries: str) -> Column:
     )
 
 
-def _bare_fields(part: Column) -> Column:
-    """Fields of a part: each bare value at its start is one, up to the first that a brace or quote opens."""
-
-    def open_(piece: Column) -> Column:
-        marks = [F.length(piece) - F.length(without(piece, mark)) for mark in ('"', "{", "}")]
-        return ~F.regexp_like(piece, F.lit(IS_BARE)) | (marks[0] % 2 == 1) | (marks[1] > marks[2])
-
-    def fields(pieces: Column) -> Column:
-        at = F.filter(F.transform(pieces, lambda p, i: F.when(open_(p), i)), lambda i: i.isNotNull())
-        bare = F.coalesce(F.get(at, F.lit(0)), F.size(pieces))
-        rest = F.array_join(F.slice(pieces, bare + 1, F.size(pieces)), "")
-        found = F.concat(F.slice(pieces, F.lit(1), bare), F.when(bare < F.size(pieces), F.array(rest)).otherwise(F.array()))
-        return F.transform(found, lambda f: F.regexp_replace(f, r"^,\s*", ""))
-
-    split = F.element_at(F.transform(F.array(F.split(part, BARE_END)), fields), 1)
-    return F.when(F.regexp_like(part, F.lit(IS_BARE)), split).otherwise(F.array(part))
-
-
 def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
-    """Records with their type, cite key and a map of all fields; of a repeated key the last counts."""
+    """Records with their type, cite key and a map of all fields; of a repeated key the last counts.
+
+    By default values may hold what elsewhere starts an entry or ends a field, as long as braces and
+    quotes match, and macros are resolved by file; see `shelfmark.functions.bibtex`.
+    """
     record = F.col("record")
-    comma = F.locate(",", record)
-    body = F.substring(record, comma + 1, F.length(record))
-    closed = F.regexp_replace(body, r",\s*\}\s*$", "}")
+    pieces = _with_macros(exports, dialect, compat)
     if compat:
-        brace = F.locate("{", record)
+        brace, comma = F.locate("{", record), F.locate(",", record)
         kind = F.when(brace > 0, F.substring(record, F.lit(1), brace - 1)).otherwise(
             F.substring(record, F.lit(1), F.length(record) - 1)
         )
-        mark = rf"\Q{DIALECTS[dialect].field_mark}\E"
-        parts = F.split(without(body, "{"), mark)
+        body = F.substring(record, comma + 1, F.length(record))
+        parts = F.split(without(body, "{"), rf"\Q{DIALECTS[dialect].field_mark}\E")
+        cite_key = F.lit(None).cast("string")
     else:
-        kind = F.lower(whitespace_strip(F.substring_index(record, "{", 1)))
-        parts = F.flatten(F.transform(F.split(F.when(comma > 0, closed), FIELD_START), _bare_fields))
+        kind, parts, cite_key = bibtex.entry_type(record), bibtex.field_parts(record), bibtex.cite_key(record)
 
     def entry(part: Column, position: Column) -> Column:
         if compat:
             halves = F.split(without(part, "{", "}"), "=")
-            key = whitespace_strip(F.get(halves, F.lit(0)))
+            key, value = whitespace_strip(F.get(halves, F.lit(0))), whitespace_strip(F.get(halves, F.lit(1)))
         else:
-            halves = F.split(part, "=", 2)
-            key = F.lower(whitespace_strip(without(F.get(halves, F.lit(0)), "{", "}")))
-        raw = F.get(halves, F.lit(1))
-        if not compat:
-            quoted = F.startswith(whitespace_strip(raw), F.lit('"'))
-            raw = F.when(quoted, F.regexp_replace(raw, r'^\s*"|"?\s*\}?\s*$', "")).otherwise(raw)
-        value = whitespace_strip(without(raw, "{", "}"))
+            key, value = bibtex.key_of(part), bibtex.value_of(part, F.col("_macros"))
         return F.struct(key.alias("key"), position.alias("position"), value.alias("value"))
 
     with_field = F.filter(F.transform(parts, entry), lambda e: e["value"].isNotNull())
-    pieces = record_pieces(exports, dialect, compat)
-    kept = [c for c in pieces.columns if c != "record"]
-    cite_key = F.nullif(F.regexp_extract(record, r"^[A-Za-z]+\s*\{([^,]*),", 1), F.lit(""))
+    kept = [c for c in pieces.columns if c not in ("record", "_macros")]
     parsed = pieces.select(
-        *kept,
-        kind.alias("type"),
-        F.lit(None).cast("string").alias("cite_key") if compat else whitespace_strip(cite_key).alias("cite_key"),
-        F.sort_array(with_field).alias("_entries"),
+        *kept, kind.alias("type"), cite_key.alias("cite_key"), F.sort_array(with_field).alias("_entries")
     )
     fields = F.map_from_entries(
         F.transform(

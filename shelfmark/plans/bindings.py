@@ -168,6 +168,50 @@ def lineitem_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def uneven_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export per line item: after its year, as many parts as its line number, every other one a field."""
+    more = F.transform(
+        F.sequence(F.lit(1), F.col("l_linenumber").cast("int")),
+        lambda i: F.when(i % 2 == 0, _text("}, f", i, " = {", i)).otherwise(_text("}, {part ", i)),
+    )
+    text = _text(BANNER, "@article{K, year = {1990", F.array_join(more, ""), "}}\n")
+    return spread_table(spark, sf_dir, "lineitem").select(
+        _text(F.col("l_orderkey"), "-", F.col("l_linenumber"), ".txt").alias("file_name"),
+        _text(ISSUE_PREFIX, F.col("l_orderkey")).alias("issue_url"),
+        text.alias("value"),
+    )
+
+
+def nested_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, entries whose values hold delimiters, macros, asides, and one in parentheses."""
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    text = _text(
+        '@preamble{"\\newcommand{\\no}{@article{none, title = {none}}}"}\n@string{press = "Press {of} " # {J',
+        customer,
+        "}}\n@string(kind = {",
+        F.col("o_orderpriority"),
+        "})\n@comment{@article{hidden, title = {none}}}\n@article{A",
+        order,
+        ",\n title = {Mail @home {x}, {see}, key = ",
+        order,
+        ", {b}, more},\n note = \"Said {\", key = } and {\"}, year = {1}\",\n no field, publisher = press,\n",
+        " journal = press # {: } # kind # \" \" # 7,\n month = jan # kind,\n year = ",
+        F.year("o_orderdate"),
+        "\n}\nBetween a@b.c and @article\n@Article(P",
+        order,
+        ', title = "In (parentheses), year = none", author = {A) and (B}, journal = PRESS, year = {',
+        F.year("o_orderdate"),
+        "},)\n@book{B",
+        order,
+        ",\n title = {Never closed, @home {x},\n year = {1900},\n@misc{C",
+        order,
+        ",\n title = {Closed} twice}, year = {1901}}\n",
+    )
+    return spread_table(spark, sf_dir, "orders").select(
+        _text(order, ".txt").alias("file_name"), _text(ISSUE_PREFIX, order).alias("issue_url"), text.alias("value")
+    )
+
+
 def document_exports(spark: SparkSession, sf_dir: str, dialect: str = "a") -> DataFrame:
     """An export per document: one article with the whole text as abstract, and one per line."""
     doc = F.col("doc_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import citations as ops
 from shelfmark.plans import bindings
-from shelfmark.plans.queries.registry import SPACE, query, views
+from shelfmark.plans.queries.registry import SPACE, as_text, query, views
 
 _ISSUE = "'https://ex.org/stable/' || doc_id"
 
@@ -64,6 +64,34 @@ def _(spark, d):
     return ops.bibtex_parse(exports, "b").select(*_ARTICLE_COLUMNS)
 
 
+_NESTED_COLUMNS = ("issue_url", "record_ordinal", "type", "cite_key", "title", "author", "publisher", "journal", "note", "month", "year")
+
+
+@query(
+    "bibtex_parse_nested",
+    """WITH o AS (
+         SELECT 'https://ex.org/stable/' || o_orderkey AS issue_url, CAST(o_orderkey AS VARCHAR) AS k,
+                'Press of J' || o_custkey AS press, o_orderpriority AS kind,
+                CAST(CAST(year(o_orderdate) AS INTEGER) AS VARCHAR) AS year FROM orders)
+       SELECT issue_url, CAST(0 AS INTEGER) AS record_ordinal, 'article' AS type, 'A' || k AS cite_key,
+              'Mail @home x, see, key = ' || k || ', b, more' AS title, CAST(NULL AS VARCHAR) AS author,
+              press AS publisher, press || ': ' || kind || ' 7' AS journal,
+              'Said ", key =  and ", year = 1' AS note, 'jan # kind' AS month, year FROM o
+       UNION ALL
+       SELECT issue_url, CAST(1 AS INTEGER), 'article', 'P' || k, 'In (parentheses), year = none',
+              'A) and (B', NULL, press, NULL, NULL, year FROM o
+       UNION ALL
+       SELECT issue_url, CAST(2 AS INTEGER), 'book', 'B' || k, 'Never closed, @home x',
+              NULL, NULL, NULL, NULL, NULL, '1900' FROM o
+       UNION ALL
+       SELECT issue_url, CAST(3 AS INTEGER), 'misc', 'C' || k, 'Closed twice', NULL, NULL, NULL, NULL, NULL, '1901' FROM o""",
+)
+def _(spark, d):
+    articles = ops.bibtex_parse(bindings.nested_exports(spark, d))
+    extra = [F.try_element_at("extra", F.lit(name)).alias(name) for name in ("note", "month")]
+    return as_text(articles.select("*", *extra), "year").select(*_NESTED_COLUMNS)
+
+
 def _literal_sql(banner: str, record_mark: str, skipped: int, field_mark: str) -> str:
     """The literal splitting, on the text as rendered, with line breaks already out."""
     return (
@@ -142,6 +170,26 @@ def _(spark, d):
     return records.select("issue_url", "record_ordinal", F.size("fields").alias("n_fields"))
 
 
+_UNEVEN = """SELECT 'https://ex.org/stable/' || l_orderkey AS issue_url, CAST(l_linenumber AS INTEGER) AS line,
+                    CAST(1 + l_linenumber // 2 AS INTEGER) AS n_fields FROM lineitem"""
+
+
+def _fields_of_uneven(spark, d, compat):
+    records = ops.citation_records(bindings.uneven_exports(spark, d), compat=compat)
+    line = F.regexp_extract("file_name", r"-(\d+)\.txt$", 1).cast("int").alias("line")
+    return records.select("issue_url", line, F.size("fields").alias("n_fields"))
+
+
+@query("filter_has_eq_parts", _UNEVEN)
+def _(spark, d):
+    return _fields_of_uneven(spark, d, compat=False)
+
+
+@query("filter_has_eq_parts_compat", _UNEVEN)
+def _(spark, d):
+    return _fields_of_uneven(spark, d, compat=True)
+
+
 @query(
     "record_ordinal",
     views("line")

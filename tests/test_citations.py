@@ -194,3 +194,65 @@ def test_bare_values_of_any_form_and_distance(spark):
         "title": "In a, x = 1, y = 2", "url": "u", "number": "5",
     }
     assert "a = 2" in fields["day"]
+
+
+def test_at_signs_and_ends_of_fields_inside_values(spark):
+    text = (
+        "@article{k1,\n title = {See @home {x}, y = {z}, and}, note = \"a {\", b = } c\",\n"
+        " abstract = {line one\n@home {x} line two},\n year = {1946}\n}\n@article{k2, year = 1947}"
+    )
+    first, second = records(spark, text)
+    assert first[3] == {
+        "title": "See @home x, y = z, and", "note": 'a ", b =  c', "abstract": "line one@home x line two", "year": "1946",
+    }
+    assert second[2:] == ("k2", {"year": "1947"})
+
+
+def test_macros_of_each_file(spark):
+    texts = (
+        '@STRING{a = "A {x}"}\n@string{b = a # { and } # 2, c = nothing}\n@article{k, x = b, y = A # "!", z = c # q, w = "a"}',
+        "@string(a = {other})\n@string{a = {another}}\n@preamble{a}\n@misc{k, x = a, y = a # b, z = 12}",
+        "@article{k, x = a}",
+    )
+    rows = citation_records(exports(spark, *texts)).orderBy("file_name").collect()
+    assert [r.fields for r in rows] == [
+        {"x": "A x and 2", "y": "A x!", "z": "c # q", "w": "a"},
+        {"x": "another", "y": "a # b", "z": "12"},
+        {"x": "a"},
+    ]
+    assert {r.type for r in rows} == {"article", "misc"} and {r.record_ordinal for r in rows} == {0}
+
+
+def test_entries_in_parentheses(spark):
+    text = '@article(k(1), title = "a ) b", note = {c ) d}, year = 1946)\n@article(l, title = {x (y) z},)\ntext @ home'
+    assert [r[2:] for r in records(spark, text)] == [
+        ("k(1)", {"title": "a ) b", "note": "c ) d", "year": "1946"}),
+        ("l", {"title": "x (y) z"}),
+    ]
+
+
+def test_braces_that_do_not_match(spark):
+    never = "@article{k1,\n title = {open, @home {x},\n year = {1}\n"
+    early = "@article{k2,\n title = {a} b}, note = {c}\n}\n"
+    deep = "@article{k3, title = " + "{" * 40 + "t" + "}" * 40 + ", year = {3}}\n"
+    found = records(spark, never + early + deep + "@article{k4, year = {4}}")
+    assert [r[2:] for r in found] == [
+        ("k1", {"title": "open, @home x", "year": "1"}),
+        ("k2", {"title": "a b", "note": "c"}),
+        ("k3", {"title": "t", "year": "3"}),
+        ("k4", {"year": "4"}),
+    ]
+
+
+def test_long_values_and_files_are_read_once(spark):
+    """Many groups of braces in one value, many records never closed: no stack, no going back."""
+    value = "{x} y " * 50_000
+    open_ = "".join(f"@article{{k{i},\n title = {{never closed,\n" for i in range(20_000))
+    [row] = records(spark, f"@article{{k, title = {{{value}}}, year = 1}}")
+    assert row[3] == {"title": value.replace("{", "").replace("}", "").strip(), "year": "1"}
+    assert citation_records(exports(spark, open_)).count() == 20_000
+
+
+def test_an_export_of_asides_alone_is_rejected(spark):
+    good, rejected = filter_bad_export(exports(spark, "@string{a = {b}}\n@preamble{x}", "@misc(k, a = 1)"))
+    assert [r.file_name for r in rejected.collect()] == ["f0.txt"] and good.count() == 1
