@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.urls import issue_file_id_b
-from shelfmark.operators.citations import bibtex_parse, filter_bad_export
+from shelfmark.operators.citations import parse_or_reject
 from shelfmark.operators.holdings import YEAR_FLOOR
 from shelfmark.operators.records import scopus_records
 from shelfmark.operators.toc import toc_rejected
 from shelfmark.plans import jobs
 from shelfmark.schemas import HOLDINGS
 from shelfmark.sources import files, sinks
+from shelfmark.streaming import arrivals
 from shelfmark.streaming import exports as streaming
 
 
@@ -41,14 +43,8 @@ def load_citations(spark, args):
     exports = files.scan_exports(spark, args.exports, PATTERNS[args.variant])
     if args.variant == "b":
         exports = files.named_issue(exports, issues, issue_file_id_b(F.col("issue_url")))
-        exports = exports.withColumn("value", F.when(F.col("problem").isNull(), F.col("value")))
-    good, rejected = filter_bad_export(exports)
-    articles = bibtex_parse(good.drop("problem"), args.variant, args.compat)
-    sinks.write_table(rejected, f"{args.out}/rejected")
-    result = sinks.sink_articles(
-        articles, issues, f"{args.out}/articles", f"{args.out}/staging", args.compat
-    )
-    print(result)
+    loaded = parse_or_reject(exports, args.variant, args.compat)
+    print(sinks.sink_citation_load(loaded, issues, args.out, args.compat, args.versioned))
 
 
 def load_records(spark, args):
@@ -101,11 +97,26 @@ def stream_exports(spark, args):
     query.awaitTermination()
 
 
+def archive_queue(spark, args):
+    issues = files.scan_issues(spark, args.issues, args.format)
+    archive = issue_file_id_b(F.col("issue_url"), extension=".zip")
+    names = files.scan_holdings(spark, args.archives, "*.zip")
+    queue = jobs.job_archive_queue(issues, names, archive, args.start, args.end)
+    sinks.write_table(queue, args.out)
+
+
+def stream_arrivals(spark, args):
+    names = arrivals.read_arrivals(spark, args.files)
+    arrivals.stream_arrivals(names, args.out, args.state).awaitTermination()
+
+
 JOBS = {
     "issue-index": (issue_index, ["pages", "journal", "out"]),
     "load-citations": (load_citations, ["exports", "issues", "out"]),
     "load-records": (load_records, ["pages", "out"]),
     "work-queue": (work_queue, ["articles", "holdings", "start", "end", "out"]),
+    "archive-queue": (archive_queue, ["issues", "archives", "start", "end", "out"]),
+    "stream-arrivals": (stream_arrivals, ["files", "out", "state"]),
     "doi-list": (doi_list, ["articles", "holdings", "start", "end", "out"]),
     "holdings-audit": (holdings_audit, ["issues", "articles", "holdings", "out"]),
     "remote-audit": (remote_audit, ["issues", "articles", "holdings", "remote", "out"]),
@@ -113,8 +124,26 @@ JOBS = {
 }
 
 
+#: Options that a file of parameters may give, by their names there.
+FROM_PARAMETERS = {"start": "start_year", "end": "end_year", "journal": "journal_name"}
+
+
+def _with_parameters(argv: list[str]) -> list[str]:
+    """`--params file.json` as the options it stands for; options given beside it count more."""
+    if "--params" not in argv:
+        return argv
+    at = argv.index("--params")
+    given = jobs.JobParameters.read(argv[at + 1])
+    rest = argv[:at] + argv[at + 2 :]
+    needed = JOBS[rest[0]][1] if rest and rest[0] in JOBS else []
+    for option, name in FROM_PARAMETERS.items():
+        if option in needed and f"--{option}" not in rest:
+            rest += [f"--{option}", str(getattr(given, name))]
+    return rest
+
+
 def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="shelfmark")
+    parser = argparse.ArgumentParser(prog="shelfmark", epilog="--params FILE reads years and journal from JSON")
     commands = parser.add_subparsers(dest="job", required=True)
     for name, (_, needed) in JOBS.items():
         command = commands.add_parser(name)
@@ -128,9 +157,10 @@ def main(argv: list[str] | None = None) -> None:
         if "issues" not in needed:
             command.add_argument("--issues", default="")
         command.add_argument("--distinct", action="store_true")
+        command.add_argument("--versioned", action="store_true", help="publish articles as versions")
         command.add_argument("--host", default="")
         command.add_argument("--floor", type=int, default=YEAR_FLOOR)
-    args = parser.parse_args(argv)
+    args = parser.parse_args(_with_parameters(list(sys.argv[1:] if argv is None else argv)))
     JOBS[args.job][0](SparkSession.builder.appName(f"shelfmark {args.job}").getOrCreate(), args)
 
 

@@ -47,25 +47,30 @@ def filter_bad_export(exports: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Rejected are those that hold the sentence of failure, no text, or no record to cut out.
     """
-    value = F.col("value")
-    no_record = ~F.regexp_like(value, F.lit(bibtex.HAS_RECORD))
-    bad = F.coalesce(is_bad_export(value) | no_record, F.lit(True))
+    bad = export_problem(F.col("value")).isNotNull()
     return exports.where(~bad), exports.where(bad).drop("value")
 
 
-def _with_macros(exports: DataFrame, dialect: str, compat: bool) -> DataFrame:
-    """`record_pieces`, and the macros of a record's file."""
+def export_problem(value: Column) -> Column:
+    """Why an export is rejected, or null."""
+    no_record = ~F.regexp_like(value, F.lit(bibtex.HAS_RECORD))
+    return F.when(value.isNull(), "no text").when(is_bad_export(value), "failed export").when(no_record, "no record")
+
+
+def _with_macros(exports: DataFrame, dialect: str, compat: bool, outer: bool = False) -> DataFrame:
+    """`record_pieces`, and the macros of a record's file; with `outer`, a row also for no records."""
     kept = [c for c in exports.columns if c != "value"]
+    explode = F.posexplode_outer if outer else F.posexplode
     if compat:
         rules = DIALECTS[dialect]
         pieces = F.split(newline_strip(F.col("value")), rf"\Q{rules.record_mark}\E")
         records = pieces_after(pieces, rules.skipped_pieces)
-        return exports.select(*kept, F.posexplode(records).alias("record_ordinal", "record"))
+        return exports.select(*kept, explode(records).alias("record_ordinal", "record"))
     cut = exports.select(*kept, bibtex.entries(F.col("value")).alias("_entries"))
     found = F.col("_entries")
     return cut.select(
         *kept,
-        F.posexplode(bibtex.records_of(found)).alias("record_ordinal", "record"),
+        explode(bibtex.records_of(found)).alias("record_ordinal", "record"),
         bibtex.macros_of(found).alias("_macros"),
     )
 
@@ -86,14 +91,16 @@ def _last_of_each_key(entries: str) -> Column:
     )
 
 
-def citation_records(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
+def citation_records(
+    exports: DataFrame, dialect: str = "a", compat: bool = False, outer: bool = False
+) -> DataFrame:
     """Records with their type, cite key and a map of all fields; of a repeated key the last counts.
 
     By default values may hold what elsewhere starts an entry or ends a field, as long as braces and
     quotes match, and macros are resolved by file; see `shelfmark.functions.bibtex`.
     """
     record = F.col("record")
-    pieces = _with_macros(exports, dialect, compat)
+    pieces = _with_macros(exports, dialect, compat, outer)
     if compat:
         brace, comma = F.locate("{", record), F.locate(",", record)
         kind = F.when(brace > 0, F.substring(record, F.lit(1), brace - 1)).otherwise(
@@ -158,3 +165,16 @@ def articles_of(records: DataFrame, compat: bool = False) -> DataFrame:
 def bibtex_parse(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
     """Exports `(file_name, issue_url, value)` to articles, in one narrow stage."""
     return articles_of(citation_records(exports, dialect, compat), compat)
+
+
+def parse_or_reject(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
+    """Articles, and a row with a `problem` for each export that gives none, in one pass over the texts.
+
+    A `problem` that the exports have already, such as a file of no issue, rejects them too.
+    """
+    value = F.col("value")
+    earlier = F.col("problem") if "problem" in exports.columns else F.lit(None).cast("string")
+    # The text of a rejected export goes, so that it is not parsed.
+    judged = exports.withColumn("problem", F.coalesce(earlier, export_problem(value)))
+    judged = judged.withColumn("value", F.when(F.col("problem").isNull(), value))
+    return articles_of(citation_records(judged, dialect, compat, outer=True), compat)

@@ -115,6 +115,15 @@ def missing_issues(issues: DataFrame, present: DataFrame, key: str = "issue_url"
     return lookup(issues, present.select(key).distinct(), key, "left_anti", hot=hot_keys(issues, key))
 
 
+def issues_without_archive(
+    issues: DataFrame, names: DataFrame, archive: Column, start: int, end: int
+) -> DataFrame:
+    """Issues of the years whose archive, named `archive`, is not among `names (name)`, with that name."""
+    wanted = issues.where(in_years(start, end)).withColumn("archive", archive)
+    have = names.select(F.col("name").alias("archive")).distinct()
+    return lookup(wanted, have, "archive", "left_anti")
+
+
 def union_by_name(*feeds: DataFrame) -> DataFrame:
     """Rows of all feeds; a column a feed lacks is null there."""
     merged, *others = feeds

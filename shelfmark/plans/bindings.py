@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.urls import STABLE_MARK, issue_file_id_a, pdf_name
+from shelfmark.functions.urls import ISSUE_PREFIX_B, STABLE_MARK, issue_file_id_a, pdf_name
 from shelfmark.operators.citations import BAD_EXPORT
 from shelfmark.operators.toc import ANCHOR_B, ITEM_B, LINK_A, STATUS_B
 from shelfmark.operators.records import CONTAINER, SECTION
@@ -116,13 +116,64 @@ def order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arriving_order_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same exports as a stream over the files of the table."""
+    """The same exports as a stream over the files of the table, dealt out like `spread_table`."""
     schema = table(spark, sf_dir, "orders").schema
     # A glob serves a table that is one file as well as one that is a folder.
     orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parque[t]")
+    orders = orders.repartition(spark.sparkContext.defaultParallelism)
     return exports_of_orders(orders, F.col("o_orderdate").cast("timestamp").alias("arrived"))
 
 
+def _path_b() -> Column:
+    return _text("j", F.col("o_custkey"), "/vol/", F.col("o_orderkey"))
+
+
+def issues_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues under URLs of the other feed."""
+    return table(spark, sf_dir, "orders").select(
+        _text(ISSUE_PREFIX_B, _path_b()).alias("issue_url"), F.year("o_orderdate").alias("year")
+    )
+
+
+def order_exports_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export of the other feed per order, and for one order in ten one of no known issue."""
+    key = F.col("o_orderkey")
+    entry = _text("@article{K", key, ",\ntitle = {", F.col("o_orderpriority"), "},\nyear = {", F.year("o_orderdate"), "}\n}\n")
+    failed = F.when(F.col("o_orderstatus") == "P", F.lit(f"{BAD_EXPORT}\n")).otherwise("")
+    own = F.replace(_text(_path_b(), ".bib"), F.lit("/"), F.lit("_"))
+    names = F.array_compact(F.array(own, F.when(key % 10 == 0, _text("x", key, ".bib"))))
+    rows = spread_table(spark, sf_dir, "orders").withColumn("value", _text(entry, failed))
+    return rows.select(F.explode(names).alias("file_name"), "value")
+
+
+def _file_names(orders: DataFrame, *more: Column) -> DataFrame:
+    """Names of the files that came for an order: exports, one of them fetched twice, archives, others."""
+    key = F.col("o_orderkey")
+    names = F.array_compact(
+        F.array(
+            F.when(F.col("o_orderstatus") != "P", _text(key, ".txt")),
+            F.when(F.col("o_custkey") % 7 == 0, _text(key, "~2.txt")),
+            F.when(F.col("o_custkey") % 3 == 0, _text(key, ".zip")),
+            _text(key, ".zip.part"),
+        )
+    )
+    return orders.select(F.explode(names).alias("name"), *more)
+
+
+def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _file_names(table(spark, sf_dir, "orders"))
+
+
+def arriving_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "orders").schema
+    orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parque[t]")
+    return _file_names(orders, F.col("o_orderdate").cast("timestamp").alias("arrived"))
+
+
+def issue_stem() -> Column:
+    return F.substring_index(F.col("issue_url"), "/", -1)
+
+
 def exports_of_orders(orders: DataFrame, *more: Column) -> DataFrame:
     """An export of two articles per order; that of a pending order failed."""
     order, year = F.col("o_orderkey"), F.year("o_orderdate")

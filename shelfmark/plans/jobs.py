@@ -28,6 +28,7 @@ from shelfmark.operators.select import (
     first_per_issue,
     in_years,
     issue_articles_semi,
+    issues_without_archive,
     missing_issues,
     table_order,
 )
@@ -144,6 +145,15 @@ def job_doi_list(
     return pending_dois(doi_list(articles, start, end, distinct), held, articles, compat)
 
 
+def job_archive_queue(issues: DataFrame, names: DataFrame, archive: Column, start: int, end: int) -> DataFrame:
+    """Issues of the years whose archive has not come, to be fetched; `archive` names it.
+
+    `names` lists the files that have come; `shelfmark.streaming.arrivals` keeps the same per issue
+    while they come in.
+    """
+    return issues_without_archive(issues, names, archive, start, end)
+
+
 @dataclass(frozen=True)
 class HoldingsAudit:
     per_issue: DataFrame

@@ -6,11 +6,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from shelfmark.functions.urls import issue_file_id_b
+from shelfmark.operators.citations import parse_or_reject
+from shelfmark.operators.select import in_years, missing_issues
 from shelfmark.plans import bindings, jobs
 from shelfmark.plans.queries.audits import PER_ISSUE
 from shelfmark.plans.queries.records import RECORDS
 from shelfmark.plans.queries.registry import END, FLOOR, START, as_text, query, views
 from shelfmark.session import shared_dir
+from shelfmark.sources.files import named_issue
+from shelfmark.streaming import arrivals
 from shelfmark.streaming.exports import current_articles, stream_exports
 
 
@@ -86,6 +91,95 @@ def _(spark, d):
     return _with_mail(current_articles(spark, f"{place}/table"))
 
 
+_ORDERS_B = """WITH b AS (
+      SELECT o_orderkey AS k, 'https://www.sciencedirect.com/journal/j' || o_custkey || '/vol/' || o_orderkey AS issue_url,
+             'j' || o_custkey || '_vol_' || o_orderkey || '.bib' AS file_name, o_orderstatus <> 'P' AS good,
+             o_orderpriority AS title, CAST(CAST(year(o_orderdate) AS INTEGER) AS VARCHAR) AS year FROM orders)"""
+
+
+def _load_b(spark, d):
+    named = named_issue(bindings.order_exports_b(spark, d), bindings.issues_b(spark, d), issue_file_id_b(F.col("issue_url")))
+    return as_text(parse_or_reject(named, "b"), "year")
+
+
+@query(
+    "job_load_citations_b",
+    _ORDERS_B + " SELECT issue_url, file_name, 'K' || k AS cite_key, title, year FROM b WHERE good",
+)
+def _(spark, d):
+    good = _load_b(spark, d).where("problem IS NULL")
+    return good.select("issue_url", "file_name", "cite_key", "title", "year")
+
+
+@query(
+    "job_load_citations_b_rejected",
+    _ORDERS_B
+    + """ SELECT issue_url, file_name, 'failed export' AS problem FROM b WHERE NOT good
+          UNION ALL SELECT NULL, 'x' || k || '.bib', 'no issue' FROM b WHERE k % 10 = 0""",
+)
+def _(spark, d):
+    return _load_b(spark, d).where("problem IS NOT NULL").select("issue_url", "file_name", "problem")
+
+
+@query(
+    "missing_issues_by_file",
+    _ORDERS_B + " SELECT issue_url, file_name FROM b WHERE NOT good",
+)
+def _(spark, d):
+    """Issues whose export file, named after the issue's URL, has not come."""
+    issues = bindings.issues_b(spark, d)
+    issues = issues.withColumn("file_name", issue_file_id_b(F.col("issue_url")))
+    come = bindings.order_exports_b(spark, d).where(~F.contains("value", F.lit(bindings.BAD_EXPORT)))
+    return missing_issues(issues, come, "file_name").select("issue_url", "file_name")
+
+
+@query(
+    "job_archive_queue",
+    views("issues")
+    + f""" SELECT issue_url, year, list_last(string_split(issue_url, '/')) || '.zip' AS archive
+           FROM issues JOIN orders ON issue_url = 'https://ex.org/stable/' || o_orderkey
+           WHERE year BETWEEN {START} AND {END} AND o_custkey % 3 <> 0""",
+)
+def _(spark, d):
+    archive = F.concat(bindings.issue_stem(), F.lit(".zip"))
+    queue = jobs.job_archive_queue(bindings.issues(spark, d), bindings.order_files(spark, d), archive, START, END)
+    return queue.select("issue_url", "year", "archive")
+
+
+def _arrived(spark, d):
+    place = f"{shared_dir(spark)}/arrivals-{uuid.uuid4().hex}"
+    names = bindings.arriving_order_files(spark, d)
+    arrivals.stream_arrivals(names, f"{place}/table", f"{place}/state").awaitTermination()
+    known = arrivals.arrived(spark, f"{place}/table")
+    return arrivals.issue_arrivals(bindings.issues(spark, d), known, bindings.issue_stem())
+
+
+@query(
+    "stream_arrivals",
+    """SELECT 'https://ex.org/stable/' || o_orderkey AS issue_url,
+              CAST((o_orderstatus <> 'P') AS INTEGER) + CAST((o_custkey % 7 = 0) AS INTEGER) AS n_exports,
+              CAST((o_custkey % 3 = 0) AS INTEGER) AS n_archives,
+              o_orderstatus <> 'P' OR o_custkey % 7 = 0 AS has_export, o_custkey % 3 = 0 AS has_archive
+       FROM orders""",
+)
+def _(spark, d):
+    has = [F.col(f"{kind}_at").isNotNull().alias(f"has_{kind}") for kind in ("export", "archive")]
+    counts = [F.col(n).cast("int").alias(n) for n in ("n_exports", "n_archives")]
+    return _arrived(spark, d).select("issue_url", *counts, *has)
+
+
+@query(
+    "stream_arrivals_pending",
+    views("issues")
+    + f""" SELECT issue_url, year FROM issues JOIN orders ON issue_url = 'https://ex.org/stable/' || o_orderkey
+           WHERE year BETWEEN {START} AND {END} AND o_custkey % 3 <> 0""",
+)
+def _(spark, d):
+    """The archive queue again, from the state of the stream."""
+    pending = _arrived(spark, d).where(F.col("archive_at").isNull() & in_years(START, END))
+    return pending.select("issue_url", "year")
+
+
 @query("job_load_records", RECORDS)
 def _(spark, d):
     load = jobs.job_load_records(bindings.record_pages(spark, d))

@@ -9,6 +9,14 @@ from pyspark.sql import types as T
 from shelfmark import schemas
 from shelfmark.functions.text import whitespace_strip, year_cast
 from shelfmark.functions.urls import issue_url_of_file_a
+from shelfmark.sources.marks import Marks
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder of the newest version of a table published by versions; other paths as they are."""
+    marks = Marks(spark, path)
+    found = marks.numbers("versions")
+    return f"{marks.path}/data/{marks.read('versions', found[-1])}" if found else path
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -18,7 +26,7 @@ def scan_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     """
     if fmt == "csv":
         return by_header(spark.read.csv(path, header=True, enforceSchema=False, escape='"'), schema)
-    return spark.read.schema(schema).format(fmt).load(path)
+    return spark.read.schema(schema).format(fmt).load(published(spark, path))
 
 
 # Other names of columns in older tables.
@@ -97,15 +105,24 @@ def scan_exports(
     return _whole_files(spark, path, pattern).select("file_name", url.alias("issue_url"), "value")
 
 
-def named_issue(exports: DataFrame, issues: DataFrame, file_id: Column) -> DataFrame:
+#: Issues that are sent to the files' tasks, at some 200 bytes each; more are joined by a shuffle.
+MOST_SENT = 1_000_000
+
+
+def named_issue(
+    exports: DataFrame, issues: DataFrame, file_id: Column, most_sent: int = MOST_SENT
+) -> DataFrame:
     """Put the URL of the issue whose file name is `file_id` on each export, a row per file.
 
     `problem` says why there is none: no issue has that file name, or several have. What precedes a
-    `~` is the file name of an export fetched again.
+    `~` is the file name of an export fetched again. The texts stay where they are if the issues are
+    `most_sent` at most, which is counted first.
     """
     named = issues.select(file_id.alias("_id"), "issue_url").groupBy("_id").agg(
         F.min("issue_url").alias("_least"), F.max("issue_url").alias("_greatest")
     )
+    if named.limit(most_sent + 1).count() <= most_sent:
+        named = F.broadcast(named)
     one = F.col("_least") == F.col("_greatest")
     problem = F.when(F.col("_least").isNull(), "no issue").when(~one, "several issues")
     keyed = exports.drop("issue_url").withColumn("_id", F.regexp_replace("file_name", r"~[^~]*(\.\w+)$", "$1"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators.holdings import completeness_gate, held_totals
+from shelfmark.sources.marks import Marks
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -62,6 +64,55 @@ def sink_articles(
     return result
 
 
+def sink_citation_load(
+    loaded: DataFrame, issues: DataFrame, path: str, compat: bool = False, versioned: bool = False
+) -> GateResult:
+    """Articles and rejected exports of one pass over the texts; the articles published if complete.
+
+    `loaded` has rows with a `problem` for rejected exports (`parse_or_reject`), which go to
+    `path/rejected`. The articles take the place of `path/articles` by renaming or, with `versioned`,
+    become its next version: readers (`files.published`) then see the one before or this one, with no
+    moment between, also in stores where renaming is a copy.
+    """
+    spark, root = loaded.sparkSession, path.rstrip("/")
+    folder = f"load-{uuid.uuid4().hex}"
+    home = f"{root}/articles" if versioned else f"{root}/staging"
+    staged = f"{home}/data/{folder}"
+    marked = loaded.withColumn("rejected", F.col("problem").isNotNull())
+    marked.write.partitionBy("rejected").parquet(staged)
+    good = f"{staged}/rejected=false"
+    if "rejected=false" not in Marks(spark, home).names(f"data/{folder}"):
+        # No rows, no folder.
+        spark.createDataFrame([], loaded.schema).write.parquet(good)
+    rejects = spark.read.schema(marked.schema).parquet(staged).where("rejected")
+    write_table(rejects.select("issue_url", "file_name", "problem"), f"{root}/rejected")
+    articles = spark.read.schema(loaded.schema).parquet(good)
+    result = GateResult(**completeness_gate(issues, articles).first().asDict())
+    if result.complete_by_count if compat else result.complete:
+        if versioned:
+            publish_version(spark, f"{folder}/rejected=false", home)
+        else:
+            publish(spark, good, f"{root}/articles")
+    return result
+
+
+#: Versions of a published table that stay for readers that have begun.
+VERSIONS_KEPT = 2
+
+
+def publish_version(spark: SparkSession, folder: str, path: str) -> None:
+    """Make `path/data/<folder>` the version of `path` that `published` finds.
+
+    Older versions but one go, and with them data that none names.
+    """
+    marks = Marks(spark, path)
+    marks.put("versions", max([0, *marks.numbers("versions")]) + 1, folder)
+    kept = {marks.read("versions", n).split("/")[0] for n in marks.keep_newest("versions", VERSIONS_KEPT)}
+    for name in marks.names("data"):
+        if name not in kept:
+            marks.remove(f"data/{name}")
+
+
 def publish(spark: SparkSession, staging: str, path: str) -> None:
     """Put the table at `staging` in the place of `path` by renaming.
 

@@ -1,7 +1,7 @@
 """Incremental load of citation exports with Structured Streaming.
 
-Each run takes the files that arrived since the last one. Batches are written to folders of their
-own, so a repeated batch overwrites itself; readers take, per issue, the rows of its newest file.
+Each run takes the files that arrived since the last one. A batch is one run of a store keyed by
+issue: an issue's rows come from its newest file, and what a batch writes again changes nothing.
 The file source knows files by path: an export fetched again needs a new file name.
 """
 
@@ -13,15 +13,24 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.functions.urls import issue_url_of_file_a
-from shelfmark.operators.citations import bibtex_parse, filter_bad_export
+from shelfmark.operators.citations import parse_or_reject
 from shelfmark.operators.select import missing_issues
-from shelfmark.operators.skew import lookup
 from shelfmark.schemas import ARTICLES
 from shelfmark.sources.files import file_name, named_issue
+from shelfmark.streaming.store import FOLD_AFTER, RunStore
 
 _ARRIVAL = [T.StructField("arrived", T.TimestampType()), T.StructField("batch", T.LongType())]
-_STORED = T.StructType([*ARTICLES.fields, *_ARRIVAL])
-_REJECTED = T.StructType([*[ARTICLES[n] for n in ("file_name", "issue_url")], *_ARRIVAL])
+_STORED = T.StructType([*ARTICLES.fields, *_ARRIVAL, T.StructField("problem", T.StringType())])
+_REJECTED = T.StructType([*[ARTICLES[n] for n in ("file_name", "issue_url")], *_ARRIVAL, _STORED["problem"]])
+
+
+def article_store(spark: SparkSession, table: str) -> RunStore:
+    """The articles by issue; a rejected export is a row with a problem, which replaces nothing."""
+    return RunStore(spark, f"{table}/articles", _STORED, "issue_url", ("arrived", "file_name"), "problem IS NULL")
+
+
+def _rejected_store(spark: SparkSession, table: str) -> RunStore:
+    return RunStore(spark, f"{table}/rejected", _REJECTED, "batch")
 
 
 def read_exports(
@@ -53,24 +62,27 @@ def stream_exports(
     dialect: str = "a",
     issues: DataFrame | None = None,
     file_id: Column | None = None,
+    fold_after: int = FOLD_AFTER,
 ) -> StreamingQuery:
     """Parse a stream of exports into `table` until all that has arrived is done.
 
     Where a file name does not tell its issue, as with dialect b, `issues` and the name `file_id` of
-    an issue's file do; files of no issue or of several are rejected.
+    an issue's file do; files of no issue or of several are rejected. A batch reads its texts once:
+    articles and rejected files are rows of one write. After `fold_after` batches these are folded
+    into one table of the live rows.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         numbered = batch.withColumn("batch", F.lit(batch_id).cast("long"))
         if issues is not None:
             numbered = named_issue(numbered, issues, file_id)
-            numbered = numbered.withColumn("value", F.when(F.col("problem").isNull(), F.col("value")))
-        good, rejected = filter_bad_export(numbered)
-        parsed = bibtex_parse(good, dialect).select(*_STORED.names)
-        parsed.write.mode("overwrite").parquet(f"{table}/articles/run={batch_id}")
-        rejected.select(*_REJECTED.names).write.mode("overwrite").parquet(
-            f"{table}/rejected/run={batch_id}"
-        )
+        store, rejects = article_store(spark, table), _rejected_store(spark, table)
+        written = store.write(parse_or_reject(numbered, dialect), batch_id)
+        rejected = written.where("problem IS NOT NULL").select(*_REJECTED.names)
+        rejects.write(rejected, batch_id)
+        store.fold(fold_after)
+        rejects.fold(fold_after)
 
     return (
         exports.writeStream.foreachBatch(load)
@@ -80,28 +92,14 @@ def stream_exports(
     )
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What the batches wrote; nothing before the first one."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
-
-
 def current_articles(spark: SparkSession, table: str) -> DataFrame:
     """Articles of the newest good file of each issue."""
-    stored = _stored(spark, f"{table}/articles", _STORED)
-    newest = stored.groupBy("issue_url").agg(
-        F.max(F.struct("batch", "arrived", "file_name")).alias("_newest")
-    )
-    kept = lookup(stored, newest, "issue_url", "inner").where(
-        F.struct("batch", "arrived", "file_name") == F.col("_newest")
-    )
-    return kept.select(*ARTICLES.names)
+    return article_store(spark, table).current().select(*ARTICLES.names)
 
 
 def rejected_exports(spark: SparkSession, table: str) -> DataFrame:
-    return _stored(spark, f"{table}/rejected", _REJECTED)
+    """Every rejected file of every batch."""
+    return _rejected_store(spark, table).current()
 
 
 def stream_resume(spark: SparkSession, issues: DataFrame, table: str) -> DataFrame:

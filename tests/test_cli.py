@@ -1,7 +1,11 @@
 """The jobs on paths, one after the other."""
 
 from shelfmark.__main__ import main
+from shelfmark import schemas
 from shelfmark.plans import jobs
+from shelfmark.sources.files import scan_articles
+from shelfmark.streaming import arrivals
+from shelfmark.streaming.exports import current_articles
 from tests.test_citations import SAMPLE_A
 from tests.test_records import FULL
 from tests.test_toc import PAGE_A
@@ -66,4 +70,47 @@ def test_jobs_on_paths(spark, tmp_path):
     assert jobs.job_load_records(spark.createDataFrame([("p", FULL)], "file_name string, html string")).quarantined.count() == 0
 
     main(["stream-exports", "--exports", path("exports"), "--out", path("table"), "--state", path("state")])
-    assert spark.read.parquet(path("table") + "/articles").count() == 4
+    assert current_articles(spark, path("table")).count() == 4
+
+
+def test_archives_versions_and_parameters(spark, tmp_path):
+    base = "https://www.sciencedirect.com/journal/j/vol/"
+    issues = [(base + str(i), 1980 + i, "t", "j", None) for i in (1, 2, 3)]
+    spark.createDataFrame(issues, schemas.ISSUES).write.parquet(str(tmp_path / "issues"))
+    files = tmp_path / "files"
+    files.mkdir()
+    for name in ("j_vol_1.bib", "j_vol_2.bib", "j_vol_3.bib"):
+        (files / name).write_text(f"@article{{k,\n title = {{{name}}},\n year = {{1980}}\n}}\n")
+    for name in ("j_vol_1.zip", "j_vol_3.zip.part"):
+        (files / name).write_bytes(b"x")
+    parameters = tmp_path / "inputs.json"
+    parameters.write_text('{"start_year": 1981, "end_year": 1982, "journal_name": "j"}')
+    common = ["--issues", str(tmp_path / "issues")]
+    main(["archive-queue", *common, "--archives", str(files), "--params", str(parameters), "--out", str(tmp_path / "queue")])
+    assert [(r.issue_url, r.archive) for r in spark.read.parquet(str(tmp_path / "queue")).collect()] == [
+        (base + "2", "j_vol_2.zip")
+    ]
+    main(["archive-queue", *common, "--archives", str(files), "--params", str(parameters), "--end", "1983", "--out", str(tmp_path / "queue")])
+    assert spark.read.parquet(str(tmp_path / "queue")).count() == 2
+
+    main(["stream-arrivals", "--files", str(files), "--out", str(tmp_path / "state"), "--state", str(tmp_path / "check")])
+    known = {r.stem: (r.n_exports, r.n_archives) for r in arrivals.arrived(spark, str(tmp_path / "state")).collect()}
+    assert known == {"j_vol_1": (1, 1), "j_vol_2": (1, 0), "j_vol_3": (1, 0)}
+
+    load = ["load-citations", "--exports", str(files), *common, "--variant", "b", "--versioned", "--out", str(tmp_path / "load")]
+    main(load)
+    articles = str(tmp_path / "load" / "articles")
+    assert scan_articles(spark, articles).count() == 3
+    before = scan_articles(spark, articles)
+    (files / "unknown.bib").write_text("@article{k, title = {u}}")
+    (files / "j_vol_3.bib").write_text("@article{k, title = {v}}\n@article{l, title = {w}}")
+    main(load)
+    assert before.count() == 3 and scan_articles(spark, articles).count() == 4
+    rejected = spark.read.parquet(str(tmp_path / "load" / "rejected")).collect()
+    assert [(r.file_name, r.problem) for r in rejected] == [("unknown.bib", "no issue")]
+    (files / "j_vol_2.bib").write_text("nothing")
+    main(load)
+    assert scan_articles(spark, articles).count() == 4
+    (files / "j_vol_2.bib").write_text("@article{k, title = {x}}")
+    main(load)
+    assert len(list((tmp_path / "load" / "articles" / "data").iterdir())) == 2
