@@ -10,19 +10,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import kept
+from shelfmark.llm.common import bounded_batches, kept
 
 CAPACITY = 2048
 #: Rows of one length and task that share a place in the prefix sums.
 CHUNK = 8192
-#: Distinct words, and pieces of words, of which a worker remembers the ids.
-REMEMBERED = 400_000
+#: Distinct words, and pieces of words, of which a worker remembers the ids before it starts anew; a
+#: batch with more holds its own.
+REMEMBERED = 300_000
 
 #: Characters for which words can be cut here just as the tokenizer cuts them: printable ASCII, tab,
 #: line ends, Latin letters and signs, usual punctuation. Other texts go to the tokenizer whole.
 _PLAIN = r"[\t\n\r\x20-\x7e¡-ɏ‐-‧‰-⁞€]*"
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
+#: Text on which words cut here must give the tokenizer's ids; else all texts go to the tokenizer whole.
+_PROBE = "It's 42 naïve Größen, don't\tÉté_co-op €5 (x²) we'LL 'tis #1!\n\n\\end … — “q” ÿþ"
+
+#: Merges work on a letter per byte: printable Latin-1 as it is, other bytes in turn from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 
 class WordIds:
     """Token ids of texts as little-endian 32-bit bytes, with the ids of words remembered.
@@ -37,36 +45,42 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
         self.plain = regex.compile(_PLAIN)
         self.cut = regex.compile(_CUT).findall
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        if self([_PROBE]) != [_as_bytes(self.tokenizer.encode(_PROBE, add_special_tokens=False).ids)]:
+            self.plain = regex.compile(r"(?!)")
 
-    def __call__(self, text: str) -> bytes:
-        if "<|" in text or not self.plain.fullmatch(text):
-            return _as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = text.lower().split()
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; words that are new to all of them are encoded at once."""
+        plain = ["<|" not in t and self.plain.fullmatch(t) is not None for t in texts]
+        words = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
         known = self.words
-        new = [w for w in set(words) if w not in known]
-        if not new:
-            return b"".join([known[w] for w in words])
-        fresh = self._encode(new)
-        if len(known) + len(fresh) <= REMEMBERED:
-            known.update(fresh)
-            return b"".join([known[w] for w in words])
-        return b"".join([known.get(w) or fresh.get(w, b"") for w in words])
+        new = set().union(*words).difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set().union(*words)
+        if new:
+            known.update(self._encode(list(new)))
+        whole = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        of = known.__getitem__
+        return [b"".join(map(of, ws)) if p else _as_bytes(next(whole).ids) for ws, p in zip(words, plain)]
 
     def _encode(self, words: list[str]) -> dict[str, bytes]:
-        cuts = {w: self.cut(w) for w in words}
+        cuts = [self.cut(w) for w in words]
         pieces = self.pieces
-        new = list({p for ps in cuts.values() for p in ps if p not in pieces})
-        if new:
-            if len(pieces) + len(new) > REMEMBERED:
-                pieces.clear()
-                new = list({p for ps in cuts.values() for p in ps})
-            encoded = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            pieces.update(zip(new, [_as_bytes(e.ids) for e in encoded]))
-        return {w: b"".join([pieces[p] for p in ps]) for w, ps in cuts.items()}
+        new = set().union(*cuts).difference(pieces)
+        if len(pieces) + len(new) > REMEMBERED:
+            pieces.clear()
+            new = set().union(*cuts)
+        merge = self.merge
+        for piece in new:
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            pieces[piece] = _as_bytes([t.id for t in merge(spelled)])
+        of = pieces.__getitem__
+        return {w: b"".join(map(of, ps)) for w, ps in zip(words, cuts)}
 
 
 def _as_bytes(ids: list[int]) -> bytes:
@@ -99,8 +113,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
         seen = [0] * (capacity + 1)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = ids_of(text.as_py() or "") + b"\0\0\0\0"
+            encoded = ids_of([t.as_py() or "" for t in batch.column(1)])
+            for doc_id, data in zip(batch.column(0).to_pylist(), encoded):
+                data += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     ids = data[at : at + 4 * capacity]
                     n = len(ids) // 4
@@ -202,6 +217,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     Null or empty text: one piece, the end id. Repeated rows and null doc_ids are documents of
     their own. Extra columns are not read. An empty table gives an empty one.
     """
+    bounded_batches(docs.sparkSession)
     pieces = kept(token_pieces(docs, tokenizer, capacity), "pieces")
     counts = pieces.groupBy("length", "part", "chunk").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("part", "chunk").rowsBetween(
