@@ -44,6 +44,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back, so that no later job computes it again."""
+    bounded_batches(df.sparkSession)
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

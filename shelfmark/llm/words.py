@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Bytes handled at once; a longer text is handled alone.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, 9, 10, 11, 12, 13]] = True
