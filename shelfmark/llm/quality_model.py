@@ -9,10 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import bounded_batches, kept
+
 PASSAGE_WORDS = 64
 #: Labelled documents of each class to fit on, at most, and passages of all of them together.
 FIT_DOCS = 3000
 FIT_PASSAGES = 200_000
+#: Longer documents, in passages, are scored but not fitted on.
+FIT_LONGEST = 4_000
 EPOCHS = 60
 HIDDEN, GATES = 16, 8
 THRESHOLD = 0.3
@@ -208,7 +212,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Atten
 
     Held-out rows are never read. Labels null or other than 0 and 1 are left out; of several labels
     of one document the least counts. The sample is sent to find its documents, whose passages come
-    to the driver: FIT_PASSAGES of FEATURES numbers at most, documents over that are left out.
+    to the driver: FIT_PASSAGES of FEATURES numbers at most. Documents of over FIT_LONGEST passages
+    are left out of the fit, and those for which the others leave no room.
     Where a class is missing there is nothing to learn: the share of label 1, as a constant.
     """
     usable = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
@@ -225,20 +230,19 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Atten
     chosen = spark.createDataFrame(sample, "doc_id long, quality int")
 
     def passages(texts: pa.Array) -> pa.Array:
-        limit = FIT_PASSAGES // 50
         return pa.array(
-            [x.tobytes() if len(x) <= limit else None for x in encoded(texts)], pa.binary()
+            [x.tobytes() if len(x) <= FIT_LONGEST else None for x in encoded(texts)], pa.binary()
         )
 
-    found = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "quality", F.arrow_udf(passages, "binary")("text").alias("x"))
-        .where("x is not null")
-    )
-    rows = found.orderBy(F.xxhash64("doc_id"), F.xxhash64("x")).limit(2 * fit_docs).collect()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # Written before it is encoded: nothing can move the encoding below the join, over all texts.
+    found = kept(texts.join(F.broadcast(chosen), "doc_id"), "fit-sample")
+    coded = found.select("doc_id", "quality", F.arrow_udf(passages, "binary")("text").alias("x"))
+    rows = coded.orderBy(F.xxhash64("doc_id"), F.xxhash64("x")).limit(2 * fit_docs).collect()
     documents, marks, room = [], [], FIT_PASSAGES
     for r in rows:
+        if r["x"] is None:
+            continue
         x = np.frombuffer(r["x"], dtype=np.float32).reshape(-1, FEATURES)
         if len(x) <= room:
             documents.append(x)
@@ -268,6 +272,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     out and has no label. Repeated rows get equal scores. Other columns pass through, but those
     named like a result column are replaced; an empty table gives an empty one.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.drop("held_out", "score", "predicted")
     model = train(docs, labels)
     scored = docs.withColumn("score", score_column(model, F.col("text")))
