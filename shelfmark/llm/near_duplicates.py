@@ -7,7 +7,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import SALTS, hot_values, kept, lookup
@@ -56,7 +56,7 @@ def _lowered(texts: pa.Array) -> list[bytes]:
 
 
 def _signed(texts: pa.Array) -> pa.Array:
-    from shelfmark.llm.words import groups, shingles
+    from shelfmark.llm.words import groups, mix64, shingles
 
     classes, sizes, bands, signatures = [], [], [], []
     for group in groups(_lowered(texts)):
@@ -70,7 +70,8 @@ def _signed(texts: pa.Array) -> pa.Array:
             least = minima(s)
             classes.append(blake2b(s.tobytes(), digest_size=16).hexdigest())
             bands.append(_band_hashes(least))
-            signatures.append((least >> np.uint64(56)).astype(np.uint8).tobytes())
+            # Minima of large sets are small: only mixed are their top bytes as good as random.
+            signatures.append((mix64(least) >> np.uint64(56)).astype(np.uint8).tobytes())
     columns = [
         pa.array(classes, pa.string()),
         pa.array(sizes, pa.int64()),
@@ -91,9 +92,12 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """One row per distinct shingle set: a number, its first document, and the signature."""
+    """One row per distinct shingle set: a number, its first document, and the signature.
+
+    A document without an id is first only among such.
+    """
     same_set = rows.where("class is not null").groupBy("class").agg(
-        F.min(F.struct("doc_id", "t")).alias("first"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t")).alias("first"),
         F.count("*").alias("n_docs"),
         F.first("n_shingles").alias("n"),
         F.first("bands").alias("bands"),
@@ -119,7 +123,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
 
 
 def _agreement(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Share of equal minima; a byte agrees by chance once in 256."""
+    """Share of equal minima; bytes of different ones agree by chance once in 256."""
     width = BANDS * ROWS
     x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(-1, width) for v in (a, b))
     share = (x == y).mean(axis=1)
@@ -276,35 +280,70 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _rest_links(unsettled: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
-    """Links `a, b` of the far classes of each group with all of the group, block against block.
+#: Classes of a block of signatures.
+SCREEN = 512
 
-    A row is a pair of blocks, not of classes, and yields a few links; blocks of a large group are
-    spread over all tasks. Exact for every bucket, however large.
-    """
-    sets = _class_sets(unsettled.select("id").distinct(), classes, docs, repeated)
-    sizes = unsettled.groupBy("g").agg(
-        F.ceil(F.sum(F.col("far").cast("int")) / BLOCK).alias("rows"), F.ceil(F.count("*") / BLOCK).alias("columns")
+
+def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of classes of two blocks of which one of another component may be a link."""
+    for batch in batches:
+        found: set[int] = set()
+        for row in range(batch.num_rows):
+            left, right = (batch.column(c)[row].values for c in (0, 1))
+            ids, others = left.field("id").to_numpy(), right.field("id").to_numpy()
+            label, their = left.field("label").to_numpy(), right.field("label").to_numpy()
+            n, m = left.field("n").to_numpy(), right.field("n").to_numpy()
+            x, y = (
+                np.frombuffer(b"".join(side.field("signature").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+                for side in (left, right)
+            )
+            for i in range(len(ids)):
+                share = ((x[i] == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                fits = 100 * np.minimum(n[i], m) >= PERCENT * np.maximum(n[i], m)
+                near = others[fits & (share >= AGREE) & (their != label[i])]
+                if len(near):
+                    found.add(int(ids[i]))
+                    found.update(near.tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], names=["id"])
+
+
+def _block_pairs(rows: DataFrame, block: int, one: Column) -> DataFrame:
+    """`x, y`: each block of far classes of a group with each block of all of its classes."""
+    sizes = rows.groupBy("g").agg(
+        F.ceil(F.sum(F.col("far").cast("int")) / block).alias("rows"), F.ceil(F.count("*") / block).alias("columns")
     )
-    hot = hot_values(unsettled, "g")
-    dealt = lookup(unsettled, kept(sizes, "group-sizes"), "g", "inner", hot)
-    full = kept(lookup(dealt, sets, "id", "inner", []), "group-sets")
-    one = F.struct("label", "s")
+    dealt = kept(lookup(rows, kept(sizes, "group-sizes"), "g", "inner", hot_values(rows, "g")), "group-rows")
 
-    def blocks(rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
-        placed = rows.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(own + "s")))
+    def blocks(part: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        placed = part.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(own + "s")))
         packed = placed.groupBy("g", own, other + "s").agg(F.collect_list(one).alias(name))
         return packed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other + "s") - 1)))
 
-    x = blocks(full.where("far"), "row", "column", "x").select("g", "row", "column", "x")
-    y = blocks(full, "column", "row", "y").select("g", "row", "column", "y")
-    pairs = x.join(y, ["g", "row", "column"]).select("x", "y")
+    x = blocks(dealt.where("far"), "row", "column", "x").select("g", "row", "column", "x")
+    y = blocks(dealt, "column", "row", "y").select("g", "row", "column", "y")
+    return x.join(y, ["g", "row", "column"]).select("x", "y")
+
+
+def _rest_links(unsettled: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+    """Links `a, b` of the far classes of each group with all of the group, block against block.
+
+    A row is a pair of blocks, not of classes; blocks of a large group are spread over all tasks.
+    First signatures meet, 200 bytes a class: a class that agrees with none of another component, of
+    a fitting size, has no link to find. Full sets are made and sent for the classes left alone.
+    Exact for every bucket, however large, as far as signatures are.
+    """
+    signed_rows = kept(lookup(unsettled, classes.select("id", "n", "signature"), "id", "inner", []), "group-signatures")
+    pairs = _block_pairs(signed_rows, SCREEN, F.struct("id", "label", "n", "signature"))
+    likely = kept(pairs.mapInArrow(_screened, "id long").distinct(), "likely")
+    sets = _class_sets(likely, classes, docs, repeated)
+    full = kept(lookup(unsettled, sets, "id", "inner", []), "group-sets")
+    pairs = _block_pairs(full, BLOCK, F.struct("label", "s"))
     # Many blocks join the same two components; one link of theirs is enough.
     return kept(pairs.mapInArrow(_block_links, "a long, b long").distinct(), "rest-links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """`doc_id, t, class, n_shingles, component_id, kept` of each row of `docs (doc_id, text)`.
+    """`doc_id, t, class, n_shingles, group, component_id, kept` of each row of `docs (doc_id, text)`.
 
     Documents with equal sets of shingles are one class. Each class is compared with the least
     class of every band it shares, not with all of them, and components are formed. Then classes
@@ -313,8 +352,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     confirmed on full sets.
 
     `component_id` is the least doc_id of the component (nulls aside) and `kept` marks its rows.
-    Text null or without words: no shingles, a component of its own. A null doc_id: takes part; its
-    component is null and it is kept if no other document is linked with it. Repeated rows are
+    `group` is a number of the component, null where a class stands alone without copies.
+    Text null or without words: no shingles, a component of its own. A null doc_id: takes part, and
+    is kept only if no document of its component has an id; `component_id` is null then. Repeated rows are
     equal sets: the same class, and each of them is kept if its doc_id is the least. Extra columns
     are not read. An empty table gives an empty one.
     """
@@ -335,11 +375,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = kept(joined.select("class", "label", "n_docs", F.col("first.doc_id").alias("d")), "labelled")
     groups = joined.groupBy("label").agg(F.min("d").alias("component_id"), F.sum("n_docs").alias("size"))
     groups = kept(groups.where("size > 1").select("label", "component_id"), "groups")
-    of_class = kept(lookup(joined.select("class", "label"), groups, "label", "inner").drop("label"), "members")
+    of_class = kept(lookup(joined.select("class", "label"), groups, "label", "inner").withColumnRenamed("label", "group"), "members")
     out = lookup(rows.select("doc_id", "t", "class", "n_shingles"), of_class.withColumn("_grouped", F.lit(True)), "class")
     component = F.when(F.col("_grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.withColumn("component_id", component).select(
-        "doc_id", "t", "class", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        "doc_id", "t", "class", "n_shingles", "group", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
@@ -354,7 +394,8 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     grouped = found.where("n_shingles > 0 and kept")
     # Documents share a kept doc_id only where it repeats, so these groups are small.
     stay = grouped.where("doc_id is not null").groupBy("doc_id", "component_id").agg(F.min("t").alias("t"))
-    null_ids = grouped.where("doc_id is null").groupBy("class").agg(F.min("t").alias("t"))
+    nameless = grouped.where("doc_id is null").withColumn("own", F.coalesce(F.col("group").cast("string"), "class"))
+    null_ids = nameless.groupBy("own").agg(F.min("t").alias("t"))
     chosen = stay.select("doc_id", "t").unionByName(null_ids.select(F.lit(None).cast("long").alias("doc_id"), "t"))
     repeats = found.groupBy("doc_id", "t").agg(F.count("*").alias("n"), F.max("n_shingles").alias("w"))
     repeats = kept(repeats.where("n > 1 and w > 0").select("doc_id", "t"), "repeats")

@@ -491,3 +491,90 @@ def test_pipeline(spark, sf_dir, odd):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns
         assert stage(spark, docs.where("false"), sf_dir).count() == 0
+
+
+def test_equal_lines_of_one_text_in_linear_time(spark):
+    """A hundred thousand equal lines, alone and in a second document, beside variable gaps."""
+    import random
+    import time
+
+    rng = random.Random(8)
+    gaps = "\n".join("a b c\n" * rng.randint(20, 40) + f"gap {i}" for i in range(1500))
+    rows = [(1, "x y\n" * 100_000), (2, "x y\n" * 100_000 + "end"), (3, gaps), (4, gaps + "\nmore")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, spans="spans").select("doc_id", "spans", "text").collect()}
+    assert time.time() - began < 60
+    # Its first window stays; a window is 25 lines of two words.
+    assert found[1]["spans"][0]["stop"] == 100_000 and 0 < found[1]["spans"][0]["start"] <= 25
+    assert found[2]["text"] == "end"
+    assert found[4]["text"] == "more"
+
+
+def test_windows_of_lines():
+    """Against a plain search, and fewer prints than lines where lines are short."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    for _ in range(200):
+        n = rng.randint(0, 60)
+        hashes = np.array([rng.randint(0, 5) if rng.random() < 0.5 else rng.getrandbits(62) for _ in range(n)], np.int64)
+        words = np.array([rng.choice([1, 5, 9, 30, 60]) for _ in range(n)], np.int32)
+        total = lambda a, b: int(words[a:b].sum())
+        expected = {(a, b) for a in range(n) for b in range(a + 1, n + 1)
+                    if total(a, b) >= 50 and (total(a, b - 1) < 50 or total(a + 1, b) < 50)}
+        start, stop, place = line_dedup.windows(hashes, words)
+        assert sorted(zip(start.tolist(), stop.tolist())) == sorted(expected)
+        for a, b, p in zip(start, stop, place):
+            assert p == max(i for i in range(a, b) if hashes[i] == hashes[a:b].min())
+        same = defaultdict(set)
+        for h, a, b in zip(line_dedup.window_hashes(hashes, start, stop).tolist(), start, stop):
+            same[h].add(tuple(hashes[a:b].tolist()))
+        assert all(len(x) == 1 for x in same.values())
+    hashes = np.array([rng.getrandbits(62) for _ in range(5000)], np.int64)
+    assert len(set(line_dedup.windows(hashes, np.full(5000, 8, np.int32))[2].tolist())) < 2500
+
+
+def test_nameless_documents_among_copies(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    near = words + " end"
+    rows = [(None, words), (5, words), (9, near), (None, "other " * 9), (None, "other " * 9), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates.near_duplicates(docs).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == Counter(groups_by_hand(docs.collect()))
+    assert {r["kept"] for r in found if r["component_id"] == 5} == {True, False}
+    left = near_duplicates.one_per_group(docs)
+    assert Counter(r["doc_id"] for r in left.collect()) == Counter([5, None, None])
+    linked = spark.createDataFrame([(None, words), (None, near)], "doc_id long, text string")
+    assert near_duplicates.one_per_group(linked).count() == 1
+
+
+def test_signatures_of_large_disjoint_sets_disagree():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{k}x{i}" for i in rng.permutation(5000)) for k in range(4)]
+    signed = near_duplicates._signed(pa.array(texts)).field("signature")
+    left, right = pa.array([signed[0].as_py()] * 3), pa.array([signed[i].as_py() for i in (1, 2, 3)])
+    assert max(near_duplicates._agreement(left, right).to_pylist()) < 0.05
+    assert near_duplicates._agreement(left, left).to_pylist() == [1.0] * 3
+
+
+def test_the_fit_encodes_its_sample_alone(spark, documents, sf_dir, monkeypatch):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    names = []
+    plain = quality_model.kept
+
+    def watched(df, name):
+        names.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        out = plain(df, name)
+        names.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(quality_model, "kept", watched)
+    quality_model.train(documents, labels, fit_docs=20)
+    (_, plan), (_, rows) = names
+    assert "Python" not in plan and 0 < rows <= 40
