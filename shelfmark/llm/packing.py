@@ -15,9 +15,9 @@ from shelfmark.llm.common import bounded_batches, kept
 CAPACITY = 2048
 #: Rows of one length and task that share a place in the prefix sums.
 CHUNK = 8192
-#: Distinct words, and pieces of words, of which a worker remembers the ids before it starts anew; a
+#: Distinct words and pieces of words of which a worker remembers the ids before it starts anew; a
 #: batch with more holds its own.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 #: Characters for which words can be cut here just as the tokenizer cuts them: printable ASCII, tab,
 #: line ends, Latin letters and signs, usual punctuation. Other texts go to the tokenizer whole.
@@ -48,8 +48,7 @@ class WordIds:
         self.merge = self.tokenizer.model.tokenize
         self.plain = regex.compile(_PLAIN)
         self.cut = regex.compile(_CUT).findall
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         if self([_PROBE]) != [_as_bytes(self.tokenizer.encode(_PROBE, add_special_tokens=False).ids)]:
             self.plain = regex.compile(r"(?!)")
 
@@ -57,30 +56,33 @@ class WordIds:
         """Ids of each text; words that are new to all of them are encoded at once."""
         plain = ["<|" not in t and self.plain.fullmatch(t) is not None for t in texts]
         words = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
-        known = self.words
+        known = self.known
         new = set().union(*words).difference(known)
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = set().union(*words)
         if new:
-            known.update(self._encode(list(new)))
+            self._remember(new)
         whole = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
         of = known.__getitem__
         return [b"".join(map(of, ws)) if p else _as_bytes(next(whole).ids) for ws, p in zip(words, plain)]
 
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        cuts = [self.cut(w) for w in words]
-        pieces = self.pieces
-        new = set().union(*cuts).difference(pieces)
-        if len(pieces) + len(new) > REMEMBERED:
-            pieces.clear()
-            new = set().union(*cuts)
-        merge = self.merge
-        for piece in new:
+    def _remember(self, words: set[str]) -> None:
+        """Encode words and, where they are more than letters, the pieces they are cut into."""
+        known, merge = self.known, self.merge
+        cuts = {w: self.cut(w) for w in words if not w.isalpha()}
+        pieces = set().union(*cuts.values()).difference(known)
+        pieces.update(words.difference(cuts))
+        for piece in pieces:
             spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            pieces[piece] = _as_bytes([t.id for t in merge(spelled)])
-        of = pieces.__getitem__
-        return {w: b"".join(map(of, ps)) for w, ps in zip(words, cuts)}
+            ids = [t.id for t in merge(spelled)]
+            known[piece] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else _as_bytes(ids)
+        of = known.__getitem__
+        for word, parts in cuts.items():
+            known[word] = b"".join(map(of, parts))
+
+
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 def _as_bytes(ids: list[int]) -> bytes:
