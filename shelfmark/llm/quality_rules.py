@@ -86,28 +86,38 @@ def rule_failures() -> dict[str, Column]:
     }
 
 
+#: Bounds of a prior's strength, in documents.
+STRENGTHS = (1.0, 1e6)
+
+
 def shrunk_rates(hosts: DataFrame) -> DataFrame:
     """`hosts` with `rate_<rule>`: failures over documents, drawn to the corpus by a beta prior.
 
-    The prior of a rule has the mean of all documents and, by moments, the spread of the hosts'
-    rates, weighted by documents. Hosts of few documents move furthest. Only one row of moments
-    reaches the driver.
+    The prior of a rule has the mean of all documents. Its strength follows by moments of the
+    beta-binomial distribution: of the hosts' spread about the mean, what drawing their documents
+    makes by itself is taken off, and the rest, over its largest possible value, is the correlation
+    of documents of one host. Where hosts spread no more than by chance, or all have one document,
+    rates go to the mean. Hosts of few documents move furthest. Only one row of moments reaches the
+    driver.
     """
     n = F.col("n_docs")
-    totals = hosts.agg(F.sum(n).alias("n"), *[F.sum(f"bad_{r}").alias(r) for r in RULES]).first()
+    sums = [F.sum(f"bad_{r}").alias(r) for r in RULES]
+    totals = hosts.agg(
+        F.sum(n).alias("n"), F.count("*").alias("k"), F.sum(n.cast("double") * n).alias("squares"), *sums
+    ).first()
     if not totals["n"]:
         return hosts.withColumns({f"rate_{r}": F.lit(0.0) for r in RULES})
     mean = {r: totals[r] / totals["n"] for r in RULES}
     spread = hosts.agg(
-        *[
-            (F.sum(n * F.pow(F.col(f"bad_{r}") / n - mean[r], F.lit(2.0))) / totals["n"]).alias(r)
-            for r in RULES
-        ]
+        *[F.sum(n * F.pow(F.col(f"bad_{r}") / n - mean[r], F.lit(2.0))).alias(r) for r in RULES]
     ).first()
+    by_chance = totals["k"] - 1
+    most = totals["n"] - totals["squares"] / totals["n"] - by_chance
     rates = {}
     for r in RULES:
         room = mean[r] * (1 - mean[r])
-        strength = min(max(room / spread[r] - 1, 1.0), 1e6) if spread[r] > 0 else 1e6
+        within = (spread[r] - room * by_chance) / (room * most) if room > 0 and most > 1e-9 else 0.0
+        strength = min(max(1 / within - 1, STRENGTHS[0]), STRENGTHS[1]) if within > 0 else STRENGTHS[1]
         rates[f"rate_{r}"] = (F.col(f"bad_{r}") + mean[r] * strength) / (n + strength)
     return hosts.withColumns(rates)
 
