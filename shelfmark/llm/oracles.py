@@ -7,17 +7,17 @@ _WORD = r"[^\x20\x09-\x0D]+"
 #: The inner product of every query with every vector; sizes where that is quick are checked so.
 TOP_K = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
     FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    WHERE embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id,
+    SELECT q.rid AS query_rid, q.vec_id AS query_id, c.vec_id,
            list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS score
-    FROM v q JOIN v c ON c.vec_id <> q.vec_id
+    FROM v q JOIN v c ON c.rid <> q.rid AND len(c.v) = len(q.v)
     WHERE q.vec_id % 50 = 0
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+    SELECT *, row_number() OVER (PARTITION BY query_rid ORDER BY score DESC, vec_id) AS r FROM scored
 )
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
 FROM ranked WHERE r <= 5
@@ -72,15 +72,22 @@ WITH d AS (
     SELECT host, count(*) AS n, {", ".join(f"sum(CAST({r} AS INTEGER)) AS {r}" for r in _RULES)}
     FROM judged GROUP BY host
 ), means AS (
-    SELECT sum(n) AS total, {", ".join(f"sum({r}) / sum(n) AS m_{r}" for r in _RULES)} FROM hosts
+    SELECT sum(n) AS total, count(*) - 1 AS chance,
+           sum(n) - sum(CAST(n AS DOUBLE) * n) / sum(n) - (count(*) - 1) AS most,
+           {", ".join(f"sum({r}) / sum(n) AS m_{r}" for r in _RULES)} FROM hosts
 ), spreads AS (
-    SELECT {", ".join(f"sum(n * (({r} / n) - m_{r}) ** 2) / any_value(total) AS v_{r}" for r in _RULES)}
+    SELECT {", ".join(f"sum(n * (({r} / n) - m_{r}) ** 2) AS v_{r}" for r in _RULES)}
     FROM hosts, means
+), correlations AS (
+    SELECT *, {", ".join(
+        f"CASE WHEN m_{r} * (1 - m_{r}) > 0 AND most > 1e-9"
+        f" THEN (v_{r} - m_{r} * (1 - m_{r}) * chance) / (m_{r} * (1 - m_{r}) * most) ELSE 0 END AS c_{r}"
+        for r in _RULES)}
+    FROM means, spreads
 ), strengths AS (
     SELECT {", ".join(
-        f"CASE WHEN v_{r} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, 1.0), 1e6)"
-        f" ELSE 1e6 END AS s_{r}" for r in _RULES)}
-    FROM means, spreads
+        f"CASE WHEN c_{r} > 0 THEN least(greatest(1 / c_{r} - 1, 1.0), 1e6) ELSE 1e6 END AS s_{r}" for r in _RULES)}
+    FROM correlations
 ), verdicts AS (
     SELECT host, greatest({", ".join(f"({r} + m_{r} * s_{r}) / (n + s_{r})" for r in _RULES)}) > 0.5
         AS host_rejected

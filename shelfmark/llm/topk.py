@@ -17,22 +17,22 @@ CHUNKS = (64, 256, 1024, 2048)
 #: Non-essential terms probed between two checks of a candidate's bound.
 PROBE = 8
 
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_row long, query_id long, vec_id long, row long, score long"
 
 
 def integer_vectors(table: DataFrame) -> DataFrame:
-    """`vec_id, v`: floor(256 x) of each component; vectors null, or holding null or non-finite, go.
+    """`row, vec_id, v`: floor(256 x) of each component, as far as 64 bits go, and a number for the row.
 
-    Rows that share a vec_id are one vector, the least of them in array order.
+    Vectors null, or holding null or non-finite components, go; all others stay, also those that
+    share a vec_id or have none.
     """
-    x = F.transform("embedding", lambda c: c.cast("double"))
-    big = float(1 << 62)
-    good = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < big))
-    return (
-        table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good)
-        .select(F.col("vec_id").cast("long"), F.transform(x, lambda c: F.floor(256 * c)).alias("v"))
-        .groupBy("vec_id")
-        .agg(F.min("v").alias("v"))
+    x = F.transform("embedding", lambda c: F.floor(256 * c.cast("double")))
+    finite = F.forall("embedding", lambda c: c.isNotNull() & (F.abs(c.cast("double")) < float("inf")))
+    good = table.where(F.col("embedding").isNotNull() & finite)
+    return good.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col("vec_id").cast("long").alias("vec_id"),
+        x.cast("array<bigint>").alias("v"),
     )
 
 
@@ -45,22 +45,33 @@ class Shard:
     together cannot lift a vector from the lows to the query's threshold.
     """
 
-    def __init__(self, ids, vectors, k: int) -> None:
+    def __init__(self, rows, vectors, k: int) -> None:
         import numpy as np
 
-        self.ids, self.q, self.k = ids, vectors, k
-        self.scores = np.empty((0, 3), dtype=np.int64)
-        self.floor = np.full(len(ids), -np.inf)
+        self.rows, self.q, self.k = rows, vectors, k
+        self.scores = np.empty((0, 4), dtype=np.int64)
+        self.floor = np.full(len(rows), -np.inf)
 
-    def add(self, ids, x) -> None:
+    def add(self, rows, ties, x) -> None:
+        """Score the vectors `x` of some `rows`, of which equal ones go by `ties`."""
         import numpy as np
 
-        q = self.q
+        ends = np.stack([x.min(axis=0), x.max(axis=0)])
+        # Queries that no vector between the ends can help are done with this chunk.
+        reach = np.maximum(self.q * ends[0], self.q * ends[1]).sum(axis=1)
+        active = np.flatnonzero(reach >= self.floor)
+        if len(active):
+            self._score(active, rows, ties, x)
+
+    def _score(self, active, rows, ties, x) -> None:
+        import numpy as np
+
+        q, floor = self.q[active], self.floor[active]
         a, b = q * x.min(axis=0), q * x.max(axis=0)
         low, gain = np.minimum(a, b), np.abs(b - a)
         order = np.argsort(gain, axis=1, kind="stable")
         total = np.cumsum(np.take_along_axis(gain, order, 1), axis=1)
-        need = self.floor - low.sum(axis=1)
+        need = floor - low.sum(axis=1)
         # A vector on the threshold may still win by its smaller id: only what stays below is dropped.
         sorted_rest = total < need[:, None]
         rest = np.zeros_like(sorted_rest)
@@ -69,7 +80,7 @@ class Shard:
         base = np.where(rest, low, 0).sum(axis=1)
         # Essential terms of all vectors, then the others for those that can still reach it.
         part = _product(np.where(rest, 0, q), x) + base[:, None]
-        qi, vi = np.nonzero(part + slack[:, None] >= self.floor[:, None])
+        qi, vi = np.nonzero(part + slack[:, None] >= floor[:, None])
         score = part[qi, vi]
         left = slack[qi]
         most = int(sorted_rest.sum(axis=1).max(initial=0))
@@ -81,17 +92,19 @@ class Shard:
             lo = np.where(probed, np.take_along_axis(low, terms, 1), 0).sum(axis=1)
             score = score + (w[qi] * x[vi[:, None], terms[qi]]).sum(axis=1) - lo[qi]
             left = left - g[qi]
-            on = score + left >= self.floor[qi]
+            on = score + left >= floor[qi]
             qi, vi, score, left = qi[on], vi[on], score[on], left[on]
-        other = self.ids[qi] != ids[vi]
-        self._merge(qi[other], ids[vi[other]], score[other])
+        qi = active[qi]
+        other = self.rows[qi] != rows[vi]
+        qi, vi, score = qi[other], vi[other], score[other]
+        new = np.stack([qi, ties[vi], score.astype(np.int64), rows[vi]], axis=1)
+        self._merge(new)
 
-    def _merge(self, qi, ids, score) -> None:
+    def _merge(self, new) -> None:
         import numpy as np
 
-        new = np.stack([qi, ids, score.astype(np.int64)], axis=1)
         rows = np.concatenate([self.scores, new])
-        rows = rows[np.lexsort((rows[:, 1], -rows[:, 2], rows[:, 0]))]
+        rows = rows[np.lexsort((rows[:, 3], rows[:, 1], -rows[:, 2], rows[:, 0]))]
         first = np.searchsorted(rows[:, 0], rows[:, 0])
         place = np.arange(len(rows)) - first
         self.scores = rows[place < self.k]
@@ -106,10 +119,11 @@ def _product(q, x):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """`query_id, rank, vec_id, score`: each query's `k` best among the other vectors.
 
-    Both tables are `vec_id, v` with one row per vec_id. Queries go to the vectors in blocks of
+    Both tables are `row, vec_id, v`, `row` a number of its own for each; each row of `queries` is a
+    query, and candidates are all rows of `vectors` but its own. Queries go to the vectors in blocks of
     about QUERY_BLOCK, which bounds what is sent at once; a task keeps `k` hits per query and the
     hits of all tasks are merged by query. Each block's hits are written before the next block
-    starts. Ties go to the smaller vec_id; fewer vectors give fewer ranks; vectors of another
+    starts. Ties go to the smaller vec_id, null last; fewer vectors give fewer ranks; vectors of another
     length than the query's are no candidates. Empty tables give an empty result.
     """
     spark = vectors.sparkSession
@@ -121,20 +135,25 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         own = queries.where(F.size("v") == size["d"])
         fit = vectors.where(F.size("v") == size["d"])
         for block in range(blocks):
-            rows = own.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).collect()
+            rows = own.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block).collect()
             if not rows:
                 continue
             hits = _block_hits(fit, rows, k)
             hits.write.mode("append").parquet(folder)
     hits = spark.read.schema(HITS).parquet(folder)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
     ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+#: The tie of a vector without an id.
+_NAMELESS = (1 << 63) - 1
+
+
 def _block_hits(vectors: DataFrame, queries: list, k: int) -> DataFrame:
     import numpy as np
 
+    own = np.array([r["row"] for r in queries], dtype=np.int64)
     ids = np.array([r["vec_id"] for r in queries], dtype=np.int64)
     weights = np.array([r["v"] for r in queries], dtype=np.int64).reshape(len(queries), -1)
 
@@ -145,34 +164,37 @@ def _block_hits(vectors: DataFrame, queries: list, k: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vec_ids = batch.column(0).to_numpy()
-            values = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+            rows = batch.column(0).to_numpy()
+            ties = batch.column(1).fill_null(_NAMELESS).to_numpy()
+            values = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
             # Sums of products stay exact in doubles below 2**53, and BLAS is used only there.
             top = float(np.abs(values).max(initial=0)) * float(np.abs(weights).max(initial=0))
             kind = np.float64 if top * max(1, values.shape[1]) < 2**52 else np.int64
             if shard is None:
-                shard = Shard(ids, weights.astype(kind), k)
+                shard = Shard(own, weights.astype(kind), k)
             elif kind is np.int64:
                 shard.q = weights
             at = 0
-            while at < len(vec_ids):
+            while at < len(rows):
                 n = CHUNKS[min(chunk, len(CHUNKS) - 1)]
-                shard.add(vec_ids[at : at + n], values[at : at + n].astype(shard.q.dtype))
+                shard.add(rows[at : at + n], ties[at : at + n], values[at : at + n].astype(shard.q.dtype))
                 at, chunk = at + n, chunk + 1
         if shard is not None and len(shard.scores):
-            rows = shard.scores
+            hits = shard.scores
+            vec_ids = pa.array(hits[:, 1], mask=hits[:, 1] == _NAMELESS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows[:, 0]]), pa.array(rows[:, 1]), pa.array(rows[:, 2])],
-                names=["query_id", "vec_id", "score"],
+                [pa.array(own[hits[:, 0]]), pa.array(ids[hits[:, 0]]), vec_ids, pa.array(hits[:, 3]), pa.array(hits[:, 2])],
+                names=["query_row", "query_id", "vec_id", "row", "score"],
             )
 
-    return vectors.select("vec_id", "v").mapInArrow(search, HITS)
+    return vectors.select("row", "vec_id", "v").mapInArrow(search, HITS)
 
 
 def search_embeddings(table: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """`top_k` of the vectors whose vec_id is divisible by `every`, against all of `table`.
 
-    See `integer_vectors` for null and non-finite vectors and repeated ids, `top_k` for the rest.
+    See `integer_vectors` for null and non-finite vectors, `top_k` for repeated ids and the rest.
+    Extra columns are not read. Scores of over 64 bits are not defined.
     """
     vectors = kept(integer_vectors(table), "vectors")
     return top_k(vectors, vectors.where(F.col("vec_id") % every == 0), k)

@@ -137,7 +137,8 @@ def test_top_k_ties_and_bad_vectors(spark):
             (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (None, [1.0, 1.0]), (6, [1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = sorted(tuple(r) for r in topk.search_embeddings(table, k=2).collect())
-    assert found == [(0, 1, 1, 65536), (0, 2, 2, 65536), (50, 1, 1, 32768), (50, 2, 2, 32768)]
+    # A row without an id is a candidate like any other.
+    assert found == [(0, 1, 1, 65536), (0, 2, 2, 65536), (50, 1, None, 49152), (50, 2, 1, 32768)]
     assert topk.search_embeddings(table.where("false")).count() == 0
 
 
@@ -578,3 +579,31 @@ def test_the_fit_encodes_its_sample_alone(spark, documents, sf_dir, monkeypatch)
     quality_model.train(documents, labels, fit_docs=20)
     (_, plan), (_, rows) = names
     assert "Python" not in plan and 0 < rows <= 40
+
+
+def test_hosts_of_one_document_follow_the_mean(spark):
+    good, bad = " ".join(f"w{i}" for i in range(80)), "too short"
+    rows = [(i, bad if i % 16 == 0 else good, f"h{i}") for i in range(960)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert not any(r["host_rejected"] for r in quality_rules.apply_host_rules(docs).collect())
+    # Beside hosts that do differ, a host of many failures still goes.
+    rows += [(2000 + i, bad if i % 10 else good, "spam") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = quality_rules.apply_host_rules(docs).where("source = 'spam'").collect()
+    assert all(r["host_rejected"] for r in found)
+
+
+def test_every_row_is_a_candidate(spark):
+    """Rows that share a vec_id, or have none, count one by one; a query meets all rows but itself."""
+    rows = [(0, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [0.5, 0.0]), (7, [0.5, 0.0]), (None, [2.0, 0.0]), (100, [0.25, 0.0]), (100, [4.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = Counter(tuple(r) for r in topk.search_embeddings(table, k=3).collect())
+    ids = [(i, int(v[0] * 256)) for i, v in rows]
+    expected = Counter()
+    for n, (q, x) in enumerate(ids):
+        if q is None or q % 50:
+            continue
+        others = [(-x * y, i is None, i or 0, i) for m, (i, y) in enumerate(ids) if m != n]
+        for rank, (score, _, _, i) in enumerate(sorted(others)[:3], 1):
+            expected[q, rank, i, -score] += 1
+    assert found == expected
