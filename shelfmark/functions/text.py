@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # What str.strip() removes. All such characters lie below U+3001.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -72,47 +68,11 @@ def year_from_status(status: Column) -> Column:
     return F.substring(F.substring_index(status, " ", -1), -5, 4)
 
 
-def _unescape_udf():
-    # A local function travels to the executors by value, so they need not have this package.
-    def unescape(text: pd.Series) -> pd.Series:
-        return text.map(html.unescape, na_action="ignore")
-
-    return F.pandas_udf(unescape, T.StringType())
-
-
-def _unescape_nested_udf():
-    def unescape(rows: pd.Series) -> pd.Series:
-        return rows.map(
-            lambda cells: [[s if s is None else html.unescape(s) for s in cell] for cell in cells],
-            na_action="ignore",
-        )
-
-    return F.pandas_udf(unescape, T.ArrayType(T.ArrayType(T.StringType())))
-
-
-_unescape = _unescape_udf()
-_unescape_nested = _unescape_nested_udf()
-
-
 def hard_spaces(text: Column) -> Column:
-    """Decode the commonest entity in place, which spares most text the way to Python."""
+    """Decode the commonest entity in place, which spares most text the search for others."""
     return F.replace(text, F.lit("&nbsp;"), F.lit(NBSP))
 
 
-def entity_decode(text: Column) -> Column:
-    """HTML entities to characters; only text with an ampersand travels to Python.
-
-    `text` is evaluated thrice, so it should be a column and not an expression.
-    """
-    return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
-
-
-def entity_decode_nested(cells: Column) -> Column:
-    """As `entity_decode`, for lists of lists."""
-    has_entity = F.exists(cells, lambda cell: F.exists(cell, lambda s: F.contains(s, F.lit("&"))))
-    return F.coalesce(_unescape_nested(F.when(has_entity, cells)), cells)
-
-
 def pinned(column: Column) -> Column:
     """The same value, but a filter on it stays above the projection that computes it.
 

@@ -17,10 +17,9 @@ from shelfmark.functions.markup import (
     text_after,
     without_tags,
 )
+from shelfmark.functions.entities import unescape, unescape_nested
 from shelfmark.functions.text import (
     doc_type,
-    entity_decode,
-    entity_decode_nested,
     hard_spaces,
     markup_strip,
     nbsp_normalise,
@@ -180,15 +179,19 @@ def scopus_records(pages: DataFrame, compat: bool = False) -> DataFrame:
         scopus_citations(F.col("_citations")).alias("_citations"),
     )
     texts = ("authors", "reference", "title", "doi", "abstract", "author_keywords", "index_keywords")
-    decoded = raw.select(
+    # All fields of a record go through one expression, as it holds every entity there is.
+    every = ("document_type", *texts, "affiliations")
+    flat = raw.withColumn("_texts", F.transform(F.array(*every), unescape))
+    fields = {name: F.get("_texts", F.lit(i)) for i, name in enumerate(every)}
+    decoded = flat.select(
         *kept,
         "_no_block",
         "_has_header",
         "_has_abstract",
-        *[entity_decode(F.col(name)).alias(name) for name in ("document_type", *texts)],
-        nbsp_normalise(entity_decode(F.col("affiliations")), "").alias("affiliations"),
+        *[fields[name].alias(name) for name in ("document_type", *texts)],
+        nbsp_normalise(fields["affiliations"], "").alias("affiliations"),
         F.transform(
-            entity_decode_nested(F.col("_citations")),
+            unescape_nested(F.col("_citations")),
             lambda cell: F.transform(cell, lambda span: nbsp_normalise(span)),
         ).alias("citations_list"),
     )

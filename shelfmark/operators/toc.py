@@ -14,8 +14,8 @@ from shelfmark.functions.markup import (
     normal_tags,
     opening_tag,
 )
+from shelfmark.functions.entities import unescape
 from shelfmark.functions.text import (
-    entity_decode,
     issue_label,
     pinned,
     whitespace_strip,
@@ -44,8 +44,8 @@ def links_extract(pages: DataFrame, tag: str = "a", html: str = "html") -> DataF
     return raw.select(
         *kept,
         "position",
-        entity_decode(F.col("_href")).alias("href"),
-        whitespace_strip(entity_decode(F.col("_text"))).alias("text"),
+        unescape(F.col("_href")).alias("href"),
+        whitespace_strip(unescape(F.col("_text"))).alias("text"),
     )
 
 
@@ -113,9 +113,9 @@ def toc_issues_b(pages: DataFrame) -> DataFrame:
     )
     texts = parts.select(
         "journal",
-        pinned(entity_decode(F.col("_href"))).alias("issue_url"),
-        whitespace_strip(entity_decode(F.col("_link"))).alias("_link"),
-        whitespace_strip(entity_decode(F.col("_status"))).alias("_status"),
+        pinned(unescape(F.col("_href"))).alias("issue_url"),
+        whitespace_strip(unescape(F.col("_link"))).alias("_link"),
+        whitespace_strip(unescape(F.col("_status"))).alias("_status"),
     )
     return texts.select(
         "issue_url",

@@ -171,3 +171,9 @@ def test_reference_line(spark, line, strict, literal):
             *[c.alias(n) for n, c in ops.scopus_header(F.col("line"), compat).items()]
         ).first()
         assert tuple(found[n] for n in names) == expected
+
+
+def test_no_python_in_the_load(spark):
+    pages = spark.createDataFrame([("p.html", FULL)], "file_name string, html string")
+    plan = scopus_records(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.functions import text, urls
+from shelfmark.functions import entities, text, urls
 
 CASES = [
     (urls.issue_file_id_a, "https://www.jstor.org/stable/10.2307/i123", "i123.txt"),
@@ -50,10 +50,10 @@ CASES = [
     (text.year_from_status, "Pages 1-9 (April 2020)", "2020"),
     (text.year_from_status, "2020", "202"),
     (text.year_from_status, "", ""),
-    (text.entity_decode, "a &amp; b&nbsp;&eacute;&#8212;&lt;", "a & b é—<"),
-    (text.entity_decode, "&amp;nbsp;", "&nbsp;"),
-    (text.entity_decode, "plain", "plain"),
-    (text.entity_decode, None, None),
+    (entities.unescape, "a &amp; b&nbsp;&eacute;&#8212;&lt;", "a & b é—<"),
+    (entities.unescape, "&amp;nbsp;", "&nbsp;"),
+    (entities.unescape, "plain", "plain"),
+    (entities.unescape, None, None),
 ]
 
 
@@ -68,7 +68,7 @@ def test_issue_label(evaluate):
 
 def test_nested_entities(spark):
     row = spark.range(1).select(
-        text.entity_decode_nested(
+        entities.unescape_nested(
             F.array(F.array(F.lit("a&amp;b"), F.lit(None)), F.array(F.lit("c")))
         ).alias("x")
     )
