@@ -15,7 +15,7 @@ from shelfmark.operators.records import scopus_records
 from shelfmark.operators.toc import toc_rejected
 from shelfmark.plans import jobs
 from shelfmark.schemas import HOLDINGS
-from shelfmark.sources import files, sinks
+from shelfmark.sources import files, large, sinks
 from shelfmark.streaming import arrivals
 from shelfmark.streaming import exports as streaming
 
@@ -40,7 +40,10 @@ def issue_index(spark, args):
 
 def load_citations(spark, args):
     issues = files.scan_issues(spark, args.issues, args.format)
-    exports = files.scan_exports(spark, args.exports, PATTERNS[args.variant])
+    if args.compacted:
+        exports = large.compacted_exports(spark, args.exports)
+    else:
+        exports = files.scan_exports(spark, args.exports, PATTERNS[args.variant])
     if args.variant == "b":
         exports = files.named_issue(exports, issues, issue_file_id_b(F.col("issue_url")))
     loaded = parse_or_reject(exports, args.variant, args.compat)
@@ -97,6 +100,10 @@ def stream_exports(spark, args):
     query.awaitTermination()
 
 
+def compact_exports(spark, args):
+    large.compact_exports(spark, args.exports, args.out, args.state, PATTERNS[args.variant])
+
+
 def archive_queue(spark, args):
     issues = files.scan_issues(spark, args.issues, args.format)
     archive = issue_file_id_b(F.col("issue_url"), extension=".zip")
@@ -115,6 +122,7 @@ JOBS = {
     "load-citations": (load_citations, ["exports", "issues", "out"]),
     "load-records": (load_records, ["pages", "out"]),
     "work-queue": (work_queue, ["articles", "holdings", "start", "end", "out"]),
+    "compact-exports": (compact_exports, ["exports", "out", "state"]),
     "archive-queue": (archive_queue, ["issues", "archives", "start", "end", "out"]),
     "stream-arrivals": (stream_arrivals, ["files", "out", "state"]),
     "doi-list": (doi_list, ["articles", "holdings", "start", "end", "out"]),
@@ -157,6 +165,7 @@ def main(argv: list[str] | None = None) -> None:
         if "issues" not in needed:
             command.add_argument("--issues", default="")
         command.add_argument("--distinct", action="store_true")
+        command.add_argument("--compacted", action="store_true", help="--exports is a table of compact-exports")
         command.add_argument("--versioned", action="store_true", help="publish articles as versions")
         command.add_argument("--host", default="")
         command.add_argument("--floor", type=int, default=YEAR_FLOOR)

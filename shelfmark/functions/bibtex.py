@@ -20,7 +20,7 @@ _ASIDE = rf"(?i:{'|'.join(ASIDES)})"
 KEY = r"[\w.:+-]++"
 
 #: A new entry beyond doubt: one of the asides, or a type with a cite key and a comma.
-_START = rf"@\s*+(?:{_ASIDE}\s*+[{{(]|[A-Za-z]++\s*+[{{(]\s*+[^\s,{{}}=\"]*+\s*+,)"
+START = rf"@\s*+(?:{_ASIDE}\s*+[{{(]|[A-Za-z]++\s*+[{{(]\s*+[^\s,{{}}=\"]*+\s*+,)"
 
 
 def _nested(chunk: str) -> str:
@@ -34,7 +34,7 @@ def _nested(chunk: str) -> str:
 def _entry() -> str:
     # A line that starts an entry ends a value whose brace was never closed, so what such a value
     # costs ends there too.
-    line = rf"\n(?!\s*+{_START})"
+    line = rf"\n(?!\s*+{START})"
     braced = _nested(rf"[^{{}}\n]++|{line}")
     quoted = rf"\"(?:[^\"{{}}\n]++|{line}|\{{{braced}\}})*+\""
     chunk = rf"[^(){{}}\"\n]++|{line}|{quoted}|\"|\{{{braced}\}}"
@@ -42,7 +42,7 @@ def _entry() -> str:
     stray = rf"(?!\s*+(?:\}}|,\s*+{KEY}\s*+=))"
     return (
         rf"@\s*+[A-Za-z]++\s*+(?:\{{{braced}\}}{stray}|\({in_parentheses}\){stray}"
-        rf"|[{{(](?:[^@]++|(?!{_START})@)*+)"
+        rf"|[{{(](?:[^@]++|(?!{START})@)*+)"
     )
 
 

@@ -99,8 +99,12 @@ def citation_records(
     By default values may hold what elsewhere starts an entry or ends a field, as long as braces and
     quotes match, and macros are resolved by file; see `shelfmark.functions.bibtex`.
     """
+    return parsed_records(_with_macros(exports, dialect, compat, outer), dialect, compat)
+
+
+def parsed_records(pieces: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:
+    """`citation_records` of records already cut: rows `record` and, by default, `_macros`."""
     record = F.col("record")
-    pieces = _with_macros(exports, dialect, compat, outer)
     if compat:
         brace, comma = F.locate("{", record), F.locate(",", record)
         kind = F.when(brace > 0, F.substring(record, F.lit(1), brace - 1)).otherwise(

@@ -114,3 +114,8 @@ def test_archives_versions_and_parameters(spark, tmp_path):
     (files / "j_vol_2.bib").write_text("@article{k, title = {x}}")
     main(load)
     assert len(list((tmp_path / "load" / "articles" / "data").iterdir())) == 2
+    compact = ["compact-exports", "--exports", str(files), "--variant", "b", "--out", str(tmp_path / "table"), "--state", str(tmp_path / "seen")]
+    main(compact)
+    main(compact)
+    main([*load[:1], "--exports", str(tmp_path / "table"), *load[3:-1], str(tmp_path / "again"), "--compacted"])
+    assert scan_articles(spark, str(tmp_path / "again" / "articles")).count() == 4
