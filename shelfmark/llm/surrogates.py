@@ -23,6 +23,21 @@ GIVEN = {
     ("n", "cyrillic"): "Саша Женя Валя Слава Шура Миша".split(),
 }
 
+#: Parts of which further names are made, and their ends by gender; of as many parts as
+#: it takes, so no corpus uses them up.
+SYLLABLES = {
+    "latin": "ba be bi da de di ka ke ki la le li ma me mi na ne ni ra re ri sa se si ta te ti va ve vi".split(),
+    "cyrillic": "ба бе би да де ди ка ке ки ла ле ли ма ме ми на не ни ра ре ри са се си та те ти ва ве ви".split(),
+}
+ENDINGS = {
+    ("m", "latin"): "bert dan lek mir ron tor".split(),
+    ("f", "latin"): "dela lia nna ria tta vina".split(),
+    ("n", "latin"): "ey il ley lin ren wyn".split(),
+    ("m", "cyrillic"): "дан лав мир рон слав тор".split(),
+    ("f", "cyrillic"): "веста дана лина нна рия тта".split(),
+    ("n", "cyrillic"): "ля ня ря ся тя ша".split(),
+}
+
 _TITLE = "(?:" + "|".join(t for ts in TITLES.values() for t in ts) + ")"
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 
@@ -175,6 +190,16 @@ def _with_check_digit(digits: Column) -> Column:
     return F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((10 - total % 10) % 10).cast("string"))
 
 
+def _made_name(digest: Column, attempt: Column, gender: str, script: str) -> Column:
+    """A given name of a gender, of one part more with each attempt."""
+
+    def part(parts: list[str], i: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(x) for x in parts]), (F.pmod(F.xxhash64(digest, i), F.lit(len(parts))) + 1).cast("int"))
+
+    parts = F.transform(F.sequence(F.lit(0), attempt), lambda i: part(SYLLABLES[script], i))
+    return F.initcap(F.concat(F.array_join(parts, ""), part(ENDINGS[gender, script], F.lit(-1))))
+
+
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     """Replacement of a token: a function of key, type, value and attempt, and nothing else.
 
@@ -209,16 +234,18 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     for (gender, script), given in GIVEN.items():
         place = (F.pmod(F.xxhash64(digest), F.lit(len(given))) + 1).cast("int")
         listed = F.element_at(F.array(*[F.lit(g) for g in given]), place)
-        # The list is short: a name that meets another one there is drawn letter by letter next time.
-        out = out.when(kind == f"given-{gender}-{script}", F.when(attempt == 0, listed).otherwise(name))
+        # The list is short: a name that meets another one there is made of parts next time.
+        out = out.when(
+            kind == f"given-{gender}-{script}", F.when(attempt == 0, listed).otherwise(_made_name(digest, attempt, gender, script))
+        )
     shapeless = ~value.rlike(r"[\p{L}\p{N}]")
     out = out.when(kind.startswith("surname-"), name).when(shapeless, F.substr(digest, F.lit(1), F.lit(16))).otherwise(masked)
     tail = (
-        F.when((over < 1) | (kind == "email"), F.lit(""))
+        F.when((over < 1) | (kind == "email") | kind.startswith("given-"), F.lit(""))
         .when(kind.isin("card", "phone", "ssn"), drawn("0000"))
         .when(kind == "ipv4", F.concat(F.lit(":"), drawn("0000")))
         .when(kind.endswith("-cyrillic"), drawn("ба", names=True))
-        .when(kind.rlike("^(?:given|surname)-"), drawn("ba", names=True))
+        .when(kind.startswith("surname-"), drawn("ba", names=True))
         .otherwise(drawn("a0a0"))
     )
     return F.concat(out, tail)
@@ -275,15 +302,36 @@ def resolved(tokens: DataFrame, key: str) -> DataFrame:
         )
 
 
+#: Stands about the pieces found, while a text is cut at them.
+_MARK = "\x01"
+
+
 def _found(docs: DataFrame) -> DataFrame:
-    """`_kinds` and `_pieces` of each text: what stands there, in order; `_keys`, the key before a secret."""
+    """`docs` cut at what stands there, in one search of each text.
+
+    `_pieces` and their `_kinds` in order; `_keys`, the key before a secret; `_between`, what stands
+    before, between and after them. `text` stays where there are none.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
-    pieces = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+    marked = F.split(F.regexp_replace(text, ANY, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    cut = let(
+        marked,
+        lambda parts: F.struct(
+            F.filter(parts, lambda _, i: i % 2 == 1).alias("pieces"), F.filter(parts, lambda _, i: i % 2 == 0).alias("between")
+        ),
+    )
+    # A text that has the mark itself is searched twice instead.
+    twice = F.struct(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("pieces"), F.split(text, ANY, -1).alias("between"))
+    nothing = F.struct(none.alias("pieces"), none.alias("between"))
+    parts = F.when(~text.rlike(HINT), nothing).when(F.contains(text, F.lit(_MARK)), twice).otherwise(cut)
+    found = docs.withColumn("_rid", _row_key()).withColumn("_cut", parts)
+    found = found.withColumns({"_pieces": F.col("_cut.pieces"), "_between": F.col("_cut.between")}).drop("_cut")
     keys = F.transform("_pieces", lambda e: F.regexp_extract(e, f"^(?:{SECRET_KEY})(?=.)", 0))
     values = F.zip_with("_pieces", "_keys", lambda e, k: F.substr(e, F.length(k) + 1))
-    found = docs.withColumn("_pieces", pieces).withColumn("_keys", keys).withColumn("_pieces", values)
-    return found.withColumn("_kinds", F.transform("_pieces", kind_of))
+    found = found.withColumn("_keys", keys).withColumn("_pieces", values)
+    left = F.when(F.size("_pieces") == 0, F.col("text").cast("string"))
+    return found.withColumns({"_kinds": F.transform("_pieces", kind_of), "text": left})
 
 
 def _row_key() -> Column:
@@ -295,16 +343,18 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     """`docs` with personal data in `text` replaced, `n_entities` and `kinds` (sorted, distinct).
 
     The same mail address, number or name gets the same surrogate throughout the corpus, written
-    the way it stood; different ones of a type get different ones. A surrogate depends on the key and
-    the value alone, so texts are rewritten where they are read, and only documents with a value
-    that had to be drawn again are joined with a list.
+    the way it stood; different ones of a type get different ones. Names found with a title are also
+    replaced where they stand alone in the same text. Each text is searched once and written cut at
+    what was found. A surrogate depends on the key and the value alone, so only documents with a
+    value that had to be drawn again are joined with a list.
 
     Null text stays null and has no entities. Repeated rows are replaced alike. Other columns pass
     through, but those named `n_entities` or `kinds` are replaced. An empty table gives an empty one.
     """
     docs = docs.drop("n_entities", "kinds")
+    found = kept(_found(docs), "cut-texts")
     per_piece = F.flatten(F.zip_with("_pieces", "_kinds", tokens_of))
-    held = _found(docs).where(F.size("_pieces") > 0).select(_row_key().alias("rid"), per_piece.alias("tokens"))
+    held = found.where(F.size("_pieces") > 0).select(F.col("_rid").alias("rid"), per_piece.alias("tokens"))
     held = kept(held, "private")
     tokens = held.select("rid", F.inline("tokens"))
     settled = resolved(tokens, key)
@@ -314,7 +364,6 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
         ),
         "redrawn",
     )
-    found = _found(docs)
     if not redrawn.isEmpty():
         named = kept(tokens.select("rid", F.concat_ws("|", "kind", "value").alias("token")).distinct(), "named")
         lists = (
@@ -322,9 +371,7 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
             .groupBy("rid")
             .agg(F.map_from_entries(F.collect_list(F.struct("token", "attempt"))).alias("_attempts"))
         )
-        found = found.withColumn("_rid", _row_key()).join(
-            kept(lists, "attempts").withColumnRenamed("rid", "_rid"), "_rid", "left"
-        )
+        found = found.join(kept(lists, "attempts").withColumnRenamed("rid", "_rid"), "_rid", "left")
     else:
         found = found.withColumn("_attempts", F.lit(None).cast("map<string,int>"))
 
@@ -333,19 +380,36 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
         attempt = F.coalesce(F.try_element_at(F.col("_attempts"), token), F.lit(0))
         return surrogate(t["kind"], t["value"], attempt, key)
 
-    def new(e: Column, kind: Column) -> Column:
-        return let(F.transform(tokens_of(e, kind), one), lambda made: _formatted(e, kind, made))
-
-    replaced = F.zip_with("_keys", F.zip_with("_pieces", "_kinds", new), lambda k, made: F.concat(k, made))
-    between = F.split(F.col("text").cast("string"), ANY, -1)
-    rebuilt = F.array_join(F.flatten(F.zip_with("_between", "_new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
-    text = F.when(F.size("_pieces") > 0, rebuilt).otherwise(F.col("text").cast("string"))
-    empty = F.array().cast("array<string>")
-    out = found.withColumns(
-        {"_new": replaced, "_between": F.when(F.size("_pieces") > 0, between).otherwise(empty)}
+    made = F.zip_with("_pieces", "_kinds", lambda e, kind: F.transform(tokens_of(e, kind), one))
+    out = found.withColumn("_made", made)
+    new = F.zip_with(
+        F.arrays_zip("_pieces", "_kinds"), "_made", lambda x, m: _formatted(x["_pieces"], x["_kinds"], m)
     )
+    replaced = F.zip_with("_keys", new, lambda k, m: F.concat(k, m))
+    out = out.withColumns({"_new": replaced, "_between": _without_names()})
+    rebuilt = F.array_join(F.flatten(F.zip_with("_between", "_new", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    text = F.when(F.size("_pieces") > 0, rebuilt).otherwise(F.col("text"))
     return out.select(
         *[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
         F.size("_pieces").cast("long").alias("n_entities"),
         F.array_join(F.array_sort(F.array_distinct("_kinds")), ",").alias("kinds"),
     )
+
+
+def _without_names() -> Column:
+    """`_between` with the names of persons found in the text, where they stand alone, replaced too."""
+
+    def of(x: Column, made: Column) -> Column:
+        words = F.slice(F.split(x["_pieces"], " "), 2, 2)
+        pairs = F.zip_with(words, made, lambda w, m: F.struct(w.alias("old"), m.alias("new")))
+        return F.when(x["_kinds"] == "person", pairs).otherwise(F.array().cast("array<struct<old:string,new:string>>"))
+
+    names = F.array_distinct(F.flatten(F.zip_with(F.arrays_zip("_pieces", "_kinds"), "_made", of)))
+
+    def replaced(parts: Column, name: Column) -> Column:
+        alone = F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), name["old"], F.lit(r"\E(?![\p{L}\p{N}])"))
+        return F.transform(parts, lambda part: F.regexp_replace(part, alone, name["new"]))
+
+    return F.when(
+        F.array_contains("_kinds", "person"), F.aggregate(names, F.col("_between"), replaced)
+    ).otherwise(F.col("_between"))

@@ -607,3 +607,73 @@ def test_every_row_is_a_candidate(spark):
         for rank, (score, _, _, i) in enumerate(sorted(others)[:3], 1):
             expected[q, rank, i, -score] += 1
     assert found == expected
+
+
+def test_names_keep_gender_and_differ(spark):
+    """A thousand women and men, every listed name among the real ones."""
+    import random
+
+    rng = random.Random(11)
+    rows, real = [], {"f": set(), "m": set()}
+    for gender, title in (("f", "Mrs."), ("m", "Mr.")):
+        names = set(surrogates.GIVEN[gender, "latin"])
+        while len(names) < 1000:
+            names.add("".join(rng.choices("abcdefghijklmnoprstuv", k=rng.randint(4, 8))).title())
+        real[gender] = names
+        rows += [(n, gender, f"{title} {n} Kern came.") for n in sorted(names)]
+    docs = spark.createDataFrame([(i, text) for i, (_, _, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"].split() for r in surrogates.replace_private(docs, "k").collect()}
+    for gender, title in (("f", "Mrs."), ("m", "Mr.")):
+        made = [found[i][1] for i, (_, g, _) in enumerate(rows) if g == gender]
+        assert all(found[i][0] == title for i, (_, g, _) in enumerate(rows) if g == gender)
+        assert len(set(made)) == 1000 and not set(made) & real[gender]
+        ends = tuple(surrogates.ENDINGS[gender, "latin"])
+        assert all(n in surrogates.GIVEN[gender, "latin"] or n.endswith(ends) for n in made)
+    assert len({f[2] for f in found.values()}) == 1
+
+
+def test_bare_names_go_too(spark):
+    texts = [
+        "Mrs. Anna Kern. Anna said Kern left; Annabel and kern stay. Герр Anna-Kern",
+        "Anna and Kern are not named here.",
+        "Dr. Kern met Mr. Paul Kern. Paul's (Kern) x@kern.de",
+        "a \x01 mark, Mr. Paul Kern, Paul and 4111 1111 1111 1111",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in surrogates.replace_private(docs, "k").collect()}
+    title, given, surname = found[0].split(".")[0], found[0].split()[1], found[0].split()[2].rstrip(".")
+    assert title == "Mrs" and found[0] == f"Mrs. {given} {surname}. {given} said {surname} left; Annabel and kern stay. Герр {given}-{surname}"
+    assert found[1] == texts[1]
+    assert found[2].count(surname) == 3 and "Paul" not in found[2] and "Kern" not in found[2]
+    assert "\x01" in found[3] and "Paul" not in found[3] and "4111" not in found[3] and surname in found[3]
+
+
+def replaced_by_hand(text, made):
+    """The text with its entities, found by one plain pattern each, replaced from `made`."""
+    return re.sub(r"[a-z0-9.]+@[a-z0-9.]+|\b\d{3}-\d{2}-\d{4}\b", lambda m: made[m[0]], text)
+
+
+def test_replacement_by_hand(spark):
+    """Texts of plain entities: everything else stays, each value has one surrogate of its form."""
+    import random
+
+    rng = random.Random(12)
+    values = [f"user{i}@host{i % 7}.org" for i in range(40)] + [f"{100 + i}-{10 + i}-{1000 + i}" for i in range(40)]
+    texts = []
+    for _ in range(120):
+        parts = [rng.choice([rng.choice(values), "plain", "words, and", "\n", "12 x"]) for _ in range(rng.randint(0, 12))]
+        texts.append(" ".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in surrogates.replace_private(docs, "k").collect()}
+    made = {}
+    for i, text in enumerate(texts):
+        old = [w for w in re.split(r"[ \n]+", text) if w in values]
+        new = [w for w, o in zip(re.split(r"[ \n]+", rows[i]["text"]), re.split(r"[ \n]+", text)) if o in values]
+        assert rows[i]["n_entities"] == len(old) == len(new)
+        for o, n in zip(old, new):
+            assert made.setdefault(o, n) == n
+    assert len(set(made.values())) == len(made) and not set(made.values()) & set(values)
+    for o, n in made.items():
+        assert re.fullmatch(r"[a-z0-9.]+@[a-z0-9.]+" if "@" in o else r"\d{3}-\d{2}-\d{4}", n)
+    for i, text in enumerate(texts):
+        assert rows[i]["text"] == replaced_by_hand(text, made)
