@@ -17,6 +17,11 @@ CHUNKS = (64, 256, 1024, 2048)
 #: Non-essential terms probed between two checks of a candidate's bound.
 PROBE = 8
 
+#: Share of all pairs of a chunk above which non-essential terms are not probed pair by pair.
+DENSE = 0.01
+#: Vectors whose scores give a query its first threshold, so that no task starts without one.
+PROBES = 2048
+
 HITS = "query_row long, query_id long, vec_id long, row long, score long"
 
 
@@ -45,12 +50,13 @@ class Shard:
     together cannot lift a vector from the lows to the query's threshold.
     """
 
-    def __init__(self, rows, vectors, k: int) -> None:
+    def __init__(self, rows, vectors, k: int, floor) -> None:
+        """`floor`: a score that each query's k-th best is known to reach."""
         import numpy as np
 
         self.rows, self.q, self.k = rows, vectors, k
         self.scores = np.empty((0, 4), dtype=np.int64)
-        self.floor = np.full(len(rows), -np.inf)
+        self.floor = floor.copy()
 
     def add(self, rows, ties, x) -> None:
         """Score the vectors `x` of some `rows`, of which equal ones go by `ties`."""
@@ -81,6 +87,12 @@ class Shard:
         # Essential terms of all vectors, then the others for those that can still reach it.
         part = _product(np.where(rest, 0, q), x) + base[:, None]
         qi, vi = np.nonzero(part + slack[:, None] >= floor[:, None])
+        if len(qi) > DENSE * part.size:
+            # So many compete that the other terms cost less as one product, too.
+            part += _product(np.where(rest, q, 0), x) - base[:, None]
+            qi, vi = np.nonzero(part >= floor[:, None])
+            self._merge_hits(active[qi], vi, part[qi, vi], rows, ties)
+            return
         score = part[qi, vi]
         left = slack[qi]
         most = int(sorted_rest.sum(axis=1).max(initial=0))
@@ -94,7 +106,11 @@ class Shard:
             left = left - g[qi]
             on = score + left >= floor[qi]
             qi, vi, score, left = qi[on], vi[on], score[on], left[on]
-        qi = active[qi]
+        self._merge_hits(active[qi], vi, score, rows, ties)
+
+    def _merge_hits(self, qi, vi, score, rows, ties) -> None:
+        import numpy as np
+
         other = self.rows[qi] != rows[vi]
         qi, vi, score = qi[other], vi[other], score[other]
         new = np.stack([qi, ties[vi], score.astype(np.int64), rows[vi]], axis=1)
@@ -109,7 +125,7 @@ class Shard:
         place = np.arange(len(rows)) - first
         self.scores = rows[place < self.k]
         last = rows[place == self.k - 1]
-        self.floor[last[:, 0]] = last[:, 2]
+        self.floor[last[:, 0]] = np.maximum(self.floor[last[:, 0]], last[:, 2])
 
 
 def _product(q, x):
@@ -134,11 +150,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         blocks = -(-size["n"] // QUERY_BLOCK)
         own = queries.where(F.size("v") == size["d"])
         fit = vectors.where(F.size("v") == size["d"])
+        # Any vectors do: their scores only tell how good a hit must be at least.
+        probes = fit.limit(PROBES).collect()
         for block in range(blocks):
             rows = own.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block).collect()
             if not rows:
                 continue
-            hits = _block_hits(fit, rows, k)
+            hits = _block_hits(fit, rows, k, probes)
             hits.write.mode("append").parquet(folder)
     hits = spark.read.schema(HITS).parquet(folder)
     best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row")
@@ -150,12 +168,26 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 _NAMELESS = (1 << 63) - 1
 
 
-def _block_hits(vectors: DataFrame, queries: list, k: int) -> DataFrame:
+def _floor(own, weights, k: int, probes: list):
+    """The k-th best score of each query among `probes`, less what rounding could add."""
+    import numpy as np
+
+    x = np.array([r["v"] for r in probes], dtype=np.float64).reshape(len(probes), -1)
+    score = weights.astype(np.float64) @ x.T
+    score[own[:, None] == np.array([r["row"] for r in probes])] = -np.inf
+    if len(probes) < k:
+        return np.full(len(own), -np.inf)
+    size = np.abs(weights).sum(axis=1) * np.abs(x).max(initial=0.0)
+    return np.partition(score, len(probes) - k, axis=1)[:, len(probes) - k] - 1e-9 * size - 1
+
+
+def _block_hits(vectors: DataFrame, queries: list, k: int, probes: list) -> DataFrame:
     import numpy as np
 
     own = np.array([r["row"] for r in queries], dtype=np.int64)
     ids = np.array([r["vec_id"] for r in queries], dtype=np.int64)
     weights = np.array([r["v"] for r in queries], dtype=np.int64).reshape(len(queries), -1)
+    floor = _floor(own, weights, k, probes)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -171,7 +203,7 @@ def _block_hits(vectors: DataFrame, queries: list, k: int) -> DataFrame:
             top = float(np.abs(values).max(initial=0)) * float(np.abs(weights).max(initial=0))
             kind = np.float64 if top * max(1, values.shape[1]) < 2**52 else np.int64
             if shard is None:
-                shard = Shard(own, weights.astype(kind), k)
+                shard = Shard(own, weights.astype(kind), k, floor)
             elif kind is np.int64:
                 shard.q = weights
             at = 0
