@@ -1,7 +1,8 @@
-"""Licence scan: a positional index of licence texts, looked up by each text's rarest word."""
+"""Licence scan: a positional index of licence texts, looked up by a file's rarest licence words."""
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from math import log
 
@@ -30,9 +31,8 @@ class Template:
     phrases: tuple[str, ...]
 
 
-#: Wording of public licences and of their usual notices, in lower case words.
-TEMPLATES = (
-    Template("mit-notice", "released under the mit license", ("mit license",)),
+#: Wording of public licences, in lower case words.
+TEXTS = (
     Template(
         "mit-text",
         "permission is hereby granted free of charge to any person obtaining a copy of this"
@@ -40,83 +40,240 @@ TEMPLATES = (
         " without restriction",
         ("hereby granted free", "associated documentation files", "without restriction"),
     ),
-    Template(
-        "apache-2.0",
-        "licensed under the apache license version 2 0",
-        ("apache license version 2 0",),
-    ),
-    Template(
-        "gpl-3",
-        "licensed under the gnu general public license version 3",
-        ("gnu general public license version 3",),
-    ),
-    Template(
-        "gpl-2",
-        "licensed under the gnu general public license version 2",
-        ("gnu general public license version 2",),
-    ),
-    Template("cc-by-nc-4.0", "licensed under cc by nc 4 0", ("licensed", "cc", "nc 4 0")),
-    Template("cc-by-4.0", "licensed under cc by 4 0", ("licensed", "cc", "4 0")),
     Template(
         "bsd",
         "redistribution and use in source and binary forms with or without modification are"
         " permitted provided that the following conditions are met",
-        ("redistribution", "binary forms", "following conditions"),
+        ("redistribution", "binary forms", "following conditions are met"),
     ),
     Template(
         "mpl-2.0",
         "this source code form is subject to the terms of the mozilla public license v 2 0",
         ("mozilla public license v 2 0",),
     ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or"
+        " without fee is hereby granted",
+        ("copy modify and or distribute this software", "without fee", "hereby granted"),
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        ("free and unencumbered software",),
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event"
+        " will the authors be held liable for any damages",
+        ("express or implied warranty", "authors be held liable"),
+    ),
+)
+
+#: Labels and the names that notices give their licences.
+NAMES = (
+    ("mit-notice", "mit license"),
+    ("isc", "isc license"),
+    ("zlib", "zlib license"),
+    ("bsd", "bsd license"),
+    ("bsd-2-clause", "bsd 2 clause license"),
+    ("bsd-3-clause", "bsd 3 clause license"),
+    ("apache-2.0", "apache license version 2 0"),
+    ("apache-2.0", "apache license 2 0"),
+    ("apache-1.1", "apache software license version 1 1"),
+    ("mpl-2.0", "mozilla public license version 2 0"),
+    ("mpl-2.0", "mozilla public license 2 0"),
+    ("mpl-1.1", "mozilla public license version 1 1"),
+    ("epl-2.0", "eclipse public license version 2 0"),
+    ("epl-2.0", "eclipse public license 2 0"),
+    ("epl-1.0", "eclipse public license v 1 0"),
+    ("bsl-1.0", "boost software license version 1 0"),
+    ("artistic-2.0", "artistic license version 2 0"),
+    ("artistic-2.0", "artistic license 2 0"),
+    ("ofl-1.1", "sil open font license version 1 1"),
+    ("odbl-1.0", "open database license version 1 0"),
+    ("cc0-1.0", "cc0 1 0 universal"),
+    ("cc-by-4.0", "cc by 4 0"),
+    ("cc-by-sa-4.0", "cc by sa 4 0"),
+    ("cc-by-nc-4.0", "cc by nc 4 0"),
+    ("cc-by-nd-4.0", "cc by nd 4 0"),
+    ("cc-by-nc-sa-4.0", "cc by nc sa 4 0"),
+    ("cc-by-nc-nd-4.0", "cc by nc nd 4 0"),
+    ("cc-by-4.0", "creative commons attribution 4 0"),
+    ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0"),
+    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0"),
+    ("cc-by-nd-4.0", "creative commons attribution noderivatives 4 0"),
+)
+#: The GNU licences by family, with their versions and labels.
+GNU = (
+    ("gnu general public license", (("1", "gpl-1"), ("2", "gpl-2"), ("3", "gpl-3"))),
+    ("gnu lesser general public license", (("2 1", "lgpl-2.1"), ("3", "lgpl-3"))),
+    ("gnu library general public license", (("2", "lgpl-2"),)),
+    ("gnu affero general public license", (("3", "agpl-3"),)),
+)
+#: How a GNU licence's version is named, and words before any licence's name.
+VERSIONS = (
+    "{} version {}",
+    "{} v {}",
+    "{} as published by the free software foundation either version {}",
+)
+LEADS = (
+    "available under the",
+    "distributed under the",
+    "released under the",
+    "under the terms of the",
+    "licensed under the",
+    "licensed under",
+)
+#: Machine-readable licence identifiers, as words, and their labels.
+IDENTIFIERS = (
+    ("mit", "mit-notice"),
+    ("isc", "isc"),
+    ("zlib", "zlib"),
+    ("unlicense", "unlicense"),
+    ("apache 2 0", "apache-2.0"),
+    ("bsd 2 clause", "bsd-2-clause"),
+    ("bsd 3 clause", "bsd-3-clause"),
+    ("mpl 2 0", "mpl-2.0"),
+    ("epl 2 0", "epl-2.0"),
+    ("bsl 1 0", "bsl-1.0"),
+    ("artistic 2 0", "artistic-2.0"),
+    ("ofl 1 1", "ofl-1.1"),
+    ("gpl 2 0", "gpl-2"),
+    ("gpl 3 0", "gpl-3"),
+    ("lgpl 2 1", "lgpl-2.1"),
+    ("lgpl 3 0", "lgpl-3"),
+    ("agpl 3 0", "agpl-3"),
+    ("cc0 1 0", "cc0-1.0"),
+    ("cc by 4 0", "cc-by-4.0"),
+    ("cc by sa 4 0", "cc-by-sa-4.0"),
+    ("cc by nc 4 0", "cc-by-nc-4.0"),
 )
 
-#: Words too common to look up; a template is matched by its other words, at their places.
+#: Words too common to look up; in a phrase any word but a licence word may stand in their place.
 COMMON = frozenset(
-    "a an and any are as by for in is of or that the this to under use with you".split()
+    "a an and any are as be by for in into is it no of or that the this to under use will with you".split()
 )
+#: Words of which only the ones beside another licence word count, as prose is full of them.
+LINKED = frozenset("mit nc nd sa v 0 1 2 3 4".split())
 
 
 def _content(text: str) -> list[tuple[int, str]]:
     return [(i, w) for i, w in enumerate(text.split()) if w not in COMMON]
 
 
-VOCABULARY = sorted(
-    {w for t in TEMPLATES for _, w in _content(t.text)}
-    | {w for phrase, _ in BASE_PHRASES for w in phrase.split()}
-)
-_ID = {w: i for i, w in enumerate(VOCABULARY)}
-#: Words of which only the ones beside another licence word count, as prose is full of them.
-_LINKED = {"mit", "0", "2", "3", "4", "v"}
+def _notices() -> list[Template]:
+    """Every name after every lead; a name of two words is mandatory with its lead."""
+    names = [*NAMES] + [
+        (label, form.format(family, version))
+        for family, versions in GNU
+        for version, label in versions
+        for form in VERSIONS
+    ]
+    found = []
+    for label, name in names:
+        for lead in LEADS:
+            whole = f"{lead} {name}"
+            found.append(Template(label, whole, (name if len(_content(name)) > 2 else whole,)))
+    return found
+
+
+def default_templates() -> list[Template]:
+    marked = [(label, f"spdx license identifier {words}") for words, label in IDENTIFIERS]
+    return [*_notices(), *(Template(label, text, (text,)) for label, text in marked), *TEXTS]
+
+
+#: Bytes of the index as JSON; it travels with every task.
+INDEX_BYTES = 4 << 20
+#: A window's rarest words whose postings are intersected.
+RAREST = 2
+_ORIGIN_BITS = 33
+
 
+class TemplateIndex:
+    """Positional postings of the words of `templates`, as literals of bounded size.
 
-def _places(template: Template) -> list[int]:
-    """Offsets in the template of the words of its mandatory phrases."""
-    words, found = template.text.split(), []
-    for phrase in template.phrases:
-        parts = phrase.split()
-        start = next(
-            i for i in range(len(words)) if words[i : i + len(parts)] == parts
+    `window`: every template has a mandatory phrase of as many licence words, or more. `reach`: the
+    most places apart that the first and last of so many in a phrase stand.
+    """
+
+    def __init__(self, templates: list[Template]):
+        self.templates = list(templates)
+        texts = [_content(t.text) for t in self.templates]
+        base = {w for phrase, _ in BASE_PHRASES for w in phrase.split()}
+        self.vocabulary = sorted({w for words in texts for _, w in words} | base)
+        self.ids = {w: i for i, w in enumerate(self.vocabulary)}
+        phrases = [[self._phrase(t, p) for p in t.phrases] for t in self.templates]
+        self.window = min(max(map(len, own)) for own in phrases)
+        if self.window < RAREST:
+            raise ValueError(f"a template needs a phrase of {RAREST} licence words")
+        self.span = max(len(t.text.split()) for t in self.templates)
+        self.reach = max(
+            places[k + self.window - 1] - places[k]
+            for own in phrases
+            for places in own
+            for k in range(len(places) - self.window + 1)
+        )
+        postings: list[list[dict]] = [[] for _ in self.vocabulary]
+        for t, own in enumerate(phrases):
+            words = dict(texts[t])
+            for p in sorted({p for places in own for p in places}):
+                postings[self.ids[words[p]]].append({"t": t, "p": p})
+        rows = [
+            {
+                "label": t.label,
+                "expected": [self.ids.get(w, -1) if w not in COMMON else -1 for w in t.text.split()],
+                "size": len(texts[i]),
+                "phrases": [
+                    [{"p": p, "w": self.ids[dict(texts[i])[p]]} for p in places] for places in phrases[i]
+                ],
+            }
+            for i, t in enumerate(self.templates)
+        ]
+        self.postings = self._literal(postings, "array<array<struct<t:bigint,p:bigint>>>")
+        self.rows = self._literal(
+            rows,
+            "array<struct<label:string,expected:array<int>,size:int,"
+            "phrases:array<array<struct<p:bigint,w:int>>>>>",
         )
-        found += [i for i in range(start, start + len(parts)) if words[i] not in COMMON]
-    return sorted(set(found))
 
+    def _phrase(self, template: Template, phrase: str) -> list[int]:
+        """Places in the template of the phrase's licence words."""
+        words, parts = template.text.split(), phrase.split()
+        start = next(i for i in range(len(words)) if words[i : i + len(parts)] == parts)
+        places = [i for i in range(start, start + len(parts)) if words[i] not in COMMON]
+        for i in places:
+            beside = {i - 1, i + 1} & {*places}
+            if words[i] in LINKED and not beside:
+                raise ValueError(f"{words[i]!r} stands alone in {phrase!r}")
+        return places
+
+    @staticmethod
+    def _literal(value: list, schema: str) -> Column:
+        text = json.dumps(value, separators=(",", ":"))
+        if len(text) > INDEX_BYTES:
+            raise ValueError(f"index of {len(text)} bytes, at most {INDEX_BYTES}")
+        return F.from_json(F.lit(text), schema)
+
+
+TEMPLATES = default_templates()
 
-def license_hits(docs: DataFrame, text: str = "text") -> DataFrame:
+
+def license_hits(docs: DataFrame, index: TemplateIndex, text: str = "text") -> DataFrame:
     """`docs` without the text: `n_words`, and `hits`, the licence words with their places."""
+    vocabulary = index.vocabulary
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(LICENSE_WORD), F.lit(0))
-    free = [w for w in VOCABULARY if w not in _LINKED]
-    linked = sorted(_LINKED & set(VOCABULARY))
+    free = [w for w in vocabulary if w not in LINKED]
+    linked = sorted(LINKED & set(vocabulary))
 
     def hit(all_words: Column):
         def one(w: Column, i: Column) -> Column:
-            beside = F.get(all_words, i + 1).isin(VOCABULARY) | F.get(all_words, i - 1).isin(
-                VOCABULARY
-            )
+            beside = F.get(all_words, i + 1).isin(vocabulary) | F.get(all_words, i - 1).isin(vocabulary)
             return F.when(w.isin(free) | (w.isin(linked) & beside), F.struct(i.alias("i"), w.alias("w")))
 
         return one
 
-    listed = F.array(*[F.lit(w) for w in VOCABULARY])
+    listed = F.array(*[F.lit(w) for w in vocabulary])
     counted = docs.withColumn("_words", words)
     found = F.filter(F.transform("_words", hit(F.col("_words"))), lambda h: h.isNotNull())
     hits = F.transform(
@@ -132,7 +289,7 @@ def license_hits(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def word_weights(hits: DataFrame) -> list[float]:
+def word_weights(hits: DataFrame, index: TemplateIndex) -> list[float]:
     """Inverse document frequency of each vocabulary word over all documents (one row a word)."""
     n = hits.count()
     seen = (
@@ -141,11 +298,11 @@ def word_weights(hits: DataFrame) -> list[float]:
         .agg(F.count("*").alias("n"))
     )
     df = {r["w"]: r["n"] for r in seen.collect()}
-    return [log((n + 1) / (df.get(i, 0) + 1)) for i in range(len(VOCABULARY))]
+    return [log((n + 1) / (df.get(i, 0) + 1)) for i in range(len(index.vocabulary))]
 
 
-def _phrase_places(hits: Column, phrase: str) -> Column:
-    ids = [_ID[w] for w in phrase.split()]
+def _phrase_places(hits: Column, index: TemplateIndex, phrase: str) -> Column:
+    ids = [index.ids[w] for w in phrase.split()]
 
     def stands(h: Column, j: Column) -> Column:
         ok = h["w"] == ids[0]
@@ -157,81 +314,80 @@ def _phrase_places(hits: Column, phrase: str) -> Column:
     return F.transform(F.filter(hits, stands), lambda h: h["i"])
 
 
-def _anchors(weights: list[float]) -> list[tuple[int, int]]:
-    """Place and word of each template's rarest mandatory word, which every occurrence has."""
-    words = [{p: _ID[w] for p, w in _content(t.text)} for t in TEMPLATES]
-    places = [min(_places(t), key=lambda p: (-weights[of[p]], p)) for t, of in zip(TEMPLATES, words)]
-    return [(p, of[p]) for p, of in zip(places, words)]
-
-
-def match_templates(hits: Column, weights: list[float]) -> Column:
+def match_templates(hits: Column, index: TemplateIndex, weights: list[float]) -> Column:
     """`array<struct<label, score>>` of the templates found in one file's hits.
 
-    Each template is looked up by its own rarest mandatory word: every hit of that word gives the place
-    where the template would begin. There the hits nearby are held against the template's words; it
-    is found if all words of its mandatory phrases stand in place, and scores the share of its words
-    that do. As no occurrence lacks a mandatory word, none is missed, whatever else the file
-    holds. A proposal takes as many steps as a template has words, so all is linear in the hits.
+    A window is `index.window` hits in a row that lie within `index.reach` words. The postings of its
+    two rarest words (highest IDF; ties to the lesser word) are moved to where their templates would
+    begin, and intersected; what both propose is verified. A template is found if the words of each of its
+    mandatory phrases stand in place with no licence word between them, and scores the share of its
+    words that do. None is missed, whatever else the file holds: the hits on a mandatory phrase follow
+    one another, so some window lies on its words alone, and any two of these propose the template.
+    Windows and proposals take bounded steps each, so all is linear in the hits.
     """
-    anchors = _anchors(weights)
-    none = F.array().cast("array<struct<t:int,p:bigint>>")
-    posting = F.array(
-        *[
-            F.array(
-                *[
-                    F.struct(F.lit(t).alias("t"), F.lit(p).cast("long").alias("p"))
-                    for t, (p, w) in enumerate(anchors)
-                    if w == word
-                ]
-            )
-            if any(w == word for _, w in anchors)
-            else none
-            for word in range(len(VOCABULARY))
-        ]
-    )
-    spans = [len(t.text.split()) for t in TEMPLATES]
-    expected = F.array(
-        *[
-            F.array(*[F.lit(-1 if w in COMMON else _ID[w]) for w in t.text.split()])
-            for t in TEMPLATES
-        ]
-    )
-    sizes = F.array(*[F.lit(len(_content(t.text))) for t in TEMPLATES])
-    needed = F.array(*[F.array(*[F.lit(p).cast("long") for p in _places(t)]) for t in TEMPLATES])
-    labels = F.array(*[F.lit(t.label) for t in TEMPLATES])
+    order = sorted(range(len(weights)), key=lambda i: (-weights[i], i))
+    rank = F.array(*[F.lit(r) for r in sorted(range(len(order)), key=lambda r: order[r])])
+    size = index.window
+
+    def together(w: Column) -> Column:
+        apart = F.get(w, F.lit(size - 1))["i"] - F.get(w, F.lit(0))["i"]
+        return (F.size(w) == size) & (apart <= index.reach)
 
-    def proposals(h: Column, j: Column) -> Column:
+    def rarest(w: Column) -> Column:
+        ranked = F.transform(w["hits"], lambda h: F.struct(F.get(rank, h["w"]).alias("r"), h["i"], h["w"]))
+        return F.struct(w["j"].alias("j"), F.slice(F.array_sort(ranked), 1, RAREST).alias("two"))
+
+    def origins(h: Column) -> Column:
+        """Template and beginning, in one number, which an intersection hashes."""
         return F.transform(
-            F.element_at(posting, h["w"] + 1),
-            lambda a: F.struct(a["t"].alias("t"), (h["i"] - a["p"]).alias("o"), j.alias("j")),
+            F.get(index.postings, h["w"]),
+            lambda a: F.shiftleft(a["t"], _ORIGIN_BITS) + (h["i"] - a["p"] + index.span),
+        )
+
+    def proposals(w: Column) -> Column:
+        both = F.array_intersect(origins(F.get(w["two"], F.lit(0))), origins(F.get(w["two"], F.lit(1))))
+        return F.transform(
+            both,
+            lambda x: F.struct(
+                F.shiftright(x, _ORIGIN_BITS).cast("int").alias("t"),
+                (x.bitwiseAND(F.lit((1 << _ORIGIN_BITS) - 1)) - index.span).alias("o"),
+                w["j"].alias("j"),
+            ),
         )
 
     def held(x: Column) -> Column:
-        """Template, and the places in it whose words stand there."""
-        words = F.element_at(expected, x["t"] + 1)
+        """The template, and the licence words on its places."""
         # Hits lie on different words, so a template's are among as many on either side.
-        first = F.greatest(x["j"] + 2 - max(spans), F.lit(1))
-        near = F.slice(hits, first, F.lit(2 * max(spans)))
-        there = F.filter(near, lambda h: F.get(words, (h["i"] - x["o"]).cast("int")) == h["w"])
-        return F.struct(x["t"].alias("t"), F.transform(there, lambda h: h["i"] - x["o"]).alias("there"))
-
-    def holds(x: Column) -> Column:
-        return F.size(F.array_except(F.element_at(needed, x["t"] + 1), x["there"])) == 0
-
-    return F.transform(
-        F.filter(F.transform(F.flatten(F.transform(hits, proposals)), held), holds),
-        lambda x: F.struct(
-            F.element_at(labels, x["t"] + 1).alias("label"),
-            (F.size(x["there"]) / F.element_at(sizes, x["t"] + 1)).alias("score"),
-        ),
-    )
+        near = F.slice(hits, F.greatest(x["j"] + 2 - index.span, F.lit(1)), F.lit(2 * index.span))
+        moved = F.transform(near, lambda h: F.struct((h["i"] - x["o"]).alias("p"), h["w"].alias("w")))
+        return F.struct(F.get(index.rows, x["t"]).alias("t"), moved.alias("on"))
+
+    def stands(x: Column):
+        def one(phrase: Column) -> Column:
+            first, last = F.get(phrase, F.lit(0))["p"], F.element_at(phrase, -1)["p"]
+            return F.filter(x["on"], lambda h: h["p"].between(first, last)) == phrase
+
+        return one
+
+    def share(x: Column) -> Column:
+        right = F.filter(x["on"], lambda h: (h["p"] >= 0) & (F.get(x["t"]["expected"], h["p"].cast("int")) == h["w"]))
+        return F.size(right) / x["t"]["size"]
+
+    cut = F.transform(hits, lambda h, j: F.struct(j.alias("j"), F.slice(hits, j + 1, F.lit(size)).alias("hits")))
+    windows = F.transform(F.filter(cut, lambda w: together(w["hits"])), rarest)
+    proposed = F.transform(F.flatten(F.transform(windows, proposals)), held)
+    verified = F.filter(proposed, lambda x: F.forall(x["t"]["phrases"], stands(x)))
+    return F.transform(verified, lambda x: F.struct(x["t"]["label"].alias("label"), share(x).alias("score")))
 
 
-def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, text: str = "text", templates: list[Template] | None = None
+) -> DataFrame:
     """Each row of `docs` without the text, with the licences its whole text names.
 
     One pass over the text leaves the places of licence words; document frequencies are counted from
     those, and everything else happens within the row: no text is shuffled, and no key can be hot.
+    The index of `templates` (TEMPLATES, if None) is a literal of at most INDEX_BYTES.
     Words are compared in lower case. `n_base`, `first_word`, `last_word`, `base_labels`: the places
     of BASE_PHRASES. `labels`: those and the templates' (see `match_templates`). `score`: the best
     share of a template found, 0.5 at least where a base phrase stands.
@@ -242,16 +398,17 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     result = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     docs = docs.drop(*[c for c in (*result, "hits", "_words") if c != text])
-    hits = kept(license_hits(docs, text), "license-hits")
-    weights = word_weights(hits)
-    places = [_phrase_places(F.col("hits"), phrase) for phrase, _ in BASE_PHRASES]
+    index = TemplateIndex(TEMPLATES if templates is None else templates)
+    hits = kept(license_hits(docs, index, text), "license-hits")
+    weights = word_weights(hits, index)
+    places = [_phrase_places(F.col("hits"), index, phrase) for phrase, _ in BASE_PHRASES]
     all_places = F.concat(*places)
     base = F.filter(
         F.array(*[F.when(F.size(p) > 0, F.lit(x)) for p, (_, x) in zip(places, BASE_PHRASES)]),
         lambda x: x.isNotNull(),
     )
     matched = hits.withColumns(
-        {"_at": all_places, "_base": base, "_found": match_templates(F.col("hits"), weights)}
+        {"_at": all_places, "_base": base, "_found": match_templates(F.col("hits"), index, weights)}
     )
     own = F.transform("_found", lambda x: x["label"])
     best = F.array_max(F.transform("_found", lambda x: F.least(x["score"], F.lit(1.0))))

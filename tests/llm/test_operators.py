@@ -84,6 +84,94 @@ def test_license_scan_of_several_templates(spark):
         assert label in found[10 + i]["labels"].split(",") and found[10 + i]["score"] == 1.0
 
 
+def scan_by_hand(text, templates):
+    """Labels and score of `scan_licenses`: every template tried at every place."""
+    vocabulary = {w for t in templates for w in t.text.split() if w not in licenses.COMMON}
+    vocabulary |= {w for phrase, _ in licenses.BASE_PHRASES for w in phrase.split()}
+    words = re.findall(licenses.LICENSE_WORD, text.lower())
+    beside = lambda i: any(0 <= k < len(words) and words[k] in vocabulary for k in (i - 1, i + 1))
+    hit = {
+        i: w
+        for i, w in enumerate(words)
+        if w in vocabulary and (w not in licenses.LINKED or beside(i))
+    }
+    *_, base = base_scan(text)
+    labels, score = set(filter(None, base.split(","))), 0.5 if base else 0.0
+    for t in templates:
+        own = {i: w for i, w in enumerate(t.text.split()) if w not in licenses.COMMON}
+        spans = []
+        for phrase in t.phrases:
+            start = f" {t.text} ".index(f" {phrase} ")
+            first = len(t.text[:start].split())
+            places = [i for i in own if first <= i < first + len(phrase.split())]
+            spans.append((places[0], places[-1]))
+        for o in range(-len(t.text.split()), len(words)):
+            on = {i: hit[o + i] for i in range(len(t.text.split())) if o + i in hit}
+            if all(
+                {i: w for i, w in on.items() if a <= i <= b} == {i: w for i, w in own.items() if a <= i <= b}
+                for a, b in spans
+            ):
+                labels.add(t.label)
+                score = max(score, sum(on.get(i) == w for i, w in own.items()) / len(own))
+    return ",".join(sorted(labels)), score
+
+
+def test_license_scan_by_hand(spark):
+    """Mutilated, interleaved and repeated notices give what trying each template everywhere gives."""
+    import random
+
+    rng = random.Random(11)
+    words = sorted({w for t in licenses.TEMPLATES for w in t.text.split()}) + ["prose", "für"]
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            notice = rng.choice(licenses.TEMPLATES).text.split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.choice([0, 1])] = rng.choices(words, k=rng.choice([0, 1]))
+                notice = notice or ["x"]
+            parts += notice[rng.choice([0, 0, 0, 1]) :] + rng.choices(words, k=rng.choice([0, 1, 3]))
+        texts.append(" ".join(parts))
+    texts += ["licensed software the mit license", "2 0 4 cc by 4 0", "mit", "", "gpl 2 0 " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    for i, text in enumerate(texts):
+        labels, score = scan_by_hand(text, licenses.TEMPLATES)
+        assert (found[i]["labels"], round(found[i]["score"], 9)) == (labels, round(score, 9)), text
+
+
+def test_every_license_template_is_found(spark):
+    """Whole notices of hundreds of templates, alone; and an index of other templates."""
+    assert len(licenses.TEMPLATES) > 300
+    rows = [(i, f"Some prose. {t.text.upper()}. More.") for i, t in enumerate(licenses.TEMPLATES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in licenses.scan_licenses(docs).collect():
+        assert licenses.TEMPLATES[r["doc_id"]].label in r["labels"].split(",") and r["score"] == 1.0
+    own = [licenses.Template("house", "all house rules apply here", ("house rules apply",))]
+    text = spark.createDataFrame([(1, "All house rules apply there")], "doc_id long, text string")
+    assert licenses.scan_licenses(text, templates=own).first()["labels"] == "house"
+    with pytest.raises(ValueError):
+        licenses.scan_licenses(text, templates=[licenses.Template("one", "word", ("word",))])
+
+
+def test_license_scan_of_usual_notices(spark):
+    """Wording that stands in files, and how labels of one family are told apart."""
+    cases = {
+        "it under the terms of the GNU General Public License as published by\nthe Free Software Foundation;"
+        " either version 3 of the License, or (at your option) any later version.": "gpl,gpl-3",
+        "SPDX-License-Identifier: MIT": "mit-notice",
+        "// SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2",
+        "the GNU Lesser General Public License, version 2.1": "gpl,lgpl-2.1",
+        "Apache License 2.0": "apache,apache-2.0",
+        "CC BY-NC-SA 4.0 and CC BY 4.0": "cc-by-4.0,cc-by-nc-sa-4.0",
+    }
+    rows = list(enumerate(cases))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs).collect()}
+    assert [found[i] for i, _ in rows] == list(cases.values())
+
+
 def test_best_fit_plan_is_best_fit_decreasing():
     import random
 
