@@ -15,7 +15,7 @@ from shelfmark.operators.records import scopus_records
 from shelfmark.operators.toc import toc_rejected
 from shelfmark.plans import jobs
 from shelfmark.schemas import HOLDINGS
-from shelfmark.sources import files, large, sinks
+from shelfmark.sources import bucketed, files, large, sinks
 from shelfmark.streaming import arrivals
 from shelfmark.streaming import exports as streaming
 
@@ -88,6 +88,24 @@ def remote_audit(spark, args):
     sinks.write_table(audit.upload, f"{args.out}/upload")
 
 
+def bucket_holdings(spark, args):
+    articles = files.scan_articles(spark, args.articles, args.format)
+    bucketed.bucket_articles(articles, args.store, args.buckets)
+    bucket_listings(spark, args)
+
+
+def bucket_listings(spark, args):
+    remote = files.scan_remote_holdings(spark, args.remote)
+    bucketed.bucket_listings(_held(spark, args), remote, args.store)
+
+
+def bucketed_audit(spark, args):
+    issues = files.scan_issues(spark, args.issues, args.format)
+    audit = jobs.job_bucketed_audit(issues, bucketed.with_holdings(spark, args.store), args.floor)
+    sinks.sink_report(audit.per_issue, args.out, args.floor)
+    sinks.write_table(audit.upload, f"{args.out}/upload")
+
+
 def stream_exports(spark, args):
     stream = streaming.read_exports(spark, args.exports, PATTERNS[args.variant])
     if args.variant == "a":
@@ -128,6 +146,9 @@ JOBS = {
     "doi-list": (doi_list, ["articles", "holdings", "start", "end", "out"]),
     "holdings-audit": (holdings_audit, ["issues", "articles", "holdings", "out"]),
     "remote-audit": (remote_audit, ["issues", "articles", "holdings", "remote", "out"]),
+    "bucket-holdings": (bucket_holdings, ["articles", "holdings", "remote", "store"]),
+    "bucket-listings": (bucket_listings, ["holdings", "remote", "store"]),
+    "bucketed-audit": (bucketed_audit, ["issues", "store", "out"]),
     "stream-exports": (stream_exports, ["exports", "out", "state"]),
 }
 
@@ -167,6 +188,7 @@ def main(argv: list[str] | None = None) -> None:
         command.add_argument("--distinct", action="store_true")
         command.add_argument("--compacted", action="store_true", help="--exports is a table of compact-exports")
         command.add_argument("--versioned", action="store_true", help="publish articles as versions")
+        command.add_argument("--buckets", type=int, help="of bucket-holdings; shuffle partitions if not given")
         command.add_argument("--host", default="")
         command.add_argument("--floor", type=int, default=YEAR_FLOOR)
     args = parser.parse_args(_with_parameters(list(sys.argv[1:] if argv is None else argv)))

@@ -11,21 +11,22 @@ from shelfmark.operators.skew import hot_keys, lookup
 YEAR_FLOOR = 1940  # fixed value: issues before it are not counted as expected
 
 
-def _name(column: Column, ignore_case: bool) -> Column:
+def file_key(column: Column, ignore_case: bool) -> Column:
+    """A file name as it is compared."""
     return F.lower(column) if ignore_case else column
 
 
 def manifest(held: DataFrame, remote: DataFrame | None = None, ignore_case: bool = False) -> DataFrame:
     """`(_name, held, remote)`, one row per file name however many listings hold it."""
     listed = held.select(
-        _name(F.col("name"), ignore_case).alias("_name"),
+        file_key(F.col("name"), ignore_case).alias("_name"),
         F.lit(True).alias("held"),
         F.lit(False).alias("remote"),
     )
     if remote is not None:
         listed = listed.unionAll(
             remote.select(
-                _name(F.col("name"), ignore_case).alias("_name"),
+                file_key(F.col("name"), ignore_case).alias("_name"),
                 F.lit(False).alias("held"),
                 F.lit(True).alias("remote"),
             )
@@ -47,7 +48,7 @@ def with_holdings(
     `base` is the table `articles` was filtered from: its URLs tell hot file names without running
     the filter twice.
     """
-    name = _name(pdf_name(F.col("url")), ignore_case).alias("_name")
+    name = file_key(pdf_name(F.col("url")), ignore_case).alias("_name")
     hot = hot_keys((articles if base is None else base).select(name), "_name")
     flagged = lookup(
         articles.withColumn("_name", name), manifest(held, remote, ignore_case), "_name", hot=hot
@@ -60,9 +61,9 @@ def with_holdings(
 def _name_lookup(
     articles: DataFrame, held: DataFrame, how: str, ignore_case: bool, base: DataFrame | None
 ) -> DataFrame:
-    name = _name(pdf_name(F.col("url")), ignore_case).alias("_name")
+    name = file_key(pdf_name(F.col("url")), ignore_case).alias("_name")
     hot = hot_keys((articles if base is None else base).select(name), "_name")
-    names = held.select(_name(F.col("name"), ignore_case).alias("_name")).distinct()
+    names = held.select(file_key(F.col("name"), ignore_case).alias("_name")).distinct()
     return lookup(articles.withColumn("_name", name), names, "_name", how, hot=hot).drop("_name")
 
 
@@ -137,6 +138,11 @@ def remote_reconcile(
     Only issues since `floor` are examined; the others count 0 throughout.
     """
     flagged = with_holdings(articles.select("issue_url", "url"), held, remote, ignore_case)
+    return reconcile(issues, flagged, floor)
+
+
+def reconcile(issues: DataFrame, flagged: DataFrame, floor: int = YEAR_FLOOR) -> DataFrame:
+    """`remote_reconcile` of articles that are flagged with `held` and `remote` already."""
     counts = flagged.groupBy("issue_url").agg(
         F.count("*").alias("expected"),
         F.count_if("held").alias("downloaded"),
@@ -162,7 +168,11 @@ def upload_candidates(
     examined = issues.where(F.col("year") >= floor).select("issue_url").distinct()
     narrow = articles.select("issue_url", "url")
     wanted = lookup(narrow, examined, "issue_url", "left_semi")
-    flagged = with_holdings(wanted, held, remote, ignore_case, base=narrow)
+    return to_upload(with_holdings(wanted, held, remote, ignore_case, base=narrow))
+
+
+def to_upload(flagged: DataFrame) -> DataFrame:
+    """`(issue_url, url, name)` of the articles whose file is held but not remotely."""
     return flagged.where(F.col("held") & ~F.col("remote")).select(
         "issue_url", "url", pdf_name(F.col("url")).alias("name")
     )

@@ -56,21 +56,28 @@ def lookup(
     """
     if hot is None:
         hot = hot_keys(left, key)
-    hot = F.broadcast(hot)  # its size is bounded, see hot_keys
-    spread = F.xxhash64(*[c for c in left.columns if not _is_map(left, c)], F.spark_partition_id())
-    salted = (
-        left.join(hot, key, "left")
+    return spread(left, key, hot).join(copied(right, key, hot), [key, "_salt"], how).drop("_salt")
+
+
+def spread(left: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """`left` with `_salt`, the sub-key of each row: 0 but for rows of hot and null keys."""
+    hashed = F.xxhash64(*[c for c in left.columns if not _is_map(left, c)], F.spark_partition_id())
+    return (
+        left.join(F.broadcast(hot), key, "left")  # its size is bounded, see hot_keys
         .withColumn(
             "_salt",
-            F.when(F.col(key).isNull(), spread)
-            .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts")))
+            F.when(F.col(key).isNull(), hashed)
+            .when(F.col("_salts").isNotNull(), F.pmod(hashed, F.col("_salts")))
             .otherwise(F.lit(0).cast("long")),
         )
         .drop("_salts")
     )
+
+
+def copied(right: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """`right`, of one row per key, with a row for each `_salt` that `spread` may have chosen."""
     copies = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1)
-    copied = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
-    return salted.join(copied, [key, "_salt"], how).drop("_salt")
+    return right.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
 
 
 def _is_map(df: DataFrame, column: str) -> bool:

@@ -17,7 +17,9 @@ from shelfmark.operators.holdings import (
     held_per_issue,
     held_totals,
     progress_per_issue,
+    reconcile,
     remote_reconcile,
+    to_upload,
     upload_candidates,
     with_holdings,
 )
@@ -32,6 +34,7 @@ from shelfmark.operators.select import (
     missing_issues,
     table_order,
 )
+from shelfmark.operators.skew import lookup
 from shelfmark.operators.toc import toc_issues_a, toc_issues_b
 
 
@@ -187,3 +190,11 @@ def job_remote_audit(
         upload_candidates(issues, articles, held, remote, floor),
         held_totals(per_issue, floor),
     )
+
+
+def job_bucketed_audit(issues: DataFrame, flagged: DataFrame, floor: int = YEAR_FLOOR) -> RemoteAudit:
+    """`job_remote_audit` of articles flagged by `sources.bucketed`, whose join shuffles nothing."""
+    per_issue = reconcile(issues, flagged, floor)
+    examined = issues.where(F.col("year") >= floor).select("issue_url").distinct()
+    wanted = lookup(flagged, examined, "issue_url", "left_semi")
+    return RemoteAudit(per_issue, to_upload(wanted), held_totals(per_issue, floor))

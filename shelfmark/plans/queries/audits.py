@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shelfmark.operators import holdings as ops
 from shelfmark.operators.select import table_order
 from shelfmark.plans import bindings
-from shelfmark.plans.queries.registry import FLOOR, as_text, query, views
+from shelfmark.plans.jobs import job_bucketed_audit
+from shelfmark.plans.queries.registry import FLOOR, REGISTRY, as_text, query, views
+from shelfmark.session import shared_dir
+from shelfmark.sources import bucketed
 
 PER_ISSUE = (
     views("issues", "flagged")
@@ -156,3 +161,28 @@ def _(spark, d):
     return ops.upload_candidates(
         *_corpus(spark, d), bindings.remote_holdings(spark, d), floor=FLOOR
     )
+
+
+def _bucketed(spark, d):
+    """The store of a table folder, in the shared folder."""
+    store = f"{shared_dir(spark)}/bucketed-{uuid.uuid4().hex}"
+    _, articles, held = _corpus(spark, d)
+    bucketed.bucket_articles(articles, store)
+    bucketed.bucket_listings(held, bindings.remote_holdings(spark, d), store)
+    return store
+
+
+@query("holdings_semi_bucketed", REGISTRY["holdings_semi"].sql)
+def _(spark, d):
+    return bucketed.holdings_semi(spark, _bucketed(spark, d))
+
+
+@query("pending_anti_bucketed", REGISTRY["pending_anti"].sql)
+def _(spark, d):
+    return bucketed.pending_anti(spark, _bucketed(spark, d))
+
+
+@query("remote_reconcile_bucketed", REGISTRY["remote_reconcile"].sql)
+def _(spark, d):
+    flagged = bucketed.with_holdings(spark, _bucketed(spark, d))
+    return as_text(job_bucketed_audit(bindings.issues(spark, d), flagged, FLOOR).per_issue, "no_docs")

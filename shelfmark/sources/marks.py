@@ -17,6 +17,10 @@ class Marks:
         self._place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._place(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def qualified(self) -> str:
+        """The path as every session reads it, wherever it runs."""
+        return self._fs.makeQualified(self._place(self.path)).toString()
+
     def names(self, folder: str) -> list[str]:
         path = self._place(f"{self.path}/{folder}")
         return [s.getPath().getName() for s in self._fs.listStatus(path)] if self._fs.exists(path) else []
