@@ -68,11 +68,10 @@ def _with_macros(exports: DataFrame, dialect: str, compat: bool, outer: bool = F
         return exports.select(*kept, explode(records).alias("record_ordinal", "record"))
     cut = exports.select(*kept, bibtex.entries(F.col("value")).alias("_entries"))
     found = F.col("_entries")
-    return cut.select(
-        *kept,
-        explode(bibtex.records_of(found)).alias("record_ordinal", "record"),
-        bibtex.macros_of(found).alias("_macros"),
-    )
+    # Macros are resolved once per file: beside explode they would be resolved again for each record,
+    # from a copy of all entries of the file.
+    files = cut.select(*kept, "_entries", bibtex.macros_of(found).alias("_macros"))
+    return files.select(*kept, explode(bibtex.records_of(found)).alias("record_ordinal", "record"), "_macros")
 
 
 def record_pieces(exports: DataFrame, dialect: str = "a", compat: bool = False) -> DataFrame:

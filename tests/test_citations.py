@@ -256,3 +256,12 @@ def test_long_values_and_files_are_read_once(spark):
 def test_an_export_of_asides_alone_is_rejected(spark):
     good, rejected = filter_bad_export(exports(spark, "@string{a = {b}}\n@preamble{x}", "@misc(k, a = 1)"))
     assert [r.file_name for r in rejected.collect()] == ["f0.txt"] and good.count() == 1
+
+
+def test_macros_are_resolved_once_per_file_not_per_record(spark):
+    text = "@string{a = {x}}\n@article{k, title = a}\n@article{l, title = a # { y}}"
+    records = citation_records(exports(spark, text))
+    titles = {r["cite_key"]: r["fields"]["title"] for r in records.collect()}
+    assert titles == {"k": "x", "l": "x y"}
+    above = records._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "aggregate(" not in above
