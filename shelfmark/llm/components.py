@@ -13,7 +13,7 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
     arcs = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     if both_ways:
         arcs = arcs.unionByName(arcs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = kept(arcs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "star-least")
+    least = kept(arcs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "star-least", short=True)
     # A node with a large share of all arcs is dealt to many tasks.
     hot = hot_values(least, "u", "n")
     least = least.select("u", F.least("u", "m").alias("m"))
@@ -24,7 +24,7 @@ def _star(edges: DataFrame, both_ways: bool) -> DataFrame:
         linked = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
-    return kept(linked.where("u != v").distinct(), "star-links")
+    return kept(linked.where("u != v").distinct(), "star-links", short=True)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def components(edges: DataFrame) -> DataFrame:
         return tuple(df.agg(F.count("*"), F.sum(h)).first())
 
     links = edges.where("u != v").select("u", "v").distinct()
-    links = kept(links, "links")
+    links = kept(links, "links", short=True)
     before = None
     while (now := print_of(links)) != before:
         before = now

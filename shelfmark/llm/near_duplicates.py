@@ -164,11 +164,11 @@ def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: b
     Sizes too far apart and signatures that agree too little rule a pair out; what remains is
     compared on full sets, made again from the texts of those classes alone.
     """
-    pairs = kept(pairs, "pairs")
+    pairs = kept(pairs, "pairs", short=True)
     hot = {end: hot_values(pairs, end) for end in ("a", "b")}
     sized = _with(pairs, classes, "n", hot).withColumnsRenamed({"xa": "na", "xb": "nb"})
     ratio = F.least("na", "nb") / F.greatest("na", "nb")
-    sized = kept(sized.withColumn("ratio", ratio), "sized")
+    sized = kept(sized.withColumn("ratio", ratio), "sized", short=True)
     fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
     both = _with(sized.where(fits), classes, "signature", hot)
     agree = F.arrow_udf(_agreement, "double")
@@ -210,7 +210,7 @@ def _shared(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    return kept(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels")
+    return kept(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "labels", short=True)
 
 
 def _unsettled(buckets: DataFrame, compared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -312,7 +312,7 @@ def _block_pairs(rows: DataFrame, block: int, one: Column) -> DataFrame:
     sizes = rows.groupBy("g").agg(
         F.ceil(F.sum(F.col("far").cast("int")) / block).alias("rows"), F.ceil(F.count("*") / block).alias("columns")
     )
-    dealt = kept(lookup(rows, kept(sizes, "group-sizes"), "g", "inner", hot_values(rows, "g")), "group-rows")
+    dealt = kept(lookup(rows, kept(sizes, "group-sizes", short=True), "g", "inner", hot_values(rows, "g")), "group-rows")
 
     def blocks(part: DataFrame, own: str, other: str, name: str) -> DataFrame:
         placed = part.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.col(own + "s")))
@@ -374,7 +374,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = classes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     joined = kept(joined.select("class", "label", "n_docs", F.col("first.doc_id").alias("d")), "labelled")
     groups = joined.groupBy("label").agg(F.min("d").alias("component_id"), F.sum("n_docs").alias("size"))
-    groups = kept(groups.where("size > 1").select("label", "component_id"), "groups")
+    groups = kept(groups.where("size > 1").select("label", "component_id"), "groups", short=True)
     of_class = kept(lookup(joined.select("class", "label"), groups, "label", "inner").withColumnRenamed("label", "group"), "members")
     out = lookup(rows.select("doc_id", "t", "class", "n_shingles"), of_class.withColumn("_grouped", F.lit(True)), "class")
     component = F.when(F.col("_grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
@@ -398,7 +398,7 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     null_ids = nameless.groupBy("own").agg(F.min("t").alias("t"))
     chosen = stay.select("doc_id", "t").unionByName(null_ids.select(F.lit(None).cast("long").alias("doc_id"), "t"))
     repeats = found.groupBy("doc_id", "t").agg(F.count("*").alias("n"), F.max("n_shingles").alias("w"))
-    repeats = kept(repeats.where("n > 1 and w > 0").select("doc_id", "t"), "repeats")
+    repeats = kept(repeats.where("n > 1 and w > 0").select("doc_id", "t"), "repeats", short=True)
     keyed = docs.withColumns(
         {"_d": F.col("doc_id").cast("long"), "_t": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))}
     )
@@ -406,7 +406,7 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     def among(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         return df.join(keys, df["_d"].eqNullSafe(keys["doc_id"]) & (df["_t"] == keys["t"]), how)
 
-    stays = among(keyed, kept(alone.unionByName(chosen), "stay"), "left_semi")
+    stays = among(keyed, kept(alone.unionByName(chosen), "stay", short=True), "left_semi")
     if repeats.isEmpty():
         return stays.select(*docs.columns)
     once = among(stays, repeats, "left_anti")

@@ -765,3 +765,17 @@ def test_replacement_by_hand(spark):
         assert re.fullmatch(r"[a-z0-9.]+@[a-z0-9.]+" if "@" in o else r"\d{3}-\d{2}-\d{4}", n)
     for i, text in enumerate(texts):
         assert rows[i]["text"] == replaced_by_hand(text, made)
+
+
+def test_links_are_written_in_few_files_whatever_the_partitions(spark):
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = components(spark.range(0, 4000, 2).selectExpr("id AS u", "id + 1 AS v"))
+        assert len(found.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+        assert found.where("label = id - id % 2").count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
