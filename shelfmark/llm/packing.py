@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import codecs
 import struct
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,21 +18,32 @@ from shelfmark.llm.common import bounded_batches, kept
 CAPACITY = 2048
 #: Rows of one length and task that share a place in the prefix sums.
 CHUNK = 8192
-#: Distinct words and pieces of words of which a worker remembers the ids before it starts anew; a
-#: batch with more holds its own.
-REMEMBERED = 500_000
-
-#: Characters for which words can be cut here just as the tokenizer cuts them: printable ASCII, tab,
-#: line ends, Latin letters and signs, usual punctuation. Other texts go to the tokenizer whole.
-_PLAIN = r"[\t\n\r\x20-\x7e¡-ɏ‐-‧‰-⁞€]*"
+#: Distinct words of which a worker remembers the ids after a batch, those used last; a batch with more
+#: holds its own. All are looked up with each batch, so more of them cost more than they save.
+REMEMBERED = 400_000
+#: Words that go to the merges at once.
+MERGED = 1024
+#: Bytes of rows of which a worker looks up the words at once; a larger Arrow batch goes alone.
+GATHERED = 8 << 20
+
+#: Texts for which words can not be cut here just as the tokenizer cuts them: those with `<|`, or with
+#: more than printable ASCII, tab, line ends, Latin letters and signs, usual punctuation. They go to
+#: the tokenizer whole.
+_NOT_PLAIN = r"<\||[^\t\n\r\x20-\x7e¡-ɏ‐-‧‰-⁞€]"
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: A sign at the end of a word, a piece of its own: parted there, fewer words are distinct.
+_LAST_SIGN = r"([\p{L}\p{N}])([.,;:!?)])(\s)"
 
 #: Text on which words cut here must give the tokenizer's ids; else all texts go to the tokenizer whole.
 _PROBE = "It's 42 naïve Größen, don't\tÉté_co-op €5 (x²) we'LL 'tis #1!\n\n\\end … — “q” ÿþ"
 
-#: Merges work on a letter per byte: printable Latin-1 as it is, other bytes in turn from 256 on.
+#: Merges work on a letter per byte: printable Latin-1 as it is, other bytes in turn from 256 on. The
+#: blank, which no piece holds, stands for itself.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_BYTE_LETTERS = "".join(
+    chr(b) if b in _PRINTABLE or b == 32 else chr(256 + _OTHERS.index(b)) for b in range(256)
+)
 
 
 class WordIds:
@@ -37,58 +51,101 @@ class WordIds:
 
     Pieces cut before the merges are independent, so ids of a text are those of its pieces in turn,
     and the pieces of a text those of its words between white space. Plain texts hold nothing that
-    composing would change, and their lower case goes letter by letter, so lower() normalizes them.
+    composing would change, and their lower case goes letter by letter. Arrow cuts the texts of a
+    batch, numbers its words behind those remembered and puts the ids together; only words that are
+    new meet Python.
     """
 
     def __init__(self, path: str) -> None:
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merge = self.tokenizer.model.tokenize
-        self.plain = regex.compile(_PLAIN)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.cut = regex.compile(_CUT).findall
-        self.known: dict[str, bytes] = {}
-        if self([_PROBE]) != [_as_bytes(self.tokenizer.encode(_PROBE, add_special_tokens=False).ids)]:
-            self.plain = regex.compile(r"(?!)")
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; words that are new to all of them are encoded at once."""
-        plain = ["<|" not in t and self.plain.fullmatch(t) is not None for t in texts]
-        words = [t.lower().split() if p else [] for t, p in zip(texts, plain)]
-        known = self.known
-        new = set().union(*words).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set().union(*words)
-        if new:
-            self._remember(new)
-        whole = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
-        of = known.__getitem__
-        return [b"".join(map(of, ws)) if p else _as_bytes(next(whole).ids) for ws, p in zip(words, plain)]
-
-    def _remember(self, words: set[str]) -> None:
-        """Encode words and, where they are more than letters, the pieces they are cut into."""
-        known, merge = self.known, self.merge
-        cuts = {w: self.cut(w) for w in words if not w.isalpha()}
-        pieces = set().union(*cuts.values()).difference(known)
-        pieces.update(words.difference(cuts))
-        for piece in pieces:
-            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = [t.id for t in merge(spelled)]
-            known[piece] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else _as_bytes(ids)
-        of = known.__getitem__
-        for word, parts in cuts.items():
-            known[word] = b"".join(map(of, parts))
-
-
-_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_binary())
+        self.used = np.zeros(0, dtype=np.int64)
+        self.calls = 0
+        self.not_plain = _NOT_PLAIN
+        if self(pa.array([_PROBE])) != self._whole([_PROBE]):
+            self.not_plain = ""
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; null: none."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        odd = pc.match_substring_regex(texts, self.not_plain)
+        # The one letter here whose lower case is two.
+        plain = pc.replace_substring(texts.filter(pc.invert(odd)), "İ", "i\u0307")
+        parted = pc.replace_substring_regex(pc.utf8_lower(plain), _LAST_SIGN, r"\1 \2\3")
+        words = pc.ascii_split_whitespace(parted)
+        ids = type(words).from_arrays(words.offsets, self._ids_of(words.flatten()))
+        cut = iter(pc.binary_join(ids, pa.scalar(b"", pa.large_binary())).to_pylist())
+        whole = iter(self._whole(texts.filter(odd).to_pylist()))
+        return [next(whole if o else cut) for o in odd.to_pylist()]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [_as_bytes(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _ids_of(self, words: pa.Array) -> pa.Array:
+        """Ids of each word; those that are new are encoded at once and remembered."""
+        known = len(self.words)
+        coded = pa.concat_arrays([self.words, words]).dictionary_encode()
+        at, self.words = coded.indices[known:], coded.dictionary
+        new = self.words[known:].to_numpy(zero_copy_only=False).tolist()
+        parts = [self._encoded(new[k : k + MERGED]) for k in range(0, len(new), MERGED)]
+        self.ids = pa.concat_arrays([self.ids, *parts])
+        ids = self.ids.take(at)
+        self.calls += 1
+        self.used = np.append(self.used, np.zeros(len(new), dtype=np.int64))
+        self.used[at.to_numpy()] = self.calls
+        if len(self.words) > REMEMBERED:
+            latest = np.sort(np.argpartition(self.used, -REMEMBERED)[-REMEMBERED:])
+            self.words, self.ids, self.used = self.words.take(latest), self.ids.take(latest), self.used[latest]
+        return ids
+
+    def _encoded(self, words: list[str]) -> pa.Array:
+        """Ids of each word: of all pieces in a row, cut behind the tokens that only end a piece."""
+        rows = [w if w.isalpha() else " ".join(self.cut(w)) for w in words]
+        spelled = codecs.charmap_decode(" ".join(rows).encode(), "strict", _BYTE_LETTERS)[0]
+        (row,) = self.merges.encode_batch_fast([spelled], add_special_tokens=False)
+        ids = np.array(row.ids, dtype="<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        pieces = np.cumsum([0, *(r.count(" ") + (r != "") for r in rows)])
+        if len(ends) != pieces[-1]:
+            one = self.tokenizer.model.tokenize
+            each = [[t.id for t in one(piece)] for piece in spelled.split()]
+            ids = np.array([i for piece in each for i in piece], dtype="<u4")
+            ends = np.cumsum([len(piece) for piece in each], dtype=np.int64)
+        stops = 4 * np.append(0, ends)[pieces]
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(rows), [None, pa.py_buffer(stops), pa.py_buffer(ids)]
+        )
 
 
 def _as_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int = GATHERED) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches joined as far as they have no more than `size` bytes together."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if held and n + batch.nbytes > size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+        held.append(batch)
+        n += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 _WORD_IDS: dict[str, WordIds] = {}
 
 PIECES = (
@@ -113,10 +170,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
         ids_of = _WORD_IDS[tokenizer]
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
-        for batch in batches:
+        for batch in gathered(batches):
             rows: list[tuple] = []
-            encoded = ids_of([t.as_py() or "" for t in batch.column(1)])
-            for doc_id, data in zip(batch.column(0).to_pylist(), encoded):
+            for doc_id, data in zip(batch.column(0).to_pylist(), ids_of(batch.column(1))):
                 data += b"\0\0\0\0"
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     ids = data[at : at + 4 * capacity]

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +221,50 @@ def test_packing_keeps_every_token(documents, odd, nothing):
     assert packing.pack(nothing, tokenizer_path()).count() == 0
 
 
+def whole_ids(texts):
+    from tokenizers import Tokenizer
+
+    rows = Tokenizer.from_file(tokenizer_path()).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [b"".join(i.to_bytes(4, "little") for i in row.ids) for row in rows]
+
+
+def test_words_in_use_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    ids_of = packing.WordIds(tokenizer_path())
+    encoded, encode = Counter(), ids_of._encoded
+    monkeypatch.setattr(ids_of, "_encoded", lambda words: encoded.update(words) or encode(words))
+    for k in range(20):
+        texts = ["Often here, often there. End.", " ".join(f"word{k}x{j}" for j in range(40)), None]
+        assert ids_of(pa.array(texts)) == whole_ids(texts)
+        assert len(ids_of.words) == len(ids_of.ids) == len(ids_of.used) <= 60
+    assert all(encoded[w] == 1 for w in ("often", "here", "there", "end."))
+    texts = [" ".join(f"many{j}" for j in range(500))]
+    assert ids_of(pa.array(texts)) == whole_ids(texts)
+    assert len(ids_of.words) == 60
+
+
+def test_words_cut_like_the_tokenizer():
+    letters = map(chr, [*range(32, 127), *range(161, 592), 0x130, 0x2014, 0x2019, 0x307, 0x20AC, 0x3B1, 0x2028])
+    texts = [t for c in letters for t in (f"x{c}x", f"{c}. ", f"A{c}. 9{c}, y", f"{c}{c}'s {c}).\n")]
+    texts += [None, "", " ", " . a.", "5. 6) x", "<|endoftext|>.", "</w> x</w>", "x" * 5000]
+    ids_of = packing.WordIds(tokenizer_path())
+    assert ids_of.not_plain
+    assert ids_of(pa.array(texts)) == whole_ids(texts)
+    again = packing.WordIds(tokenizer_path())
+    # Without tokens that end a piece, each piece is merged alone.
+    again.words, again.ids, again.used = again.words[:0], again.ids[:0], again.used[:0]
+    again.last[:] = False
+    assert again(pa.array(texts)) == whole_ids(texts)
+
+
+def test_neighbouring_batches_are_gathered():
+    batches = [pa.record_batch({"x": pa.array(range(at, at + n))}) for at, n in ((0, 3), (3, 3), (6, 3), (9, 50), (59, 1))]
+    found = list(packing.gathered(iter(batches), 8 * 8))
+    assert [b.num_rows for b in found] == [6, 3, 50, 1]
+    assert [x for b in found for x in b.column(0).to_pylist()] == list(range(60))
+    assert list(packing.gathered(iter([]))) == []
+
+
 def test_top_k_ties_and_bad_vectors(spark):
     rows = [(0, [1.0, -1.0]), (50, [0.5, 0.25]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]),
             (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (None, [1.0, 1.0]), (6, [1.0])]
